@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from . import oracle_reviews, reviews
+from . import oracle_reviews, oracle_stats, reviews, stats_queries
 
 
 def registered_queries() -> dict:
     out = {}
     out.update(reviews.QUERIES)
+    out.update(stats_queries.QUERIES)
     return out
 
 
 def oracle_statements() -> dict:
     out = {}
     out.update(oracle_reviews.SQL)
+    out.update(oracle_stats.SQL)
     return {k: v for k, v in out.items() if k in registered_queries()}
 
 
