@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import oracle_reviews, oracle_stats, reviews, stats_queries
+from . import oracle_reviews, oracle_stats, oracle_warehouse, reviews, stats_queries, warehouse
 
 
 def registered_queries() -> dict:
     out = {}
     out.update(reviews.QUERIES)
     out.update(stats_queries.QUERIES)
+    out.update(warehouse.QUERIES)
     return out
 
 
@@ -16,8 +17,9 @@ def oracle_statements() -> dict:
     out = {}
     out.update(oracle_reviews.SQL)
     out.update(oracle_stats.SQL)
+    out.update(oracle_warehouse.SQL)
     return {k: v for k, v in out.items() if k in registered_queries()}
 
 
 def flagship(spark, sf_dir):
-    return reviews.QUERIES["length_category_distribution"](spark, sf_dir)
+    return warehouse.QUERIES["business_kpis"](spark, sf_dir)
