@@ -154,8 +154,11 @@ def event_sessions(events: DataFrame, gap_minutes: int) -> DataFrame:
 
 def daily_engagement(events: DataFrame, gap_minutes: int, shift_days: int = ENGAGEMENT_SHIFT_DAYS) -> DataFrame:
     """Daily product engagement from sessions (session start day, shifted)."""
-    s = sessions(events, gap_minutes).withColumn(
-        "date_key", F.date_sub(F.to_date("session_start"), shift_days))
+    return daily_engagement_from_sessions(sessions(events, gap_minutes), shift_days)
+
+
+def daily_engagement_from_sessions(sess: DataFrame, shift_days: int = ENGAGEMENT_SHIFT_DAYS) -> DataFrame:
+    s = sess.withColumn("date_key", F.date_sub(F.to_date("session_start"), shift_days))
     n = F.count(F.lit(1))
     g = s.groupBy("date_key").agg(
         F.countDistinct("user_id").alias("active_users"), n.alias("total_sessions"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.warehouse import models as M
 from ..operators.warehouse import upstream as U
 from ..params import FIXTURE
+from ..sources.store import materialized
 from ..sources.tables import Tables
 
 P = FIXTURE
@@ -22,24 +23,33 @@ def _t(spark, d) -> Tables:
     return Tables(spark, d)
 
 
+def _paths(d: str, *names: str) -> list[str]:
+    return [f"{d.rstrip('/')}/{n}.parquet" for n in names]
+
+
 def daily_sales(spark: SparkSession, d: str) -> DataFrame:
+    """``ext_redshift_daily_sales``: exported once as Parquet, then read."""
     t = _t(spark, d)
-    return U.daily_sales(t.orders, t.lineitem, t.customer, t.nation, t.part)
+    return materialized(spark, "ext_daily_sales", _paths(d, "orders", "lineitem", "customer", "nation", "part"),
+                        lambda: U.daily_sales(t.orders, t.lineitem, t.customer, t.nation, t.part))
 
 
 def daily_marketing(spark, d):
     t = _t(spark, d)
-    return U.daily_marketing(t.lineitem, t.orders, t.customer)
+    return materialized(spark, "ext_daily_marketing", _paths(d, "lineitem", "orders", "customer"),
+                        lambda: U.daily_marketing(t.lineitem, t.orders, t.customer))
 
 
 def sessions(spark, d):
-    return U.event_sessions(_t(spark, d).events, P.session_gap_minutes).select(
+    return materialized(spark, "sessions", _paths(d, "events"), lambda: U.event_sessions(
+        _t(spark, d).events, P.session_gap_minutes).select(
         "user_id", "session_start", "session_end", "n_events", "page_views", "clicks", "converted",
-        "session_value", "duration_minutes")
+        "session_value", "duration_minutes"))
 
 
 def daily_engagement(spark, d):
-    return U.daily_engagement(_t(spark, d).events, P.session_gap_minutes)
+    return materialized(spark, "daily_product_engagement", _paths(d, "events"),
+                        lambda: U.daily_engagement_from_sessions(sessions(spark, d)))
 
 
 def stg_sales(spark, d):
@@ -68,11 +78,13 @@ def business_kpis(spark, d):
 
 
 def campaigns(spark, d):
-    return U.campaign_performance(_t(spark, d).lineitem, P)
+    return materialized(spark, "ext_campaigns", _paths(d, "lineitem"),
+                        lambda: U.campaign_performance(_t(spark, d).lineitem, P))
 
 
 def attribution(spark, d):
-    return U.channel_attribution(_t(spark, d).events)
+    return materialized(spark, "ext_attribution", _paths(d, "events"),
+                        lambda: U.channel_attribution(_t(spark, d).events))
 
 
 def dim_marketing(spark, d):
@@ -80,15 +92,19 @@ def dim_marketing(spark, d):
 
 
 def user_profiles(spark, d):
-    return U.user_profiles(_t(spark, d).events, P.as_of, P.session_gap_minutes)
+    return materialized(spark, "user_profiles", _paths(d, "events"),
+                        lambda: U.user_profiles(_t(spark, d).events, P.as_of, P.session_gap_minutes))
 
 
 def user_metrics(spark, d):
-    return U.user_engagement_metrics(_t(spark, d).events, P.as_of, P.session_gap_minutes, P.recent_days)
+    return materialized(spark, "user_engagement_metrics", _paths(d, "events"),
+                        lambda: U.user_engagement_metrics(_t(spark, d).events, P.as_of,
+                                                          P.session_gap_minutes, P.recent_days))
 
 
 def features(spark, d):
-    return U.feature_engagement_summary(_t(spark, d).events)
+    return materialized(spark, "feature_engagement_summary", _paths(d, "events"),
+                        lambda: U.feature_engagement_summary(_t(spark, d).events))
 
 
 def user_summary(spark, d):
