@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import oracle_reviews, oracle_stats, oracle_warehouse, reviews, stats_queries, warehouse
+from . import (oracle_quality_feeds, oracle_reviews, oracle_stats, oracle_warehouse, quality_feeds, reviews,
+               stats_queries, warehouse)
 
 
 def registered_queries() -> dict:
@@ -10,6 +11,7 @@ def registered_queries() -> dict:
     out.update(reviews.QUERIES)
     out.update(stats_queries.QUERIES)
     out.update(warehouse.QUERIES)
+    out.update(quality_feeds.QUERIES)
     return out
 
 
@@ -18,6 +20,7 @@ def oracle_statements() -> dict:
     out.update(oracle_reviews.SQL)
     out.update(oracle_stats.SQL)
     out.update(oracle_warehouse.SQL)
+    out.update(oracle_quality_feeds.SQL)
     return {k: v for k, v in out.items() if k in registered_queries()}
 
 
