@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (oracle_quality_feeds, oracle_reviews, oracle_stats, oracle_warehouse, quality_feeds, reviews,
-               stats_queries, warehouse)
+               stats_queries, streaming_queries, warehouse)
 
 
 def registered_queries() -> dict:
@@ -12,6 +12,7 @@ def registered_queries() -> dict:
     out.update(stats_queries.QUERIES)
     out.update(warehouse.QUERIES)
     out.update(quality_feeds.QUERIES)
+    out.update(streaming_queries.QUERIES)
     return out
 
 

@@ -7,12 +7,17 @@ documents -> review file -> raw_reviews (ingestion) -> reviews_analyzed
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import analysis as A
 from ..operators import ingest, transform
 from ..sources.fixtures import review_file
-from ..sources.store import materialized
+from ..sources import io
+from ..sources.store import materialized, written_once
 
 
 def _inputs(sf_dir: str) -> list[str]:
@@ -36,6 +41,32 @@ def analyzed(spark: SparkSession, sf_dir: str) -> DataFrame:
                         lambda: transform.reviews_analyzed(raw_reviews(spark, sf_dir)))
 
 
+CSV_SCHEMA = T.StructType([T.StructField("rid", T.LongType())] + list(io.REVIEW_CSV_SCHEMA.fields)
+                          + [T.StructField("ingestion_timestamp", T.TimestampNTZType())])
+
+
+def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 -> A1 -> ingestion: the review file exported as CSV, read back with
+    the fixed-schema reader and ingested; equals ``reviews_clean``."""
+    def write(path: str) -> None:
+        io.write_csv(review_file(spark, sf_dir).select(*[f.name for f in CSV_SCHEMA.fields]), path)
+    path = written_once(spark, "review_csv", _inputs(sf_dir), write)
+    return ingest.ingest_reviews(io.read_reviews_csv(spark, path, CSV_SCHEMA))
+
+
+def partitioned_raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + partition pruning: the day-partitioned raw table, read for the
+    second half of the month (only those partition folders are listed)."""
+    path = written_once(spark, "raw_reviews_by_day", _inputs(sf_dir),
+                        lambda p: io.write_raw_reviews(raw_reviews(spark, sf_dir), p))
+    return (io.read_raw_reviews(spark, path, since=PRUNE_SINCE)
+              .groupBy("ingestion_date", "sentiment").agg(F.count(F.lit(1)).alias("reviews"),
+                                                          F.sum("review_length").alias("total_length")))
+
+
+PRUNE_SINCE = dt.date(2024, 1, 16)
+
+
 def correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform.length_rating_correlation(analyzed(spark, sf_dir))
 
@@ -54,6 +85,8 @@ def _on_corr(fn):
 
 QUERIES = {
     "reviews_clean": raw_reviews,
+    "csv_ingest": csv_ingest,
+    "partitioned_raw_reviews": partitioned_raw_reviews,
     "cleaning_audit": lambda spark, d: ingest.cleaning_audit(review_file(spark, d)),
     "raw_profile": _on_raw(A.raw_profile),
     "sentiment_distribution": _on_raw(lambda df: A.distribution(df, "sentiment")),

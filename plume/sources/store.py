@@ -71,17 +71,37 @@ def table_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/plume-tables"
 
 
-def materialized(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame],
-                 partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> DataFrame:
-    """Return table ``name`` built by ``build()``, writing it once per input/code version.
+def written_once(spark: SparkSession, name: str, inputs: list[str],
+                 write: Callable[[str], None], in_place: bool = False) -> str:
+    """Path of folder ``name`` produced by ``write(path)`` once per input/code version.
 
     The write goes to a unique temporary folder first and is renamed into
-    place, so a failed or concurrent build never leaves a half table behind.
+    place, so a failed or concurrent build never leaves a half folder behind.
+    ``in_place`` writers (streaming queries, whose sink log records absolute
+    paths and whose checkpoint makes a rerun resume) write to the final path.
     """
     key = hashlib.sha256((input_fingerprint(spark, inputs) + _code_hash()).encode()).hexdigest()[:20]
     path = f"{table_root(spark)}/{name}/{key}"
+    if in_place:
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            write(path)
+        return path
     if not _exists(spark, f"{path}/_SUCCESS"):
         tmp = f"{table_root(spark)}/{name}/_tmp-{uuid.uuid4().hex}"
+        write(tmp)
+        src, fs = _fs(spark, tmp)
+        dst, _ = _fs(spark, path)
+        if not fs.exists(dst):
+            fs.rename(src, dst)
+        else:
+            fs.delete(src, True)
+    return path
+
+
+def materialized(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame],
+                 partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> DataFrame:
+    """Return table ``name`` built by ``build()``, written once per input/code version."""
+    def write(tmp: str) -> None:
         df = build()
         if sort_within:
             df = df.sortWithinPartitions(*sort_within)
@@ -89,10 +109,10 @@ def materialized(spark: SparkSession, name: str, inputs: list[str], build: Calla
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(tmp)
-        src, fs = _fs(spark, tmp)
-        dst, _ = _fs(spark, path)
-        if not fs.exists(dst):
-            fs.rename(src, dst)
-        else:
-            fs.delete(src, True)
-    return spark.read.parquet(path)
+    return spark.read.parquet(written_once(spark, name, inputs, write))
+
+
+def mark_done(spark: SparkSession, path: str) -> None:
+    """Create ``path/_SUCCESS`` (for folders not written by a DataFrame writer)."""
+    p, fs = _fs(spark, f"{path}/_SUCCESS")
+    fs.create(p, True).close()
