@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ...functions.columns import day_number, epoch_micros, rnd, safe_div
 from ...functions.bins import roas_tier
+from ...sources.store import shared
 from .sessions import MICROS_PER_DAY, running_count, sessions
 
 # ---- our fixed choices for the synthetic recipes ---------------------------
@@ -75,11 +76,17 @@ def daily_sales(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nat
         F.count(F.lit(1)).alias("total_orders"),
         F.countDistinct("o_custkey").alias("unique_customers"),
         F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("delivered_orders"))
-    day_li = lo.groupBy("date_key").agg(F.sum("rev").alias("revenue"), F.sum("l_quantity").alias("items"))
-    by_part = lo.groupBy("date_key", "l_partkey").agg(F.sum("rev").alias("rev"))
+    # One pass over the line-item join: (day, part) and (day, customer) grains
+    # from a single grouping-sets aggregation, kept once for the three users.
+    grains = shared(lo.groupingSets([["date_key", "l_partkey"], ["date_key", "o_custkey"]],
+                                    "date_key", "l_partkey", "o_custkey")
+                      .agg(F.sum("rev").alias("rev"), F.sum("l_quantity").alias("items"),
+                           F.grouping_id().alias("_set")))
+    by_part = grains.where(F.col("_set") == 1).select("date_key", "l_partkey", "rev")
+    by_cust = grains.where(F.col("_set") == 2).select("date_key", "o_custkey", "rev", "items")
+    day_li = by_cust.groupBy("date_key").agg(F.sum("rev").alias("revenue"), F.sum("items").alias("items"))
     cat = (by_part.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
                   .groupBy("date_key", "p_type").agg(F.sum("rev").alias("rev")))
-    by_cust = lo.groupBy("date_key", "o_custkey").agg(F.sum("rev").alias("rev"))
     state = (by_cust.join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
                     .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
                     .groupBy("date_key", "n_name").agg(F.sum("rev").alias("rev")))
@@ -87,8 +94,10 @@ def daily_sales(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nat
     top_state = _top_per_day(state, "n_name", "rev", "top_state")
     d = (day_o.join(day_li, "date_key", "left").join(top_cat, "date_key", "left")
               .join(top_state, "date_key", "left"))
-    rev = F.coalesce(F.col("revenue"), F.lit(0.0))
-    items = F.coalesce(F.col("items"), F.lit(0.0))
+    # Ratios are taken from the rounded totals: revenue is exact at 4 decimals,
+    # so every engine and summation order yields the same inputs.
+    rev = rnd(F.coalesce(F.col("revenue"), F.lit(0.0)), 4)
+    items = rnd(F.coalesce(F.col("items"), F.lit(0.0)), 4)
     return d.select(
         "date_key", "total_orders", rnd(rev, 4).alias("total_revenue"), rnd(items, 4).alias("total_items_sold"),
         "unique_customers", rnd(safe_div(rev, "total_orders"), 6).alias("avg_order_value"),
@@ -120,6 +129,7 @@ def daily_marketing(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
              .groupBy("date_key", "campaign", "channel").agg(
                 F.sum("spend").alias("spend"), F.sum("rev").alias("rev"),
                 F.sum("l_quantity").alias("clicks"), F.count(F.lit(1)).alias("conversions")))
+    grain = shared(grain)  # days x campaigns x channels; three outputs derive from it
     day = grain.groupBy("date_key").agg(
         F.sum("spend").alias("spend"), F.sum("rev").alias("rev"), F.sum("clicks").alias("clicks"),
         F.sum("conversions").alias("conversions"),
@@ -218,7 +228,7 @@ def channel_attribution(events: DataFrame, model: str = "linear") -> DataFrame:
     """
     e = events.select("event_id", "ts", "user_id", "event_type", "value") \
               .withColumn("is_purchase", F.col("event_type") == "purchase")
-    e = running_count(e, "is_purchase", out="epoch")
+    e = shared(running_count(e, "is_purchase", out="epoch"))  # read by three branches
     conv = (e.where("is_purchase")
              .select("user_id", "epoch", F.col("ts").alias("conv_ts"), F.col("value").alias("conv_value")))
     touches = e.where(~F.col("is_purchase")).select("user_id", "epoch", "event_id", "ts",
@@ -262,15 +272,11 @@ def shifted_events(events: DataFrame) -> DataFrame:
 
 def user_profiles(events: DataFrame, as_of: dt.date, gap_minutes: int) -> DataFrame:
     """Lifetime profile per user from the shifted history."""
-    ev = shifted_events(events)
-    s = (sessions(ev, gap_minutes).groupBy("user_id")
-         .agg(F.count(F.lit(1)).alias("total_sessions"), F.sum("duration_minutes").alias("minutes")))
-    et = F.col("event_type")
-    u = ev.groupBy("user_id").agg(
-        F.to_date(F.min("ts")).alias("signup_date"), F.to_date(F.max("ts")).alias("last_login_date"),
-        F.count(F.when(et == "view", 1)).alias("total_page_views"),
-        F.count(F.when(et == "click", 1)).alias("total_feature_interactions"))
-    j = u.join(s, "user_id", "left")
+    j = (sessions(shifted_events(events), gap_minutes).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("total_sessions"), F.sum("duration_minutes").alias("minutes"),
+        F.sum("page_views").alias("total_page_views"), F.sum("clicks").alias("total_feature_interactions"),
+        F.to_date(F.min("session_start")).alias("signup_date"),
+        F.to_date(F.max("session_end")).alias("last_login_date")))
     asof = F.lit(as_of).cast("date")
     recency = F.datediff(asof, "last_login_date")
     tenure = F.datediff(asof, "signup_date")

@@ -44,8 +44,8 @@ ds_top_state AS ({_top('ds_state', 'n_name', 'top_state')}),
 daily_sales AS (
   SELECT d.date_key, total_orders, {rnd('coalesce(revenue, 0.0)', 4)} AS total_revenue,
     {rnd('coalesce(items, 0.0)', 4)} AS total_items_sold, unique_customers,
-    {rnd(_div('coalesce(revenue, 0.0)', 'total_orders'), 6)} AS avg_order_value,
-    {rnd(_div('coalesce(items, 0.0)', 'total_orders'), 6)} AS avg_items_per_order,
+    {rnd(_div(rnd('coalesce(revenue, 0.0)', 4), 'total_orders'), 6)} AS avg_order_value,
+    {rnd(_div(rnd('coalesce(items, 0.0)', 4), 'total_orders'), 6)} AS avg_items_per_order,
     top_product_category, top_state, delivered_orders,
     {rnd(_div('delivered_orders * 100.0', 'total_orders'), 6)} AS delivery_performance_score
   FROM ds_day_o d LEFT JOIN ds_day_li USING (date_key) LEFT JOIN ds_top_cat USING (date_key)

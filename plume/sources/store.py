@@ -116,3 +116,15 @@ def mark_done(spark: SparkSession, path: str) -> None:
     """Create ``path/_SUCCESS`` (for folders not written by a DataFrame writer)."""
     p, fs = _fs(spark, f"{path}/_SUCCESS")
     fs.create(p, True).close()
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it in the shared checkpoint folder.
+
+    For an intermediate result that several branches of one plan consume:
+    without it each branch recomputes the subtree (column pruning makes the
+    branches differ, so Spark cannot reuse the exchange).  A reliable
+    checkpoint survives executor loss and cuts the lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
