@@ -127,3 +127,15 @@ def kpi_weekly(analyzed: DataFrame) -> DataFrame:
         rnd(pct(count_if(F.col("sentiment") == "Positive"), n), 4).alias("pct_positive"),
         rnd(pct(count_if(F.col("review_length") > 100), n), 4).alias("pct_long_reviews"),
         rnd(F.stddev_samp("sentiment_score"), 6).alias("sentiment_volatility"))
+
+
+def capped_sample(df: DataFrame, by: str, cap: int = 5000, seed: int = 42, key: str = "review_id") -> DataFrame:
+    """At most ``cap`` rows per group in a seeded pseudo-random order.
+
+    The order is a SHA-256 of (key, seed), so the sample is reproducible;
+    ``row_number() <= cap`` is limited per task before the shuffle, so a
+    huge group never ships more than ``cap`` rows from any task.
+    """
+    k = F.sha2(F.concat(F.col(key), F.lit(f"|{seed}")), 256)
+    w = Window.partitionBy(by).orderBy(k)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")

@@ -152,6 +152,10 @@ WHERE sentiment IN ('Positive', 'Negative') AND rating BETWEEN 1 AND 5 AND lengt
 SELECT * FROM (SELECT sentiment, review_id, left(review_text, 100) AS review_preview, rating,
                       row_number() OVER (PARTITION BY sentiment ORDER BY review_id) AS sample_rank
                FROM reviews_analyzed) WHERE sample_rank <= 3"""),
+    "capped_sample": _with("""
+SELECT review_id, sentiment, rating FROM (
+  SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY sha256(review_id || '|42')) AS rn
+  FROM reviews_analyzed) WHERE rn <= 5000"""),
     "kpi_weekly": _with(f"""
 SELECT CAST(date_trunc('week', ingestion_timestamp) AS DATE) AS week_start, count(*) AS review_volume,
   {rnd('avg(review_length)', 4)} AS avg_length,

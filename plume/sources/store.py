@@ -67,8 +67,21 @@ def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     return h.hexdigest()[:16]
 
 
+NAMESPACE_CONF = "spark.plume.tableNamespace"
+
+
 def table_root(spark: SparkSession) -> str:
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/plume-tables"
+    """``<spark.checkpoint.dir>/plume-tables[/<namespace>]``.
+
+    A run can set ``spark.plume.tableNamespace`` to start from an empty
+    namespace (the benchmark does, so it always pays every build).
+    """
+    root = ensure_checkpoint_dir(spark).rstrip("/") + "/plume-tables"
+    try:
+        ns = spark.conf.get(NAMESPACE_CONF)
+    except Exception:  # noqa: BLE001 - unset
+        ns = None
+    return f"{root}/{ns}" if ns else root
 
 
 def written_once(spark: SparkSession, name: str, inputs: list[str],
@@ -119,12 +132,15 @@ def mark_done(spark: SparkSession, path: str) -> None:
 
 
 def shared(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared checkpoint folder.
+    """Compute ``df`` once and keep it as a Parquet table in the shared folder.
 
     For an intermediate result that several branches of one plan consume:
     without it each branch recomputes the subtree (column pruning makes the
-    branches differ, so Spark cannot reuse the exchange).  A reliable
-    checkpoint survives executor loss and cuts the lineage.
+    branches differ, so Spark cannot reuse the exchange).  The written table
+    survives executor loss, cuts the lineage and is read back columnar, so
+    each branch scans only the columns it needs.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{table_root(spark)}/_shared/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

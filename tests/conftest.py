@@ -15,8 +15,9 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from plume.session import build_session
     ckpt = tempfile.mkdtemp(prefix="plume-test-ckpt-")
+    wh = tempfile.mkdtemp(prefix="plume-test-warehouse-")
     s = build_session("local[4]", app="plume-tests", shuffle_partitions=8,
-                      conf={"spark.checkpoint.dir": ckpt})
+                      conf={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

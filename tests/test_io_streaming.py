@@ -81,3 +81,28 @@ def test_stream_dedup_keeps_first(spark, tmp_dir):
     out = S.run_stream_dedup(spark, src, SOURCE_SCHEMA, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", delay="2 days")
     got = {r.review_text: r.app_name for r in out.collect()}
     assert got == {"same text": "first", "new text": "x"}
+
+
+def test_catalog_sinks(spark, tmp_dir):
+    from pyspark.sql import types as T
+    from plume.operators import quality as Q
+    io.ensure_namespace(spark, "plume_test")
+    csv_dir = f"{tmp_dir}/orders_csv"
+    with open(f"{tmp_dir}/o.csv", "w") as fh:
+        fh.write("order_id,ts,amount\n1,2024-01-02 03:04:05,10.5\n2,2024-01-03 00:00:00,2.0\n")
+    os.makedirs(csv_dir)
+    os.replace(f"{tmp_dir}/o.csv", f"{csv_dir}/part1.csv")
+    schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+                           T.StructField("amount", T.DoubleType())])
+    t = io.load_csv_table(spark, f"{csv_dir}/*.csv", "plume_test.orders", schema, "yyyy-MM-dd HH:mm:ss")
+    assert t.count() == 2 and t.where("ts = TIMESTAMP_NTZ'2024-01-02 03:04:05'").count() == 1
+    io.refresh(spark, "plume_test.orders")
+    assert io.read_table(spark, "plume_test.orders", ["amount"]).columns == ["amount"]
+    v = io.materialize(t.where("amount > 5"), "big_orders", "view")
+    assert spark.sql("SELECT count(*) FROM big_orders").first()[0] == 1 and v.count() == 1
+    res = spark.createDataFrame([("Hypothesis Test", "P-Value", 0.01, "d")],
+                                "analysis_type string, metric_name string, metric_value double, description string")
+    back = io.save_statistical_results(res, f"{tmp_dir}/stats", dt.datetime(2024, 1, 1))
+    assert back.schema == io.STATISTICAL_RESULTS_SCHEMA and back.first().metric_value == 0.01
+    io.store_failures(Q.not_null(t, "amount"), f"{tmp_dir}/fail")
+    assert spark.read.parquet(f"{tmp_dir}/fail").count() == 0
