@@ -103,3 +103,37 @@ def long_rows(names, *rows) -> Column:
     """
     structs = [F.struct(*[c.alias(n) for c, n in zip(r, names)]) for r in rows]
     return F.inline(F.array(*structs))
+
+
+def with_share_of_total(grouped, count_col: str = "count", out: str = "percentage", digits: int = 2):
+    """``round(count * 100 / SUM(count) OVER (), d)`` without a one-partition window.
+
+    The total is a one-row aggregate attached by a broadcast cross join of
+    exactly one row, so the grouped frame keeps its partitioning.
+    """
+    total = grouped.agg(F.sum(count_col).alias("_total"))
+    return (grouped.crossJoin(F.broadcast(total))
+                   .withColumn(out, rnd(F.col(count_col) * 100.0 / F.col("_total"), digits))
+                   .drop("_total"))
+
+
+def prefix_before(df, order_cols, weight: str, out: str = "_before", partitions: int | None = None):
+    """Sum of ``weight`` over all rows strictly before each row in ``order_cols`` order.
+
+    A distributed prefix sum: rows are range-partitioned on the order
+    (balanced by sampling), summed within each range partition by a window
+    partitioned by the partition id, and shifted by the totals of all
+    earlier partitions (a table with one row per partition, broadcast).
+    No step holds more than one range partition in a task.  Intended for
+    distinct keys (ties within one range partition are ordered arbitrarily).
+    """
+    from pyspark.sql import Window
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    local_w = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    s = s.withColumn("_local", F.coalesce(F.sum(weight).over(local_w), F.lit(0)))
+    tot = s.groupBy("_pid").agg(F.sum(weight).alias("_t"))
+    off_w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tot.select("_pid", F.coalesce(F.sum("_t").over(off_w), F.lit(0)).alias("_off"))
+    return (s.join(F.broadcast(offsets), "_pid")
+             .withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off"))

@@ -13,18 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bins
-from ..functions.columns import count_if, long_rows, pct, rnd, safe_div
+from ..functions.columns import count_if, long_rows, pct, rnd, safe_div, with_share_of_total
 from ..params import REVIEWS
 from .transform import length_outlier_threshold, misaligned_example
 
 
-def _pct_of_total(count_col: str = "count", digits: int = 2) -> Column:
-    """ROUND(count * 100.0 / SUM(count) OVER (), d) on an already grouped frame.
-
-    The window runs over one row per group, never over raw rows.
-    """
-    total = F.sum(count_col).over(Window.partitionBy())
-    return rnd(F.col(count_col) * 100.0 / total, digits)
 
 
 # ---- raw table profile (D1-D4, G4, Q8) ------------------------------------
@@ -43,8 +36,7 @@ def raw_profile(raw: DataFrame) -> DataFrame:
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """Count and percent of total per value."""
-    return (df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-              .withColumn("percentage", _pct_of_total()))
+    return with_share_of_total(df.groupBy(column).agg(F.count(F.lit(1)).alias("count")))
 
 
 def raw_quality(raw: DataFrame) -> DataFrame:
@@ -108,7 +100,7 @@ def stats_by(df: DataFrame, key: str, with_length: bool = True) -> DataFrame:
             rnd(F.stddev_samp("rating"), 6).alias("stddev_rating")]
     if with_length:
         aggs.append(rnd(F.avg("review_length"), 6).alias("avg_length"))
-    return df.groupBy(key).agg(*aggs).withColumn("percentage", _pct_of_total())
+    return with_share_of_total(df.groupBy(key).agg(*aggs))
 
 
 def _fixed(c: Column, scale: int) -> Column:
@@ -137,7 +129,7 @@ def summary_statistics(analyzed: DataFrame) -> DataFrame:
 
     def dist(key: str, category: str, label: Column, desc) -> DataFrame:
         g = grain.groupBy(key).agg(F.sum("n").alias("count"), F.sum("sum_rating").alias("sr"))
-        g = g.withColumn("percentage", _pct_of_total())
+        g = with_share_of_total(g)
         value = F.concat(label, F.lit(": "), F.col("count").cast("string"), F.lit(" ("),
                          _fixed(F.col("percentage"), 2), F.lit("%)"))
         description = desc if desc is not None else F.concat(
@@ -222,7 +214,7 @@ def length_rating_crosstab(corr: DataFrame) -> DataFrame:
     """Length bin x rating category with percent of total, custom order."""
     g = corr.groupBy("length_bin", "rating_category").agg(
         F.count(F.lit(1)).alias("count"), rnd(F.avg("rating"), 2).alias("avg_rating"))
-    return (g.withColumn("percentage_of_total", _pct_of_total())
+    return (with_share_of_total(g, out="percentage_of_total")
              .orderBy(bins.order_rank("length_bin", bins.LENGTH_BIN_ORDER), "rating_category"))
 
 

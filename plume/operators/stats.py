@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bins
-from ..functions.columns import long_rows, rnd
+from ..functions.columns import long_rows, prefix_before, rnd
 from ..functions.stats_math import f_sf_col, t_greater_p_col, t_quantile_col, t_two_sided_p_col
 
 
@@ -89,14 +89,13 @@ def _corr_row(m: DataFrame, with_p: bool) -> DataFrame:
 def average_ranks(df: DataFrame, value: str, weight: str = "cnt") -> DataFrame:
     """Average (mid) rank of each distinct value of ``value``.
 
-    ``df`` holds distinct (value, weight) counts.  The window runs over the
-    distinct values only, so its size is bounded by the value domain, not by
-    the number of rows.
+    ``df`` holds distinct (value, weight) counts.  The rows below each value
+    come from a distributed prefix sum over the distinct values (range
+    partitioned), so no task holds all values.
     """
     c = df.groupBy(value).agg(F.sum(weight).alias("_c"))
-    w = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("_c").over(w), F.lit(0))
-    return c.select(value, (below + (F.col("_c") + 1) / 2.0).alias(f"_rank_{value}"))
+    c = prefix_before(c, [value], "_c", out="_below")
+    return c.select(value, (F.col("_below") + (F.col("_c") + 1) / 2.0).alias(f"_rank_{value}"))
 
 
 def spearman(df: DataFrame, x: str, y: str, with_p: bool = False) -> DataFrame:

@@ -321,21 +321,27 @@ def platform_percentiles(users: DataFrame) -> DataFrame:
 def top_features(features: DataFrame, k: int = 10, k_engagement: int = 5) -> DataFrame:
     """Ordered feature lists; the engagement top-5 is taken inside the volume top-10.
 
-    Ranks are global windows over the feature dimension (one row per feature).
+    Both rankings are distributed top-k (``orderBy().limit()``: each task
+    keeps k rows, the driver merges k per task), never a global window over
+    the feature table: the volume top-k, and the global engagement top-k,
+    whose members inside the volume top-k keep their global engagement rank.
     """
-    w_pop = Window.orderBy(F.col("total_interactions").desc_nulls_first(), F.col("feature_name"))
-    w_eng = Window.orderBy(F.col("interactions_per_user").desc_nulls_first(), F.col("feature_name"))
-    ranked = (features.select("feature_name", F.row_number().over(w_pop).alias("popularity_rank"),
-                              F.row_number().over(w_eng).alias("engagement_rank"))
-                      .where(F.col("popularity_rank") <= k))
-
-    def ordered(rank: str, cond: Column) -> Column:
-        items = F.collect_list(F.when(cond, F.struct(F.col(rank).alias("r"), F.col("feature_name").alias("n"))))
+    by_volume = features.orderBy(F.col("total_interactions").desc_nulls_first(), F.col("feature_name")).limit(k)
+    by_engagement = features.orderBy(F.col("interactions_per_user").desc_nulls_first(),
+                                     F.col("feature_name")).limit(k_engagement)
+    vol = by_volume.select("feature_name", F.row_number().over(
+        Window.orderBy(F.col("total_interactions").desc_nulls_first(), F.col("feature_name"))).alias("popularity_rank"))
+    eng = by_engagement.select("feature_name", F.row_number().over(
+        Window.orderBy(F.col("interactions_per_user").desc_nulls_first(), F.col("feature_name"))).alias("engagement_rank"))
+    ranked = vol.join(eng, "feature_name", "left")
+
+    def ordered(rank: str) -> Column:
+        items = F.collect_list(F.when(F.col(rank).isNotNull(),
+                                      F.struct(F.col(rank).alias("r"), F.col("feature_name").alias("n"))))
         joined = F.array_join(F.transform(F.array_sort(items), lambda x: x["n"]), ", ")
         return F.when(F.size(items) > 0, joined)
-    return ranked.agg(ordered("popularity_rank", F.lit(True)).alias("top_features_by_volume"),
-                      ordered("engagement_rank", F.col("engagement_rank") <= k_engagement)
-                      .alias("top_features_by_engagement"))
+    return ranked.agg(ordered("popularity_rank").alias("top_features_by_volume"),
+                      ordered("engagement_rank").alias("top_features_by_engagement"))
 
 
 def dim_user(profiles: DataFrame, metrics: DataFrame, features: DataFrame, params,

@@ -86,3 +86,17 @@ def test_statistical_results_long_format(spark):
     assert [r.metric_name for r in res] == ["Positive Mean Rating", "Negative Mean Rating", "P-Value",
                                             "Effect Size (Cohens D)", "Length-Rating Correlation",
                                             "Correlation P-Value"]
+
+
+def test_distributed_prefix_sum_matches_brute_force(spark):
+    from plume.functions.columns import prefix_before
+    random.seed(11)
+    vals = random.sample(range(100000), 2000)
+    rows = [(v, random.randint(1, 9)) for v in vals]
+    df = spark.createDataFrame(rows, "v long, w long")
+    got = {r.v: r.b for r in prefix_before(df, ["v"], "w", out="b", partitions=13).collect()}
+    acc, want = 0, {}
+    for v, w in sorted(rows):
+        want[v] = acc
+        acc += w
+    assert got == want
