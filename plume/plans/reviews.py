@@ -17,7 +17,7 @@ from ..operators import analysis as A
 from ..operators import ingest, transform
 from ..sources.fixtures import review_file
 from ..sources import io
-from ..sources.store import materialized, written_once
+from ..sources.store import materialized, spread, written_once
 
 
 def _inputs(sf_dir: str) -> list[str]:
@@ -31,7 +31,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     table is, so min/max statistics let Parquet skip row groups.
     """
     return materialized(spark, "raw_reviews", _inputs(sf_dir),
-                        lambda: ingest.ingest_reviews(review_file(spark, sf_dir)),
+                        lambda: ingest.ingest_reviews(spread(review_file(spark, sf_dir))),
                         sort_within=["sentiment", "rating"]).select(*ingest.RAW_REVIEW_COLUMNS)
 
 

@@ -16,6 +16,7 @@ SOURCE_SCHEMA = T.StructType([
     T.StructField("Sentiment", T.StringType()), T.StructField("Rating", T.StringType()),
     T.StructField("App", T.StringType()), T.StructField("ingestion_timestamp", T.TimestampNTZType())])
 SOURCE_FILES = 8
+FILES_PER_BATCH = 2       # 4 micro-batches per run
 # The fixture's files mix all 30 days, so a watermark shorter than that would
 # (correctly) drop rows as late; the registered runs use a delay covering the
 # month so their totals equal the batch tables.  Tests exercise short delays.
@@ -33,7 +34,7 @@ def _run(spark, d, name, runner):
     src = _source(spark, d)
 
     def write(path: str) -> None:
-        runner(spark, src, SOURCE_SCHEMA, f"{path}/sink", f"{path}/checkpoint", DELAY)
+        runner(spark, src, SOURCE_SCHEMA, f"{path}/sink", f"{path}/checkpoint", DELAY, FILES_PER_BATCH)
         mark_done(spark, path)
     return written_once(spark, name, _inputs(d), write, in_place=True)
 

@@ -144,3 +144,15 @@ def shared(df: DataFrame) -> DataFrame:
     path = f"{table_root(spark)}/_shared/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a CPU-heavy stage at least one partition per core.
+
+    Only when the input has fewer partitions than the cluster has cores (a
+    few large files); on a large input this is a no-op.  ``repartition(n)``
+    sorts locally before dealing rows out, so a retried task gets the same
+    rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
