@@ -5,8 +5,9 @@ sends every event of a user to one task (Spark's batch ``session_window``
 plans exactly that: Exchange by user -> Sort -> MergingSessions), so a user
 holding a third of all events would stall the stage.  Here the order-
 dependent work runs in windows partitioned by (user, time bucket); what
-crosses bucket edges is carried through small per-(user, bucket) summaries.
-Events are shuffled once; the summaries have one row per user and bucket.
+crosses bucket edges is carried through per-(user, bucket) summaries with
+one row per bucket that has events, whose per-user windows are bounded by
+the user's time span divided by the bucket width, not by its event count.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ MICROS_PER_DAY = 86_400_000_000
 
 
 def sessionize(events: DataFrame, gap_minutes: int, user: str = "user_id", ts: str = "ts",
-               tiebreak: str = "event_id") -> DataFrame:
+               tiebreak: str = "event_id", bucket_minutes: int = 60) -> DataFrame:
     """Add ``session_start_us``: epoch micros of the first event of the session.
 
     A new session starts when the previous event of the same user (order
@@ -29,39 +30,44 @@ def sessionize(events: DataFrame, gap_minutes: int, user: str = "user_id", ts: s
     none.  An event exactly one gap later stays in the session, like
     ``session_window``.
 
-    Buckets are gap-sized, so the previous event within one gap lies in the
-    same or the preceding bucket: the bucket edge needs only the preceding
-    bucket's last time (an equi-join on bucket - 1).  The session a bucket
-    opens with may have started many buckets earlier, which a running max of
-    session starts over the per-bucket summary supplies.
+    Events are windowed per (user, bucket) with buckets of
+    ``bucket_minutes`` (independent of the gap), so a user with a huge share
+    of the events is still spread over many tasks.  What crosses bucket edges
+    comes from the per-(user, bucket) summary, one row per bucket with
+    events: the last event time of all earlier buckets (for the first event
+    of a bucket) and the latest session start of all earlier buckets (for
+    events before the first start inside their bucket), both as running maxima
+    over that summary.
     """
     gap = gap_minutes * MICROS_PER_MINUTE
+    width = bucket_minutes * MICROS_PER_MINUTE
     e = (events.withColumn("_t", epoch_micros(ts))
-               .withColumn("_b", F.floor(F.col("_t") / F.lit(gap)).cast("long")))
+               .withColumn("_b", F.floor(F.col("_t") / F.lit(width)).cast("long")))
     w = Window.partitionBy(user, "_b").orderBy("_t", tiebreak)
     e = e.withColumn("_prev", F.lag("_t").over(w))
-    prev_bucket = (e.groupBy(user, "_b").agg(F.max("_t").alias("_pmax"))
-                    .withColumn("_b", F.col("_b") + 1))
+    earlier = Window.partitionBy(user).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    prev_bucket = (e.groupBy(user, "_b").agg(F.max("_t").alias("_bmax"))
+                    .select(user, "_b", F.max("_bmax").over(earlier).alias("_pmax")))
     e = e.join(prev_bucket, [user, "_b"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_pmax"))
     e = e.withColumn("_start", prev.isNull() | ((F.col("_t") - prev) > F.lit(gap)))
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     e = e.withColumn("_sid", F.max(F.when(F.col("_start"), F.col("_t"))).over(run))
-    carry_w = Window.partitionBy(user).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = (e.groupBy(user, "_b").agg(F.max(F.when(F.col("_start"), F.col("_t"))).alias("_last"))
-              .select(user, "_b", F.max("_last").over(carry_w).alias("_carry")))
+              .select(user, "_b", F.max("_last").over(earlier).alias("_carry")))
     e = e.join(carry, [user, "_b"], "left")
     return (e.withColumn("session_start_us", F.coalesce(F.col("_sid"), F.col("_carry")))
              .drop("_t", "_b", "_prev", "_pmax", "_start", "_sid", "_carry"))
 
 
-def sessions(events: DataFrame, gap_minutes: int, user: str = "user_id", ts: str = "ts") -> DataFrame:
+def sessions(events: DataFrame, gap_minutes: int, user: str = "user_id", ts: str = "ts",
+             bucket_minutes: int = 60) -> DataFrame:
     """One row per session: start/end, duration, events, views, purchase, value.
 
     The grouping by (user, session) combines map-side, so even a single
     huge session ships one partial row per task.
     """
-    e = sessionize(events, gap_minutes, user, ts)
+    e = sessionize(events, gap_minutes, user, ts, bucket_minutes=bucket_minutes)
     et = F.col("event_type")
     return e.groupBy(user, "session_start_us").agg(
         F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
@@ -76,14 +82,14 @@ def sessions(events: DataFrame, gap_minutes: int, user: str = "user_id", ts: str
 
 
 def running_count(df: DataFrame, flag: str, user: str = "user_id", ts: str = "ts",
-                  tiebreak: str = "event_id", bucket_days: int = 1, out: str = "prior_count") -> DataFrame:
+                  tiebreak: str = "event_id", bucket_minutes: int = 60, out: str = "prior_count") -> DataFrame:
     """Number of earlier rows of the same user with ``flag`` true (strictly before).
 
-    Prefix sum split by day buckets: a windowed count inside each
+    Prefix sum split by time buckets: a windowed count inside each
     (user, bucket) plus the offset of all earlier buckets from a running sum
-    over the per-bucket totals.
+    over the per-bucket totals (one row per bucket with events).
     """
-    b = F.floor(epoch_micros(ts) / F.lit(bucket_days * MICROS_PER_DAY)).cast("long")
+    b = F.floor(epoch_micros(ts) / F.lit(bucket_minutes * MICROS_PER_MINUTE)).cast("long")
     e = df.withColumn("_b", b).withColumn("_f", F.col(flag).cast("int"))
     w = (Window.partitionBy(user, "_b").orderBy(ts, tiebreak)
          .rowsBetween(Window.unboundedPreceding, -1))

@@ -52,6 +52,14 @@ def test_sessions_match_brute_force_with_hot_user(spark):
         assert got == _brute_sessions(rows, 720)
 
 
+def test_sessions_with_buckets_much_smaller_than_the_gap(spark):
+    rows = _random_rows(4, n=300)
+    for bucket in (7, 1440):
+        got = {(r.user_id, r.session_start, r.n_events)
+               for r in S.sessions(_events(spark, rows), 720, bucket_minutes=bucket).collect()}
+        assert got == _brute_sessions(rows, 720)
+
+
 def test_exact_gap_stays_in_session(spark):
     rows = [(1, BASE, 1, "view", 0.0, None), (2, BASE + dt.timedelta(minutes=720), 1, "view", 0.0, None),
             (3, BASE + dt.timedelta(minutes=1441), 1, "view", 0.0, None)]
