@@ -26,9 +26,10 @@ def dedup_reviews(df: DataFrame) -> DataFrame:
 
     Tie-break: ``app_name`` ascending (NULL first), then ``rid``.  Written
     as a grouped ``min_by`` over an ordering struct instead of ``row_number``:
-    the hash aggregate combines map-side, so a key repeated millions of times
-    ships one row per map task, and the group key is the 32-byte SHA-256 of
-    the text instead of the text itself.
+    the aggregate combines map-side (``partial_min_by``; sort-based, since
+    the buffer holds strings), so a key repeated millions of times ships one
+    row per map task, and the group key is the 32-byte SHA-256 of the text
+    instead of the text itself.
     """
     key = F.struct(
         F.col("ingestion_timestamp").isNull().alias("k0"),
@@ -41,14 +42,18 @@ def dedup_reviews(df: DataFrame) -> DataFrame:
               .select("_row.*"))
 
 
-def length_outlier_threshold(raw: DataFrame, q: float = REVIEWS.outlier_quantile) -> DataFrame:
+def length_outlier_threshold(raw: DataFrame, q: float = REVIEWS.outlier_quantile,
+                             exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """One-row P95 of ``review_length`` over the *raw* table (trap T6).
 
-    Exact discrete percentile; its state is a value->count map, so memory is
-    bounded by the number of distinct lengths, not rows.
+    Exact discrete percentile by default; its state is a value->count map,
+    so memory is bounded by the number of distinct lengths, not rows.
+    ``exact=False`` uses the mergeable approximate quantile sketch, like the
+    original's approximate quantiles.
     """
-    return raw.agg(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY review_length)")
-                   .cast("long").alias("p95_length"))
+    p = (F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY review_length)") if exact
+         else F.percentile_approx("review_length", q, accuracy))
+    return raw.agg(p.cast("long").alias("p95_length"))
 
 
 def reviews_analyzed(raw: DataFrame, transformation_ts: dt.datetime | None = None) -> DataFrame:

@@ -51,7 +51,7 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         io.write_csv(review_file(spark, sf_dir).select(*[f.name for f in CSV_SCHEMA.fields]), path)
     path = written_once(spark, "review_csv", _inputs(sf_dir), write)
-    return ingest.ingest_reviews(io.read_reviews_csv(spark, path, CSV_SCHEMA))
+    return ingest.ingest_reviews(spread(io.read_reviews_csv(spark, path, CSV_SCHEMA)))
 
 
 def partitioned_raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,5 +104,7 @@ def test_catalog_sinks(spark, tmp_dir):
                                 "analysis_type string, metric_name string, metric_value double, description string")
     back = io.save_statistical_results(res, f"{tmp_dir}/stats", dt.datetime(2024, 1, 1))
     assert back.schema == io.STATISTICAL_RESULTS_SCHEMA and back.first().metric_value == 0.01
+    io.export_parquet(t, f"{tmp_dir}/export", partition_by=["order_id"])
+    assert spark.read.parquet(f"{tmp_dir}/export").where("order_id = 2").count() == 1
     io.store_failures(Q.not_null(t, "amount"), f"{tmp_dir}/fail")
     assert spark.read.parquet(f"{tmp_dir}/fail").count() == 0

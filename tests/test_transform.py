@@ -76,3 +76,11 @@ def test_alignment_examples_limits_to_three_in_id_order(spark):
     r = A.alignment_examples(a).where("sentiment_rating_alignment = 'Misaligned'").first()
     assert r["count"] == 10 and r.misaligned_examples.count(" || ") == 2
     assert r.misaligned_examples.startswith("Rating: 2.0 | misaligned review")
+
+
+def test_approximate_threshold_is_close(spark):
+    rows = [_row(i, "x" * (3 + i), "Positive", 4.0, "a", 1) for i in range(200)]
+    raw = spark.createDataFrame(rows, SCHEMA)
+    exact = transform.length_outlier_threshold(raw).first().p95_length
+    approx = transform.length_outlier_threshold(raw, exact=False).first().p95_length
+    assert abs(exact - approx) <= 2
