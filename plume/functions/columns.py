@@ -137,3 +137,19 @@ def prefix_before(df, order_cols, weight: str, out: str = "_before", partitions:
     offsets = tot.select("_pid", F.coalesce(F.sum("_t").over(off_w), F.lit(0)).alias("_off"))
     return (s.join(F.broadcast(offsets), "_pid")
              .withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off"))
+
+
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a date/datetime, independent of any time zone.
+
+    ``lit(datetime)`` builds a zoned timestamp through the session zone; a
+    wall-clock text cast to TIMESTAMP_NTZ does not.
+    """
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        text = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        text = f"{value.isoformat()} 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bins
-from ..functions.columns import count_if, null_if_na, strip_ws, word_count_ws
+from ..functions.columns import count_if, ntz_lit, null_if_na, strip_ws, word_count_ws
 from ..params import REVIEWS
 
 # ---- fixed values: accepted input spellings -> canonical name, in the order
@@ -109,7 +109,7 @@ def add_metadata(df: DataFrame, ingestion_ts: dt.datetime | None = None,
     cols = {"data_source": F.lit(source_tag)}
     if ingestion_ts is not None or "ingestion_timestamp" not in df.columns:
         ts = ingestion_ts or dt.datetime(2024, 1, 1)
-        cols["ingestion_timestamp"] = F.lit(ts).cast("timestamp_ntz")
+        cols["ingestion_timestamp"] = ntz_lit(ts)
     return df.withColumns(cols)
 
 

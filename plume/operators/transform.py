@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bins
-from ..functions.columns import strip_ws, word_count_space
+from ..functions.columns import ntz_lit, strip_ws, word_count_space
 from ..params import REVIEWS
 
 
@@ -87,7 +87,7 @@ def reviews_analyzed(raw: DataFrame, transformation_ts: dt.datetime | None = Non
         F.when(s == "Neutral", r).alias("neutral_rating"),
     )
     if transformation_ts is not None:
-        out = out.withColumn("transformation_timestamp", F.lit(transformation_ts))
+        out = out.withColumn("transformation_timestamp", ntz_lit(transformation_ts))
     return out
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ...functions import bins
-from ...functions.columns import rnd
+from ...functions.columns import ntz_lit, rnd
 
 
 def _date_filter(df: DataFrame, params) -> DataFrame:
@@ -176,7 +176,7 @@ def business_kpis(daily: DataFrame, params, created_at: dt.datetime | None = Non
         (eng >= params.high_engagement_score).alias("is_high_engagement_day"),
         F.coalesce((rev > 0) & (spend > 0) & (_ratio(spend > 0, rev, spend) > 2), F.lit(False)).alias("is_profitable_day"))
     if created_at is not None:
-        out = out.withColumn("created_at", F.lit(created_at)).withColumn("updated_at", F.lit(created_at))
+        out = out.withColumn("created_at", ntz_lit(created_at)).withColumn("updated_at", ntz_lit(created_at))
     return out
 
 
@@ -258,7 +258,7 @@ def dim_marketing(campaigns: DataFrame, channels: DataFrame, stg_mkt: DataFrame,
         "top_channel", "top_channel_contribution", "top_channel_tier", "total_annual_spend",
         "avg_annual_roas", "avg_monthly_growth_pct")
     if created_at is not None:
-        out = out.withColumn("created_at", F.lit(created_at))
+        out = out.withColumn("created_at", ntz_lit(created_at))
     return out
 
 
@@ -370,7 +370,7 @@ def dim_user(profiles: DataFrame, metrics: DataFrame, features: DataFrame, param
         F.col("avg_engagement_score").alias("platform_avg_engagement"),
         "top_features_by_volume", "top_features_by_engagement")
     if created_at is not None:
-        out = out.withColumn("created_at", F.lit(created_at))
+        out = out.withColumn("created_at", ntz_lit(created_at))
     return out
 
 

@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ...functions.columns import day_number, epoch_micros, rnd, safe_div
+from ...functions.columns import day_number, epoch_micros, ntz_lit, rnd, safe_div
 from ...functions.bins import roas_tier
 from ...sources.store import shared
 from .sessions import MICROS_PER_DAY, running_count, sessions
@@ -38,10 +38,10 @@ def _ts_range(col: str, start: dt.date | None, end: dt.date | None) -> Column:
     """Timestamp-range predicate that Parquet can push down (a cast to date cannot)."""
     cond = F.lit(True)
     if start is not None:
-        cond = cond & (F.col(col) >= F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz"))
+        cond = cond & (F.col(col) >= ntz_lit(dt.datetime.combine(start, dt.time())))
     if end is not None:
         nxt = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
-        cond = cond & (F.col(col) < F.lit(nxt).cast("timestamp_ntz"))
+        cond = cond & (F.col(col) < ntz_lit(nxt))
     return cond
 
 
@@ -265,7 +265,7 @@ def channel_attribution(events: DataFrame, model: str = "linear") -> DataFrame:
 def shifted_events(events: DataFrame) -> DataFrame:
     """User-history recipe: shift each user back by user_id mod 45 days; users
     with user_id mod 10 = 0 keep only events from the cutoff (so some are new)."""
-    keep = (F.col("user_id") % 10 != 0) | (F.col("ts") >= F.lit(NEW_USER_CUTOFF).cast("timestamp_ntz"))
+    keep = (F.col("user_id") % 10 != 0) | (F.col("ts") >= ntz_lit(NEW_USER_CUTOFF))
     shift = F.expr(f"make_dt_interval(CAST(user_id % {USER_SHIFT_MODULUS} AS INT), 0, 0, 0)")
     return events.where(keep).withColumn("ts", F.col("ts") - shift)
 
@@ -308,13 +308,13 @@ def user_engagement_metrics(events: DataFrame, as_of: dt.date, gap_minutes: int,
     lo = dt.datetime.combine(as_of - dt.timedelta(days=days - 1), dt.time())
     hi = dt.datetime.combine(as_of + dt.timedelta(days=1), dt.time())
     s = (sessions(ev, gap_minutes)
-         .where((F.col("session_start") >= F.lit(lo).cast("timestamp_ntz"))
-                & (F.col("session_start") < F.lit(hi).cast("timestamp_ntz")))
+         .where((F.col("session_start") >= ntz_lit(lo))
+                & (F.col("session_start") < ntz_lit(hi)))
          .groupBy("user_id").agg(F.count(F.lit(1)).alias("recent_sessions"),
                                  rnd(F.sum("duration_minutes"), 4).alias("recent_session_minutes"),
                                  F.max("session_start").alias("last_session_timestamp")))
-    f = (ev.where((F.col("event_type") == "click") & (F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
-                  & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+    f = (ev.where((F.col("event_type") == "click") & (F.col("ts") >= ntz_lit(lo))
+                  & (F.col("ts") < ntz_lit(hi)))
            .groupBy("user_id").agg(F.countDistinct(_feature_key()).alias("features_used")))
     return s.join(f, "user_id", "full").select(
         "user_id", F.coalesce("recent_sessions", F.lit(0)).alias("recent_sessions"),

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import ntz_lit
+
 # ---- A1 / A2: review CSV -----------------------------------------------------
 
 REVIEW_CSV_SCHEMA = T.StructType([
@@ -155,7 +157,7 @@ STATISTICAL_RESULTS_SCHEMA = T.StructType([
 def save_statistical_results(results: DataFrame, path: str, analysis_ts: dt.datetime) -> DataFrame:
     """Results with the fixed schema, truncating write; the time is an argument."""
     df = results.select("analysis_type", "metric_name", F.col("metric_value").cast("double"), "description",
-                        F.lit(analysis_ts).cast("timestamp_ntz").alias("analysis_timestamp"))
+                        ntz_lit(analysis_ts).alias("analysis_timestamp"))
     df.write.mode("overwrite").parquet(path)
     return results.sparkSession.read.schema(STATISTICAL_RESULTS_SCHEMA).parquet(path)
 
