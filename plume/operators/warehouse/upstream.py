@@ -31,6 +31,9 @@ USER_SHIFT_MODULUS = 45
 USER_SEGMENTS = ("Consumer", "SMB", "Enterprise")
 SUBSCRIPTION_TIERS = ("Premium", "Pro", "Free", "Trial")
 NEW_USER_CUTOFF = "2024-01-20"
+HISTORY_START_US = 1_704_067_200_000_000   # 2024-01-01 00:00:00 in epoch micros
+HISTORY_DAYS = 30
+NEW_USER_SPAN_DAYS = 11
 FEATURE_CATEGORIES = 5
 
 
@@ -263,11 +266,16 @@ def channel_attribution(events: DataFrame, model: str = "linear") -> DataFrame:
 # ---- U6-U8 -------------------------------------------------------------------
 
 def shifted_events(events: DataFrame) -> DataFrame:
-    """User-history recipe: shift each user back by user_id mod 45 days; users
-    with user_id mod 10 = 0 keep only events from the cutoff (so some are new)."""
-    keep = (F.col("user_id") % 10 != 0) | (F.col("ts") >= ntz_lit(NEW_USER_CUTOFF))
+    """User-history recipe (every event kept): users with user_id mod 10 = 0
+    have their month of history compressed into its last 11 days (so some
+    users are new), then each user is shifted back by user_id mod 45 days."""
+    e = events.withColumn("_d", epoch_micros("ts") - F.lit(HISTORY_START_US))
+    squeezed_us = F.expr(f"(_d * {NEW_USER_SPAN_DAYS}) div {HISTORY_DAYS}")
+    squeezed = ntz_lit(NEW_USER_CUTOFF) + F.make_dt_interval(
+        secs=(squeezed_us / F.lit(1_000_000)).cast("decimal(18,6)"))
+    ts = F.when(F.col("user_id") % 10 == 0, squeezed).otherwise(F.col("ts"))
     shift = F.expr(f"make_dt_interval(CAST(user_id % {USER_SHIFT_MODULUS} AS INT), 0, 0, 0)")
-    return events.where(keep).withColumn("ts", F.col("ts") - shift)
+    return e.withColumn("ts", ts - shift).drop("_d")
 
 
 def user_profiles(events: DataFrame, as_of: dt.date, gap_minutes: int) -> DataFrame:

@@ -348,11 +348,17 @@ dim_marketing AS (
               FROM monthly_trends) mt)"""
 
 
+def _shifted_events_sql(events: str) -> str:
+    """Every event kept; users with user_id % 10 = 0 squeezed into the last 11 days, then shifted."""
+    return ("SELECT event_id, CASE WHEN user_id % 10 = 0 THEN TIMESTAMP '2024-01-20' + "
+            "to_microseconds(((epoch_us(ts) - 1704067200000000) * 11) // 30) ELSE ts END "
+            f"- to_days(CAST(user_id % 45 AS INTEGER)) AS ts, user_id, event_type, value, props FROM {events}")
+
+
 def profiles_sql(name: str, events: str, as_of: str) -> str:
     """U6 over ``events`` as of ``as_of``."""
     return f"""
-{name}_sev AS (SELECT event_id, ts - to_days(CAST(user_id % 45 AS INTEGER)) AS ts, user_id, event_type, value, props
-              FROM {events} WHERE user_id % 10 <> 0 OR ts >= TIMESTAMP '2024-01-20'),""" + \
+{name}_sev AS ({_shifted_events_sql(events)}),""" + \
         sessions_sql(f"{name}_ss", f"{name}_sev") + f""",
 {name}_s AS (SELECT user_id, count(*) AS total_sessions, sum(duration_minutes) AS minutes FROM {name}_ss GROUP BY 1),
 {name}_u AS (SELECT user_id, CAST(min(ts) AS DATE) AS signup_date, CAST(max(ts) AS DATE) AS last_login_date,
@@ -376,8 +382,7 @@ def profiles_sql(name: str, events: str, as_of: str) -> str:
 PROFILES = profiles_sql("user_profiles", "events", AS_OF)
 
 METRICS = f"""
-um_sev AS (SELECT event_id, ts - to_days(CAST(user_id % 45 AS INTEGER)) AS ts, user_id, event_type, value, props
-           FROM events WHERE user_id % 10 <> 0 OR ts >= TIMESTAMP '2024-01-20'),""" + sessions_sql("um_ss", "um_sev") + f""",
+um_sev AS (""" + _shifted_events_sql("events") + """),""" + sessions_sql("um_ss", "um_sev") + f""",
 um_s AS (SELECT user_id, count(*) AS recent_sessions, {rnd('sum(duration_minutes)', 4)} AS recent_session_minutes,
                 max(session_start) AS last_session_timestamp
          FROM um_ss WHERE session_start >= TIMESTAMP '2024-01-02' AND session_start < TIMESTAMP '2024-02-01'
@@ -505,7 +510,7 @@ _BLOCKS = {
     "stg_sales": [DAILY_SALES, STG_SALES],
     "stg_marketing": [DAILY_MARKETING, STG_MARKETING],
     "stg_engagement": [DAILY_ENGAGEMENT, STG_ENGAGEMENT],
-    "date_spine": [SPINE],
+
     "unified_daily": [DAILY_SALES, STG_SALES, DAILY_MARKETING, STG_MARKETING, DAILY_ENGAGEMENT, STG_ENGAGEMENT,
                       SPINE, UNIFIED],
     "campaigns": [CAMPAIGNS],
@@ -542,3 +547,10 @@ SELECT campaign_id,
   {rnd('percent_rank() OVER (ORDER BY roas ASC NULLS LAST, campaign_id)', 6)} AS roas_percentile,
   {rnd('percent_rank() OVER (ORDER BY efficiency_score ASC NULLS LAST, campaign_id)', 6)} AS efficiency_percentile
 FROM campaigns""")
+
+SQL["date_spine"] = ("WITH " + ",".join(b.strip("\n") for b in (
+    DAILY_SALES, STG_SALES, DAILY_MARKETING, STG_MARKETING, DAILY_ENGAGEMENT, STG_ENGAGEMENT, SPINE)) + """
+SELECT ds.date_day, s.date_key IS NOT NULL AS has_sales, m.date_key IS NOT NULL AS has_marketing,
+  e.date_key IS NOT NULL AS has_engagement
+FROM date_spine ds LEFT JOIN stg_sales s ON ds.date_day = s.date_key
+LEFT JOIN stg_marketing m ON ds.date_day = m.date_key LEFT JOIN stg_engagement e ON ds.date_day = e.date_key""")

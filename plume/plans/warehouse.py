@@ -64,12 +64,22 @@ def stg_engagement(spark, d):
     return M.stg_engagement(daily_engagement(spark, d), P)
 
 
-def date_spine(spark, d):
+def _spine(spark):
     return M.date_spine(spark, P.start_date, P.end_date)
 
 
+def date_spine(spark, d):
+    """W4 as a query over the data: each spine day with the sources that cover it."""
+    spine = _spine(spark)
+    for name, src in (("has_sales", stg_sales), ("has_marketing", stg_marketing),
+                      ("has_engagement", stg_engagement)):
+        days = src(spark, d).select(F.col("date_key").alias("date_day"), F.lit(True).alias(name))
+        spine = spine.join(F.broadcast(days), "date_day", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return spine
+
+
 def unified_daily(spark, d):
-    return M.unified_daily(date_spine(spark, d), stg_sales(spark, d), stg_marketing(spark, d),
+    return M.unified_daily(_spine(spark), stg_sales(spark, d), stg_marketing(spark, d),
                            stg_engagement(spark, d))
 
 
