@@ -23,62 +23,77 @@ MICROS_PER_DAY = 86_400_000_000
 
 def sessionize(events: DataFrame, gap_minutes: int, user: str = "user_id", ts: str = "ts",
                tiebreak: str = "event_id", bucket_minutes: int = 60) -> DataFrame:
-    """Add ``session_start_us``: epoch micros of the first event of the session.
+    """Add ``session_start_us`` (epoch micros of the session's first event) to every event.
 
     A new session starts when the previous event of the same user (order
     ``ts``, ``tiebreak``) is more than ``gap_minutes`` earlier, or there is
-    none.  An event exactly one gap later stays in the session, like
-    ``session_window``.
-
-    Events are windowed per (user, bucket) with buckets of
-    ``bucket_minutes`` (independent of the gap), so a user with a huge share
-    of the events is still spread over many tasks.  What crosses bucket edges
-    comes from the per-(user, bucket) summary, one row per bucket with
-    events: the last event time of all earlier buckets (for the first event
-    of a bucket) and the latest session start of all earlier buckets (for
-    events before the first start inside their bucket), both as running maxima
-    over that summary.
+    none; an event exactly one gap later stays in the session, like
+    ``session_window``.  Events are windowed per (user, bucket of
+    ``bucket_minutes``, independent of the gap); the first event of a bucket
+    takes its predecessor from the per-bucket summary (latest event time of
+    all earlier buckets), and events before the first start inside their
+    bucket take the latest session start of all earlier buckets.
     """
+    e = _starts(events, gap_minutes, user, ts, tiebreak, bucket_minutes)
+    earlier = Window.partitionBy(user).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (e.groupBy(user, "_b").agg(F.max("_sid").alias("_last"))
+              .select(user, "_b", F.max("_last").over(earlier).alias("_carry")))
+    return (e.join(carry, [user, "_b"], "left")
+             .withColumn("session_start_us", F.coalesce(F.col("_sid"), F.col("_carry")))
+             .drop("_t", "_b", "_sid", "_carry"))
+
+
+def _starts(events: DataFrame, gap_minutes: int, user: str, ts: str, tiebreak: str,
+            bucket_minutes: int) -> DataFrame:
+    """Events with ``_b`` (bucket), ``_t`` (micros) and ``_sid`` (latest session
+    start at or before the event inside its bucket; NULL for the events of a
+    session continuing from an earlier bucket)."""
     gap = gap_minutes * MICROS_PER_MINUTE
     width = bucket_minutes * MICROS_PER_MINUTE
     e = (events.withColumn("_t", epoch_micros(ts))
                .withColumn("_b", F.floor(F.col("_t") / F.lit(width)).cast("long")))
     w = Window.partitionBy(user, "_b").orderBy("_t", tiebreak)
-    e = e.withColumn("_prev", F.lag("_t").over(w))
     earlier = Window.partitionBy(user).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     prev_bucket = (e.groupBy(user, "_b").agg(F.max("_t").alias("_bmax"))
                     .select(user, "_b", F.max("_bmax").over(earlier).alias("_pmax")))
-    e = e.join(prev_bucket, [user, "_b"], "left")
+    e = e.withColumn("_prev", F.lag("_t").over(w)).join(prev_bucket, [user, "_b"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_pmax"))
-    e = e.withColumn("_start", prev.isNull() | ((F.col("_t") - prev) > F.lit(gap)))
+    start = prev.isNull() | ((F.col("_t") - prev) > F.lit(gap))
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    e = e.withColumn("_sid", F.max(F.when(F.col("_start"), F.col("_t"))).over(run))
-    carry = (e.groupBy(user, "_b").agg(F.max(F.when(F.col("_start"), F.col("_t"))).alias("_last"))
-              .select(user, "_b", F.max("_last").over(earlier).alias("_carry")))
-    e = e.join(carry, [user, "_b"], "left")
-    return (e.withColumn("session_start_us", F.coalesce(F.col("_sid"), F.col("_carry")))
-             .drop("_t", "_b", "_prev", "_pmax", "_start", "_sid", "_carry"))
+    return e.withColumn("_sid", F.max(F.when(start, F.col("_t"))).over(run)).drop("_prev", "_pmax")
 
 
 def sessions(events: DataFrame, gap_minutes: int, user: str = "user_id", ts: str = "ts",
              bucket_minutes: int = 60) -> DataFrame:
     """One row per session: start/end, duration, events, views, purchase, value.
 
-    The grouping by (user, session) combines map-side, so even a single
-    huge session ships one partial row per task.
+    The events are windowed once (per user and bucket) and aggregated into
+    fragments, one per (user, bucket, in-bucket session), with mergeable
+    measures.  A fragment without an in-bucket start continues the latest
+    session started in an earlier bucket: a window over the fragments of
+    each user (bounded by its sessions plus buckets, not by its events)
+    assigns it, and a second aggregation merges the fragments.  Both
+    aggregations combine map-side, so even one huge session ships one
+    partial row per task.
     """
-    e = sessionize(events, gap_minutes, user, ts, bucket_minutes=bucket_minutes)
+    e = _starts(events, gap_minutes, user, ts, "event_id", bucket_minutes)
     et = F.col("event_type")
-    return e.groupBy(user, "session_start_us").agg(
-        F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
-        F.count(F.lit(1)).alias("n_events"),
-        F.count(F.when(et == "view", 1)).alias("page_views"),
-        F.count(F.when(et == "click", 1)).alias("clicks"),
-        (F.count(F.when(et == "purchase", 1)) > 0).alias("converted"),
-        F.round(F.coalesce(F.sum(F.when(et == "purchase", F.col("value"))), F.lit(0.0))
-                .cast("decimal(38,10)"), 6).cast("double").alias("session_value"),
-        ((F.max(epoch_micros(ts)) - F.min(epoch_micros(ts))) / F.lit(float(MICROS_PER_MINUTE)))
-        .alias("duration_minutes"))
+    frag = e.groupBy(user, "_b", "_sid").agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.min("_t").alias("_tmin"),
+        F.max("_t").alias("_tmax"), F.count(F.lit(1)).alias("_n"),
+        F.count(F.when(et == "view", 1)).alias("_views"), F.count(F.when(et == "click", 1)).alias("_clicks"),
+        F.count(F.when(et == "purchase", 1)).alias("_purchases"),
+        F.sum(F.when(et == "purchase", F.col("value"))).alias("_value"))
+    earlier = (Window.partitionBy(user).orderBy("_b", F.col("_sid").asc_nulls_first())
+               .rowsBetween(Window.unboundedPreceding, -1))
+    frag = frag.withColumn("session_start_us", F.coalesce(F.col("_sid"), F.max("_sid").over(earlier)))
+    return frag.groupBy(user, "session_start_us").agg(
+        F.min("_first").alias("session_start"), F.max("_last").alias("session_end"),
+        F.sum("_n").alias("n_events"), F.sum("_views").alias("page_views"), F.sum("_clicks").alias("clicks"),
+        (F.sum("_purchases") > 0).alias("converted"),
+        F.round(F.coalesce(F.sum("_value"), F.lit(0.0)).cast("decimal(38,10)"), 6).cast("double")
+        .alias("session_value"),
+        ((F.max("_tmax") - F.min("_tmin")) / F.lit(float(MICROS_PER_MINUTE))).alias("duration_minutes"))
 
 
 def running_count(df: DataFrame, flag: str, user: str = "user_id", ts: str = "ts",

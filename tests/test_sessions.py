@@ -60,6 +60,15 @@ def test_sessions_with_buckets_much_smaller_than_the_gap(spark):
         assert got == _brute_sessions(rows, 720)
 
 
+def test_per_event_session_ids_agree_with_sessions(spark):
+    rows = _random_rows(6, n=250)
+    ev = _events(spark, rows)
+    per_event = S.sessionize(ev, 720, bucket_minutes=30).groupBy("user_id", "session_start_us").count()
+    got = {(r.user_id, r["count"]) for r in per_event.collect()}
+    want = {(u, n) for u, _, n in _brute_sessions(rows, 720)}
+    assert got == want
+
+
 def test_exact_gap_stays_in_session(spark):
     rows = [(1, BASE, 1, "view", 0.0, None), (2, BASE + dt.timedelta(minutes=720), 1, "view", 0.0, None),
             (3, BASE + dt.timedelta(minutes=1441), 1, "view", 0.0, None)]
