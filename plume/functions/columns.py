@@ -108,9 +108,12 @@ def long_rows(names, *rows) -> Column:
 def with_share_of_total(grouped, count_col: str = "count", out: str = "percentage", digits: int = 2):
     """``round(count * 100 / SUM(count) OVER (), d)`` without a one-partition window.
 
-    The total is a one-row aggregate attached by a broadcast cross join of
-    exactly one row, so the grouped frame keeps its partitioning.
+    The grouped frame is written once (it feeds the total and the rows) and
+    the total is a one-row aggregate attached by a broadcast cross join of
+    exactly one row: no one-partition window, no second scan of the input.
     """
+    from ..sources.store import shared
+    grouped = shared(grouped)
     total = grouped.agg(F.sum(count_col).alias("_total"))
     return (grouped.crossJoin(F.broadcast(total))
                    .withColumn(out, rnd(F.col(count_col) * 100.0 / F.col("_total"), digits))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import bins
 from ..functions.columns import count_if, long_rows, pct, rnd, safe_div, with_share_of_total
 from ..params import REVIEWS
+from ..sources.store import shared
 from .transform import length_outlier_threshold, misaligned_example
 
 
@@ -112,15 +113,16 @@ def summary_statistics(analyzed: DataFrame) -> DataFrame:
     """The six metric groups as one string table.
 
     The original unions six selects over four aggregations.  Here one
-    aggregation at (sentiment, length_category, rating) grain feeds every
-    group, so the analysis table is scanned once; numbers are printed through
-    fixed-scale decimals so their text does not depend on the engine.
+    aggregation at (sentiment, length_category, rating) grain, written once,
+    feeds every group, so the analysis table is scanned once; numbers are
+    printed through fixed-scale decimals so their text does not depend on
+    the engine.
     """
-    grain = analyzed.groupBy("sentiment", "length_category", "rating").agg(
+    grain = shared(analyzed.groupBy("sentiment", "length_category", "rating").agg(
         F.count(F.lit(1)).alias("n"), F.sum("rating").alias("sum_rating"),
-        F.sum("review_length").alias("sum_length"))
-    overview = analyzed.agg(F.count(F.lit(1)).alias("n"), F.avg("rating").alias("avg_rating"),
-                            F.avg("review_length").alias("avg_length"))
+        F.sum("review_length").alias("sum_length")))
+    overview = grain.agg(F.sum("n").alias("n"), (F.sum("sum_rating") / F.sum("n")).alias("avg_rating"),
+                         (F.sum("sum_length") / F.sum("n")).alias("avg_length"))
     ov = overview.select(long_rows(
         ("metric_category", "metric_value", "description"),
         (F.lit("Dataset Overview"), F.col("n").cast("string"), F.lit("Total number of reviews analyzed")),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import bins
 from ..functions.columns import long_rows, prefix_before, rnd
 from ..functions.stats_math import f_sf_col, t_greater_p_col, t_quantile_col, t_two_sided_p_col
+from ..sources.store import shared
 
 
 def _group_moments(df: DataFrame, value: str, group: str, a: str, b: str) -> DataFrame:
@@ -106,8 +107,8 @@ def spearman(df: DataFrame, x: str, y: str, with_p: bool = False) -> DataFrame:
     3. weighted Pearson of the ranks, centred on the known rank mean (n+1)/2
        for numerical stability.
     """
-    pairs = (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-               .groupBy(x, y).agg(F.count(F.lit(1)).alias("cnt")))
+    pairs = shared(df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+                     .groupBy(x, y).agg(F.count(F.lit(1)).alias("cnt")))  # small; read by 4 branches
     rx, ry = average_ranks(pairs, x), average_ranks(pairs, y)
     total = pairs.agg(F.sum("cnt").alias("_n"))
     j = pairs.join(rx, x).join(ry, y).crossJoin(F.broadcast(total))
@@ -128,9 +129,9 @@ def anova(df: DataFrame, value: str = "rating", group: str = "sentiment", with_p
     Per-group n, mean and variance come from one grouped aggregate; the sums
     of squares are combined from those few rows.
     """
-    g = df.where(F.col(value).isNotNull()).groupBy(group).agg(
+    g = shared(df.where(F.col(value).isNotNull()).groupBy(group).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.col(value).cast("double")).alias("m"),
-        F.coalesce(F.var_samp(F.col(value).cast("double")), F.lit(0.0)).alias("v"))
+        F.coalesce(F.var_samp(F.col(value).cast("double")), F.lit(0.0)).alias("v")))
     tot = g.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
                 (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm"))
     j = g.crossJoin(F.broadcast(tot))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ...functions import bins
 from ...functions.columns import ntz_lit, rnd
+from ...sources.store import shared
 
 
 def _date_filter(df: DataFrame, params) -> DataFrame:
@@ -295,13 +296,12 @@ def user_summary(profiles: DataFrame, metrics: DataFrame, params) -> DataFrame:
 def platform_percentiles(users: DataFrame) -> DataFrame:
     """One row of platform counts, averages and exact P25/50/75/90.
 
-    The exact percentile is computed from value counts: the user scores are
-    first counted per distinct value (partial aggregation), and
-    ``percentile(value, p, frequency)`` then holds one entry per distinct
-    score instead of one per user.
+    One aggregation: ``percentile`` keeps a value -> count map (merged
+    map-side), so its state is bounded by the number of distinct scores,
+    and it runs in the same pass as the counts.
     """
     st = F.col("user_lifecycle_stage")
-    counts = users.agg(
+    m = users.agg(
         F.count(F.lit(1)).alias("total_users"),
         F.count(F.when(st == "Active", 1)).alias("active_users"),
         F.count(F.when(st == "At Risk", 1)).alias("at_risk_users"),
@@ -309,13 +309,11 @@ def platform_percentiles(users: DataFrame) -> DataFrame:
         F.count(F.when(F.col("user_value_tier") == "High Value", 1)).alias("high_value_users"),
         rnd(F.avg("profile_engagement_score"), 6).alias("avg_engagement_score"),
         rnd(F.avg("lifetime_sessions"), 6).alias("avg_lifetime_sessions"),
-        rnd(F.avg("avg_session_duration_lifetime"), 6).alias("avg_session_duration"))
-    vc = (users.where(F.col("profile_engagement_score").isNotNull())
-               .groupBy("profile_engagement_score").agg(F.count(F.lit(1)).alias("f")))
-    pc = vc.agg(F.percentile("profile_engagement_score", [0.25, 0.5, 0.75, 0.9], F.col("f")).alias("p"))
-    pc = pc.select(*[rnd(F.col("p")[i], 6).alias(n) for i, n in enumerate(
-        ("engagement_score_p25", "engagement_score_p50", "engagement_score_p75", "engagement_score_p90"))])
-    return counts.crossJoin(pc)
+        rnd(F.avg("avg_session_duration_lifetime"), 6).alias("avg_session_duration"),
+        F.percentile("profile_engagement_score", [0.25, 0.5, 0.75, 0.9]).alias("_p"))
+    names = ("engagement_score_p25", "engagement_score_p50", "engagement_score_p75", "engagement_score_p90")
+    return m.select(*[c for c in m.columns if c != "_p"],
+                    *[rnd(F.col("_p")[i], 6).alias(n) for i, n in enumerate(names)])
 
 
 def top_features(features: DataFrame, k: int = 10, k_engagement: int = 5) -> DataFrame:
@@ -351,7 +349,7 @@ def dim_user(profiles: DataFrame, metrics: DataFrame, features: DataFrame, param
     The two attached frames are single-row aggregates: broadcast cross joins
     of one row each.
     """
-    us = user_summary(profiles, metrics, params)
+    us = shared(user_summary(profiles, metrics, params))  # one join, read by three branches
     ea = platform_percentiles(us)
     tf = top_features(features)
     j = us.crossJoin(F.broadcast(ea)).crossJoin(F.broadcast(tf))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.warehouse import models as M
 from ..operators.warehouse import upstream as U
 from ..params import FIXTURE
-from ..sources.store import materialized
+from ..sources.store import materialized, shared
 from ..sources.tables import Tables
 
 P = FIXTURE
@@ -135,10 +135,10 @@ def profile_snapshot(spark, d):
     ev = _t(spark, d).events
     early = ev.where(F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz"))
 
-    def prof(e, as_of):
-        return (U.user_profiles(e, as_of, P.session_gap_minutes)
-                .select("user_id", "user_lifecycle_stage", "total_sessions",
-                        F.col("last_login_date").cast("timestamp_ntz").alias("updated_timestamp")))
+    def prof(e, as_of):  # one row per user, read by several branches of the merge
+        return shared(U.user_profiles(e, as_of, P.session_gap_minutes)
+                      .select("user_id", "user_lifecycle_stage", "total_sessions",
+                              F.col("last_login_date").cast("timestamp_ntz").alias("updated_timestamp")))
     snap = M.snapshot_scd2(prof(early, SNAPSHOT_AS_OF), None, "user_id", "updated_timestamp")
     return M.snapshot_scd2(prof(ev, P.as_of), snap, "user_id", "updated_timestamp")
 
