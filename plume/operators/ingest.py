@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bins
 from ..functions.columns import count_if, ntz_lit, null_if_na, strip_ws, word_count_ws
-from ..params import REVIEWS
+from ..params import DEFAULT, REVIEWS
 
 # ---- fixed values: accepted input spellings -> canonical name, in the order
 # they are applied.
@@ -104,7 +104,7 @@ def add_features(df: DataFrame) -> DataFrame:
 
 
 def add_metadata(df: DataFrame, ingestion_ts: dt.datetime | None = None,
-                 source_tag: str = "kaggle_google_play_store") -> DataFrame:
+                 source_tag: str = DEFAULT.data_source) -> DataFrame:
     """Ingestion time is an argument (kept when the input already has one)."""
     cols = {"data_source": F.lit(source_tag)}
     if ingestion_ts is not None or "ingestion_timestamp" not in df.columns:
@@ -119,7 +119,7 @@ RAW_REVIEW_COLUMNS = ("rid", "review_text", "sentiment", "rating", "app_name", "
 
 
 def ingest_reviews(raw: DataFrame, ingestion_ts: dt.datetime | None = None,
-                   source_tag: str = "kaggle_google_play_store") -> DataFrame:
+                   source_tag: str = DEFAULT.data_source) -> DataFrame:
     """Raw review file -> ``raw_reviews`` shape (B1-B13), one lazy plan."""
     df = require_columns(standardize_columns(raw))
     if "app_name" not in df.columns:

@@ -23,11 +23,12 @@ class Params:
     breakeven_roas_threshold: float = 1.0
     high_engagement_score: float = 70.0
     medium_engagement_score: float = 40.0
+    # ---- fixed value: the source tag written on every ingested review --------
+    data_source: str = "kaggle_google_play_store"
     # ---- our choices --------------------------------------------------------
     as_of: dt.date = dt.date(2024, 1, 31)      # replaces CURRENT_DATE
     session_gap_minutes: int = 720             # sessionization gap
     recent_days: int = 30                      # user_engagement_metrics window
-    data_source: str = "kaggle_google_play_store"
     seed: int = 42
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plume.operators import ingest
+from plume.params import DEFAULT
 
 ROWS = [
     # text, sentiment, rating, app
@@ -41,7 +42,7 @@ def test_ingest_filters_and_normalizes(spark, raw):
                     ("ok ok", "Negative", 4.0), ("great", "Positive", 5.0)}
     r = out.where("review_text = 'ok ok' AND sentiment = 'Neutral'").first()
     assert (r.review_length, r.review_word_count, r.review_length_category, r.rating_category,
-            r.sentiment_binary, r.data_source) == (5, 2, "Short", "Fair", 0.5, "kaggle_google_play_store")
+            r.sentiment_binary, r.data_source) == (5, 2, "Short", "Fair", 0.5, DEFAULT.data_source)
     assert out.where("review_text = '   '").first().review_word_count == 0
 
 
