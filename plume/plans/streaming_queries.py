@@ -39,13 +39,21 @@ def _run(spark, d, name, runner):
     return written_once(spark, name, _inputs(d), write, in_place=True)
 
 
+def _windows_and_spikes(spark, src, schema, sink, checkpoint, delay, files_per_batch):
+    base = sink.rsplit("/", 1)[0]
+    return S.run_sentiment_windows(spark, src, schema, sink, checkpoint, delay, files_per_batch,
+                                   spikes_sink=f"{base}/spikes")
+
+
 def stream_sentiment_windows(spark, d):
-    path = _run(spark, d, "stream_sentiment_windows", S.run_sentiment_windows)
+    path = _run(spark, d, "stream_sentiment_windows", _windows_and_spikes)
     return S.latest_counts(spark, f"{path}/sink")
 
 
 def stream_negative_spikes(spark, d):
-    return S.negative_spikes(stream_sentiment_windows(spark, d))
+    """ST3 as maintained by the stream itself (flags of the newest micro-batch)."""
+    path = _run(spark, d, "stream_sentiment_windows", _windows_and_spikes)
+    return S.latest_spikes(spark, f"{path}/spikes")
 
 
 def stream_dedup(spark, d):

@@ -62,17 +62,31 @@ def stream_dedup(reviews: DataFrame, delay: str = "1 day") -> DataFrame:
     return reviews.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(KEY)
 
 
-def upsert_batches(sink: str):
+def upsert_batches(sink: str, spikes_sink: str | None = None):
     """foreachBatch writer: each micro-batch's updated rows go to their own
     ``batch_id`` partition (dynamic overwrite, so a replayed batch replaces
-    itself); ``latest_counts`` reads the newest value per key."""
+    itself); ``latest_counts`` reads the newest value per key.  With
+    ``spikes_sink`` the negative-share spike flags (ST3) are recomputed after
+    every batch from the current counts and written as that batch's version."""
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("batch_id").parquet(sink))
+        if spikes_sink:
+            (negative_spikes(latest_counts(batch.sparkSession, sink))
+             .withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(spikes_sink))
     return write
 
 
+def latest_spikes(spark: SparkSession, spikes_sink: str) -> DataFrame:
+    """The spike flags as of the newest completed micro-batch."""
+    df = spark.read.parquet(spikes_sink)
+    newest = df.agg(F.max("batch_id").alias("_m"))
+    return df.join(F.broadcast(newest), F.col("batch_id") == F.col("_m")).drop("batch_id", "_m")
+
+
 def latest_counts(spark: SparkSession, sink: str, keys=("window_start", "window_end", "sentiment"),
                   value: str = "reviews") -> DataFrame:
     df = spark.read.parquet(sink)
@@ -80,11 +94,12 @@ def latest_counts(spark: SparkSession, sink: str, keys=("window_start", "window_
 
 
 def run_sentiment_windows(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str,
-                          delay: str = "1 day", files_per_batch: int = 1) -> DataFrame:
-    """ST1+ST2 end to end with an available-now trigger (processes what is
-    there, in micro-batches, then stops); returns the current window counts."""
+                          delay: str = "1 day", files_per_batch: int = 1,
+                          spikes_sink: str | None = None) -> DataFrame:
+    """ST1+ST2(+ST3) end to end with an available-now trigger (processes what
+    is there, in micro-batches, then stops); returns the current window counts."""
     counts = sentiment_windows(review_stream(spark, source, schema, files_per_batch), delay)
-    q = (counts.writeStream.outputMode("update").foreachBatch(upsert_batches(sink))
+    q = (counts.writeStream.outputMode("update").foreachBatch(upsert_batches(sink, spikes_sink))
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return latest_counts(spark, sink)
