@@ -16,7 +16,7 @@ SOURCE_SCHEMA = T.StructType([
     T.StructField("Sentiment", T.StringType()), T.StructField("Rating", T.StringType()),
     T.StructField("App", T.StringType()), T.StructField("ingestion_timestamp", T.TimestampNTZType())])
 SOURCE_FILES = 8
-FILES_PER_BATCH = 2       # 4 micro-batches per run
+FILES_PER_BATCH = 4       # 2 micro-batches per run (state carried across them)
 # The fixture's files mix all 30 days, so a watermark shorter than that would
 # (correctly) drop rows as late; the registered runs use a delay covering the
 # month so their totals equal the batch tables.  Tests exercise short delays.
