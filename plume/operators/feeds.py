@@ -56,8 +56,8 @@ def box_plot(ttest: DataFrame, value: str = "rating", by: str = "sentiment", z:
     """V4: quartiles, 1.5 IQR whiskers, outlier count, mean with interval.
 
     Quartiles are exact (``percentile`` over value counts); the per-group
-    fences (one row per group) are attached by a broadcast join for the
-    whisker and outlier pass.
+    fences (one row per group) are joined back for the whisker and outlier
+    pass, broadcast by AQE once their measured size is known to be small.
     """
     vc = ttest.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("f"))
     q = vc.groupBy(by).agg(F.percentile(value, [0.25, 0.5, 0.75], F.col("f")).alias("q"))
@@ -66,7 +66,7 @@ def box_plot(ttest: DataFrame, value: str = "rating", by: str = "sentiment", z:
          .withColumn("hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     v = F.col(value)
     inside = (v >= F.col("lo")) & (v <= F.col("hi"))
-    g = ttest.join(F.broadcast(q), by).groupBy(by, "q1", "median", "q3", "lo", "hi").agg(
+    g = ttest.join(q, by).groupBy(by, "q1", "median", "q3", "lo", "hi").agg(
         F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"),
         F.min(F.when(inside, v)).alias("lower_whisker"), F.max(F.when(inside, v)).alias("upper_whisker"),
         count_if(~inside).alias("outliers"))
