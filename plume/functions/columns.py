@@ -17,19 +17,19 @@ NA_STRINGS = (
     "nan", "null",
 )
 
-# ASCII whitespace written out so the Java and RE2 regex engines agree.
-WS_CLASS = "[ \\t\\n\\r\\f\\x0B]"
+# Whitespace as Python's str.split()/str.strip() define it (str.isspace),
+# derived by that rule rather than listed.  The regex class uses \x{...}
+# escapes, which the Java and RE2 engines read alike.
+WS_CHARS = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
+WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WS_CHARS) + "]"
 
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-WS_CHARS = " \t\n\r\f\x0b"
-
-
 def strip_ws(c) -> Column:
-    """Remove leading/trailing ASCII whitespace (``trim`` only removes spaces).
+    """Remove leading/trailing whitespace (``trim`` only removes spaces).
 
     ``btrim`` with a character set, not an anchored regex: same result, no
     regex engine per row.

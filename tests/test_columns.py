@@ -85,3 +85,10 @@ def test_roas_tier_edges(spark):
     from plume.params import DEFAULT
     got = _one(spark, bins.roas_tier("v", DEFAULT), [0.99, 1.0, 2.0, 4.0, None])
     assert got == ["Poor", "Break-even", "Good", "Excellent", "Poor"]
+
+
+def test_whitespace_matches_python_str_semantics(spark):
+    vals = [" a b　", " a b ", "\t\x1c x \x85", "plain", "", "​ zero-width is not space", "a\xa0\xa0b"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = [(r[0], r[1]) for r in df.select(strip_ws("v"), word_count_ws("v")).collect()]
+    assert got == [(v.strip(), len(v.split())) for v in vals]
