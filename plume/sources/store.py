@@ -156,3 +156,10 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this process created (e.g. a benchmark namespace)."""
+    p, fs = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
