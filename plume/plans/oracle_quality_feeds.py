@@ -96,7 +96,7 @@ FROM (""" + "\n  UNION ALL ".join(
         for m, cte in list(_CTE.items()) + [("int_daily_unified_metrics", "unified_daily"),
                                             ("fct_unified_business_kpis", "business_kpis")]) + """) c
 LEFT JOIN (SELECT model, count(*) AS tests, count(CASE WHEN status = 'PASS' THEN 1 END) AS tests_passed,
-                  sum(failures) AS failing_records FROM quality_suite GROUP BY model) t ON c.model = t.model"""),
+                  CAST(sum(failures) AS BIGINT) AS failing_records FROM quality_suite GROUP BY model) t ON c.model = t.model"""),
     "quality_indicators": _with(f"""
 SELECT CASE WHEN least(pos, neg) >= 30 THEN 'Green' WHEN least(pos, neg) >= 15 THEN 'Yellow' ELSE 'Red' END
     AS sample_size_adequacy,

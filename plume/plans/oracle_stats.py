@@ -73,7 +73,7 @@ FROM (SELECT k, n_total, sum(n * (m - gm) * (m - gm)) AS ssb, sum((n - 1) * v) A
               (SELECT sentiment, count(*) AS n, avg(CAST(rating AS DOUBLE)) AS m,
                       coalesce(var_samp(CAST(rating AS DOUBLE)), 0.0) AS v
                FROM {source} WHERE rating IS NOT NULL GROUP BY sentiment) g
-            CROSS JOIN (SELECT count(*) AS k, sum(n) AS n_total, sum(n * m) / sum(n) AS gm FROM
+            CROSS JOIN (SELECT count(*) AS k, CAST(sum(n) AS BIGINT) AS n_total, sum(n * m) / sum(n) AS gm FROM
               (SELECT count(*) AS n, avg(CAST(rating AS DOUBLE)) AS m FROM {source}
                WHERE rating IS NOT NULL GROUP BY sentiment)) t)
       GROUP BY k, n_total)""")

@@ -61,7 +61,7 @@ dm_lines AS (
 dm_grain AS (SELECT date_key, campaign, channel, sum(spend) AS spend, sum(rev) AS rev, sum(l_quantity) AS clicks,
                     count(*) AS conversions FROM dm_lines GROUP BY 1, 2, 3),
 dm_day AS (SELECT date_key, sum(spend) AS spend, sum(rev) AS rev, sum(clicks) AS clicks,
-                  sum(conversions) AS conversions, count(DISTINCT campaign) AS unique_campaigns,
+                  CAST(sum(conversions) AS BIGINT) AS conversions, count(DISTINCT campaign) AS unique_campaigns,
                   count(DISTINCT channel) AS active_channels FROM dm_grain GROUP BY 1),
 dm_ch AS (SELECT date_key, channel, sum(rev) AS rev FROM dm_grain GROUP BY 1, 2),
 dm_cp AS (SELECT date_key, 'Campaign ' || CAST(campaign AS VARCHAR) AS campaign_name, sum(rev) AS rev
@@ -101,7 +101,7 @@ def sessions_sql(name: str, events: str) -> str:
 DAILY_ENGAGEMENT = sessions_sql("sessions", "events") + f""",
 de_s AS (SELECT *, CAST(session_start AS DATE) - 9496 AS date_key FROM sessions),
 de_g AS (SELECT date_key, count(DISTINCT user_id) AS active_users, count(*) AS total_sessions,
-                sum(duration_minutes) AS minutes, sum(page_views) AS total_page_views,
+                sum(duration_minutes) AS minutes, CAST(sum(page_views) AS BIGINT) AS total_page_views,
                 count(CASE WHEN n_events = 1 THEN 1 END) AS bounce_sessions,
                 count(CASE WHEN converted THEN 1 END) AS conversion_sessions, sum(session_value) AS value
          FROM de_s GROUP BY 1),
@@ -324,7 +324,7 @@ channel_summary AS (
 MONTHLY = f"""
 mt_g AS (SELECT CAST(month(date_key) AS INTEGER) AS month_num, CAST(quarter(date_key) AS INTEGER) AS quarter_num,
                 CAST(year(date_key) AS INTEGER) AS year_num, sum(total_spend) AS spend, avg(roas) AS roas,
-                sum(total_conversions) AS monthly_conversions
+                CAST(sum(total_conversions) AS BIGINT) AS monthly_conversions
          FROM stg_marketing GROUP BY 1, 2, 3),
 monthly_trends AS (
   SELECT month_num, quarter_num, year_num, {rnd('spend', 4)} AS monthly_spend, {rnd('roas', 6)} AS avg_monthly_roas,
