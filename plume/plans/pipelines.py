@@ -116,8 +116,9 @@ def main(argv=None) -> None:
     ap.add_argument("--sf", required=True, help="folder with the input Parquet tables")
     ap.add_argument("--out", required=True, help="output folder (shared on a cluster)")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--cluster", action="store_true", help="use the large-cluster shuffle/AQE settings")
     a = ap.parse_args(argv)
-    spark = build_session(a.master)
+    spark = build_session(a.master, cluster=a.cluster)
     result = (run_reviews if a.pipeline == "reviews" else run_warehouse)(spark, a.sf, a.out)
     print(result)
     spark.stop()

@@ -26,14 +26,37 @@ DEFAULT_CONF = {
 }
 
 
+# Additional settings for a large cluster (100 TB inputs).  Shuffles start
+# wide and AQE coalesces them to ~256 MB partitions after measuring map
+# output, so one setting serves both the day-sized and the line-item-sized
+# stages; skewed join partitions above 5x the median (and 512 MB) are split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.execution.sortBeforeRepartition": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "plume",
                   shuffle_partitions: int | None = None,
-                  conf: dict | None = None) -> SparkSession:
-    """Return a session with the library defaults (tests and scripts only)."""
+                  conf: dict | None = None, cluster: bool = False) -> SparkSession:
+    """Return a session with the library defaults (scripts and tests).
+
+    ``cluster=True`` adds ``CLUSTER_CONF``.  Library functions never depend
+    on these settings; they only size the work.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if cluster:
+        settings.update(CLUSTER_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
