@@ -140,8 +140,10 @@ def prefix_before(df, order_cols, weight: str, out: str = "_before", partitions:
     distinct keys (ties within one range partition are ordered arbitrarily).
     """
     from pyspark.sql import Window
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    # Without an explicit count the range shuffle uses the session width and
+    # AQE may merge adjacent (still ordered) ranges; partition ids stay ordered.
+    ranged = df.repartitionByRange(partitions, *order_cols) if partitions else df.repartitionByRange(*order_cols)
+    s = ranged.withColumn("_pid", F.spark_partition_id())
     local_w = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     s = s.withColumn("_local", F.coalesce(F.sum(weight).over(local_w), F.lit(0)))
     tot = s.groupBy("_pid").agg(F.sum(weight).alias("_t"))
