@@ -19,7 +19,6 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import analysis as A
 from ..operators import ingest, quality, stats, transform

@@ -3,7 +3,6 @@ that an available-now stream ingests in micro-batches (one file each)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.fixtures import review_file
