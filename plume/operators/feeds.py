@@ -37,10 +37,24 @@ def rating_by_sentiment(analyzed: DataFrame) -> DataFrame:
         rnd(F.stddev_samp("rating") / F.sqrt(F.count(F.lit(1))), 8).alias("standard_error"))
 
 
-def scatter_sample(analyzed: DataFrame, fraction: float = 0.1, cap: int = 5000, seed: int = 42) -> DataFrame:
-    """10 % Bernoulli sample capped at 5,000 points (the sample is the feature)."""
-    return (analyzed.where(F.col("review_length").isNotNull()).sample(fraction=fraction, seed=seed)
-                    .select("review_length", "rating", "sentiment").limit(cap))
+def _unit_hash(key: str, seed: int):
+    """First 32 bits of SHA-256(key|seed) as an integer in [0, 2^32)."""
+    return F.conv(F.substring(F.sha2(F.concat(F.col(key), F.lit(f"|{seed}")), 256), 1, 8), 16, 10).cast("long")
+
+
+def scatter_sample(analyzed: DataFrame, fraction: float = 0.1, cap: int = 5000, seed: int = 42,
+                   key: str = "review_id") -> DataFrame:
+    """10 % sample capped at 5,000 points (the sample is the feature).
+
+    A Bernoulli sample decided per row by a seeded hash of its id, so the
+    same rows come back however the data is partitioned or retried; the cap
+    keeps the rows with the smallest hashes (a distributed top-k).
+    """
+    h = _unit_hash(key, seed)
+    return (analyzed.where(F.col("review_length").isNotNull())
+                    .withColumn("_h", h).where(F.col("_h") < F.lit(int(fraction * 2 ** 32)))
+                    .orderBy("_h", key).limit(cap)
+                    .select("review_length", "rating", "sentiment"))
 
 
 def scatter_trend(corr: DataFrame) -> DataFrame:

@@ -152,6 +152,11 @@ WHERE sentiment IN ('Positive', 'Negative') AND rating BETWEEN 1 AND 5 AND lengt
 SELECT * FROM (SELECT sentiment, review_id, left(review_text, 100) AS review_preview, rating,
                       row_number() OVER (PARTITION BY sentiment ORDER BY review_id) AS sample_rank
                FROM reviews_analyzed) WHERE sample_rank <= 3"""),
+    "scatter_sample": _with(f"""
+SELECT review_length, rating, sentiment FROM (
+  SELECT *, ('0x' || left(sha256(review_id || '|42'), 8))::BIGINT AS h FROM reviews_analyzed
+  WHERE review_length IS NOT NULL)
+WHERE h < {int(0.1 * 2 ** 32)} ORDER BY h, review_id LIMIT 5000"""),
     "capped_sample": _with("""
 SELECT review_id, sentiment, rating FROM (
   SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY sha256(review_id || '|42')) AS rn

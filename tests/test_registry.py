@@ -9,9 +9,9 @@ from conftest import SF_SMALL
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
-# p-values (no incomplete beta in DuckDB) and sampling: rows-only checks
+# p-values (no incomplete beta in DuckDB): rows-only checks
 ROWS_ONLY = {"t_test_inference", "pearson_inference", "anova_inference", "statistical_results",
-             "recommendations", "scatter_sample", "kpi_cards"}
+             "recommendations", "kpi_cards"}
 
 
 def test_oracle_coverage():
