@@ -190,7 +190,7 @@ def revenue_consistency(sales: DataFrame, kpis: DataFrame, day: dt.date, toleran
 
 # ---- summaries (Q9, Q10) ------------------------------------------------------------
 
-def pipeline_summary(models: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
+def run_summary(models: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
     """Q9: row count per model plus test pass/fail counts and a quality score.
 
     Counts and row-level tests of a model come from one aggregation; the

@@ -9,8 +9,8 @@
 Every step is a distributed read or write; tables go to ``out`` (a shared
 folder on a cluster).  Usage::
 
-    python -m plume.plans.pipelines reviews   --sf /data/sf --out /shared/out
-    python -m plume.plans.pipelines warehouse --sf /data/sf --out /shared/out
+    python -m plume.plans.jobs reviews   --sf /data/sf --out /shared/out
+    python -m plume.plans.jobs warehouse --sf /data/sf --out /shared/out
 """
 
 from __future__ import annotations
@@ -103,14 +103,14 @@ def run_warehouse(spark: SparkSession, sf_dir: str, out: str, params=FIXTURE,
     quality.revenue_consistency(src["ext_redshift_daily_sales"], kpis, check_day) \
         .write.mode("overwrite").parquet(f"{out}/checks/revenue_consistency")
     summary_models = {**tested, "int_daily_unified_metrics": daily, "fct_unified_business_kpis": kpis}
-    quality.pipeline_summary(summary_models, quality.DECLARED_TESTS) \
-        .write.mode("overwrite").parquet(f"{out}/pipeline_summary")
+    quality.run_summary(summary_models, quality.DECLARED_TESTS) \
+        .write.mode("overwrite").parquet(f"{out}/run_summary")
     return {"marts": sorted(marts), "failing_tests": sorted(failing)}
 
 
 def main(argv=None) -> None:
     from ..session import build_session
-    ap = argparse.ArgumentParser(prog="python -m plume.plans.pipelines")
+    ap = argparse.ArgumentParser(prog="python -m plume.plans.jobs")
     ap.add_argument("pipeline", choices=["reviews", "warehouse"])
     ap.add_argument("--sf", required=True, help="folder with the input Parquet tables")
     ap.add_argument("--out", required=True, help="output folder (shared on a cluster)")

@@ -86,7 +86,7 @@ SELECT 'Revenue Consistency' AS check_name, DATE '{CHECK_DAY}' AS check_date,
 FROM (SELECT sum(total_revenue) AS a FROM daily_sales WHERE date_key = DATE '{CHECK_DAY}')
 CROSS JOIN (SELECT sum(total_revenue) AS b FROM business_kpis
             WHERE date_key = DATE '{CHECK_DAY}' AND sales_data_available)"""),
-    "pipeline_summary": _w(_KPI_BLOCKS + [SUITE_CTE], f"""
+    "run_summary": _w(_KPI_BLOCKS + [SUITE_CTE], f"""
 SELECT c.model, c.row_count, coalesce(tests, 0) AS tests, coalesce(tests_passed, 0) AS tests_passed,
   coalesce(failing_records, 0) AS failing_records,
   {rnd('CASE WHEN tests > 0 THEN tests_passed * 100.0 / tests END', 2)} AS quality_score,

@@ -43,11 +43,11 @@ def revenue_consistency(spark, d):
     return Q.revenue_consistency(W.daily_sales(spark, d), W.business_kpis(spark, d), CHECK_DAY)
 
 
-def pipeline_summary(spark, d):
+def run_summary(spark, d):
     ms = models(spark, d)
     ms["int_daily_unified_metrics"] = W.unified_daily(spark, d)
     ms["fct_unified_business_kpis"] = W.business_kpis(spark, d)
-    return Q.pipeline_summary(ms, Q.DECLARED_TESTS)
+    return Q.run_summary(ms, Q.DECLARED_TESTS)
 
 
 def _ttest(s, d):
@@ -58,7 +58,7 @@ QUERIES = {
     "quality_suite": quality_suite,
     "freshness_checks": freshness_checks,
     "revenue_consistency": revenue_consistency,
-    "pipeline_summary": pipeline_summary,
+    "run_summary": run_summary,
     "quality_indicators": lambda s, d: Q.quality_indicators(reviews.analyzed(s, d), INDICATOR_AS_OF),
     "rating_by_sentiment": lambda s, d: V.rating_by_sentiment(reviews.analyzed(s, d)),
     "scatter_trend": lambda s, d: V.scatter_trend(reviews.correlation(s, d)),

@@ -1,12 +1,12 @@
 """End-to-end jobs on the smoke tables."""
 
-from plume.plans import pipelines, reviews, warehouse as W
+from plume.plans import jobs, reviews, warehouse as W
 
 from conftest import SF_SMALL
 
 
 def test_run_reviews_writes_all_tables(spark, tmp_dir):
-    paths = pipelines.run_reviews(spark, SF_SMALL, tmp_dir)
+    paths = jobs.run_reviews(spark, SF_SMALL, tmp_dir)
     an = spark.read.parquet(paths["reviews_analyzed"])
     assert an.count() == reviews.analyzed(spark, SF_SMALL).count()
     assert "transformation_timestamp" in an.columns
@@ -15,12 +15,12 @@ def test_run_reviews_writes_all_tables(spark, tmp_dir):
 
 
 def test_run_warehouse_writes_marts_and_checks(spark, tmp_dir):
-    res = pipelines.run_warehouse(spark, SF_SMALL, tmp_dir)
+    res = jobs.run_warehouse(spark, SF_SMALL, tmp_dir)
     kpis = spark.read.parquet(f"{tmp_dir}/marts/fct_unified_business_kpis")
     assert kpis.count() == 364 and "created_at" in kpis.columns
     assert spark.read.parquet(f"{tmp_dir}/tests/results").count() == 37
     for model, column, test in res["failing_tests"]:
         assert spark.read.parquet(f"{tmp_dir}/tests/failures/{model}__{column}__{test}").count() >= 0
-    assert spark.read.parquet(f"{tmp_dir}/pipeline_summary").count() == 8
+    assert spark.read.parquet(f"{tmp_dir}/run_summary").count() == 8
     dims = spark.read.parquet(f"{tmp_dir}/marts/dim_user_engagement")
     assert dims.count() == W.user_profiles(spark, SF_SMALL).count()
