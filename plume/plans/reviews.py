@@ -94,6 +94,7 @@ QUERIES = {
     "raw_quality": _on_raw(A.raw_quality),
     "raw_preview": _on_raw(A.preview),
     "post_load_checks": _on_raw(A.post_load_checks),
+    "reviews_dedup": _on_raw(lambda df: transform.dedup_reviews(transform.valid_reviews(df))),
     "reviews_analyzed": analyzed,
     "length_outliers": lambda spark, d: A.length_outliers(raw_reviews(spark, d), analyzed(spark, d)),
     "summary_statistics": _on_analyzed(A.summary_statistics),
