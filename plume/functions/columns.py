@@ -167,3 +167,14 @@ def ntz_lit(value) -> Column:
     else:
         text = str(value)
     return F.lit(text).cast("timestamp_ntz")
+
+
+def row_number_distributed(df, order_cols, out: str):
+    """``row_number() OVER (ORDER BY order_cols)`` without a one-partition window.
+
+    The order must be total (end it with a unique key).  Rows before each
+    row are counted by the distributed prefix sum, so no task holds the
+    whole table.
+    """
+    counted = prefix_before(df.withColumn("_one", F.lit(1)), order_cols, "_one", out="_before")
+    return counted.withColumn(out, (F.col("_before") + 1).cast("int")).drop("_one", "_before")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ...functions import bins
-from ...functions.columns import ntz_lit, rnd
+from ...functions.columns import ntz_lit, rnd, row_number_distributed
 from ...sources.store import shared
 
 
@@ -184,38 +184,45 @@ def business_kpis(daily: DataFrame, params, created_at: dt.datetime | None = Non
 # ---- W7 ----------------------------------------------------------------------
 
 def campaign_summary(campaigns: DataFrame, params) -> DataFrame:
-    """Global ranks (explicit NULL order + id tie-break), health, ROI.
+    """Ranks (explicit NULL order + id tie-break), health, ROI.
 
-    Global windows over campaigns: one row per campaign, a small dimension.
+    Each rank is a row number over a total order, computed by a distributed
+    prefix count rather than a global window, so the campaign table is never
+    gathered into one task.
     """
-    def rank(c: str) -> Column:
-        return F.row_number().over(Window.orderBy(F.col(c).desc_nulls_first(), F.col("campaign_id")))
     spend, rev = F.col("total_spend"), F.col("attributed_revenue")
-    return campaigns.select(
-        "*", rank("roas").alias("roas_rank"), rank("attributed_revenue").alias("revenue_rank"),
-        rank("efficiency_score").alias("efficiency_rank"),
-        bins.campaign_health("roas", "efficiency_score", params).alias("campaign_health_status"),
+    df = campaigns.select(
+        "*", bins.campaign_health("roas", "efficiency_score", params).alias("campaign_health_status"),
         rnd(_ratio((spend > 0) & (rev > 0), (rev - spend) * 100.0, spend), 6).alias("roi_percentage"))
+    for col_name, out in (("roas", "roas_rank"), ("attributed_revenue", "revenue_rank"),
+                          ("efficiency_score", "efficiency_rank")):
+        df = row_number_distributed(df, [F.col(col_name).desc_nulls_first(), F.col("campaign_id")], out)
+    return df
 
 
 def campaign_percentiles(campaigns: DataFrame) -> DataFrame:
-    """Percent ranks of ROAS and efficiency (NULLs first, as Snowflake ascending would put them last)."""
-    w1 = Window.orderBy(F.col("roas").asc_nulls_last(), F.col("campaign_id"))
-    w2 = Window.orderBy(F.col("efficiency_score").asc_nulls_last(), F.col("campaign_id"))
-    return campaigns.select("campaign_id", rnd(F.percent_rank().over(w1), 6).alias("roas_percentile"),
-                            rnd(F.percent_rank().over(w2), 6).alias("efficiency_percentile"))
+    """Percent ranks of ROAS and efficiency, ascending with NULLs last
+    (where Snowflake's ascending order puts them).  With the id tie-break the
+    order is total, so percent_rank = (row_number - 1) / (n - 1)."""
+    n = campaigns.agg(F.count(F.lit(1)).alias("_n"))
+    df = campaigns.select("campaign_id", "roas", "efficiency_score")
+    for col_name, out in (("roas", "_r1"), ("efficiency_score", "_r2")):
+        df = row_number_distributed(df, [F.col(col_name).asc_nulls_last(), F.col("campaign_id")], out)
+    pr = lambda r: F.when(F.col("_n") > 1, (F.col(r) - 1) / (F.col("_n") - 1)).otherwise(0.0)
+    return df.crossJoin(F.broadcast(n)).select(
+        "campaign_id", rnd(pr("_r1"), 6).alias("roas_percentile"), rnd(pr("_r2"), 6).alias("efficiency_percentile"))
 
 
 def channel_summary(channels: DataFrame) -> DataFrame:
-    """Channel ranks, revenue per conversion, importance tier."""
-    def rank(c: str) -> Column:
-        return F.row_number().over(Window.orderBy(F.col(c).desc_nulls_first(), F.col("channel")))
+    """Channel ranks (distributed row numbers), revenue per conversion, tier."""
     conv, rev = F.col("total_attributed_conversions"), F.col("total_attributed_revenue")
-    return channels.select(
-        "*", rank("total_attributed_revenue").alias("channel_revenue_rank"),
-        rank("channel_contribution_score").alias("channel_contribution_rank"),
-        rnd(_ratio(conv > 0, rev, conv), 6).alias("revenue_per_conversion"),
+    df = channels.select(
+        "*", rnd(_ratio(conv > 0, rev, conv), 6).alias("revenue_per_conversion"),
         bins.channel_importance("channel_contribution_score").alias("channel_importance_tier"))
+    for col_name, out in (("total_attributed_revenue", "channel_revenue_rank"),
+                          ("channel_contribution_score", "channel_contribution_rank")):
+        df = row_number_distributed(df, [F.col(col_name).desc_nulls_first(), F.col("channel")], out)
+    return df
 
 
 def monthly_trends(stg_mkt: DataFrame) -> DataFrame:
