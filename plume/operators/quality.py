@@ -1,9 +1,9 @@
 """Declarative data-quality tests and operational checks (Q1-Q10).
 
-A test suite is data: (model, column, test, args).  The runner folds every
-not_null / accepted_values / accepted_range test of one model into a single
-conditional aggregation (one scan per model, however many tests), runs each
-``unique`` test as its own grouped count, and returns one row per test.
+A test suite is data: (model, column, test, args).  The runner checks every
+not_null / accepted_values / accepted_range test of a model and its unique
+key in one pass over the model (however many tests), and returns one row per
+test.
 Failing rows are available per test for storing (``store_failures``).
 """
 
@@ -86,8 +86,12 @@ ROW_COUNT = "row_count"
 def run_suite(models: dict[str, DataFrame], tests: list[Test], with_counts: bool = False) -> DataFrame:
     """Q5: one row per test: model, column_name, test_name, failures, status.
 
-    ``with_counts`` adds one ``row_count`` row per model (status INFO) from
-    the same aggregation, so a summary needs no extra scan per model.
+    One pass per model: rows are grouped by the model's (first) ``unique``
+    column, each group carrying its size and its failure count for every
+    row-level test; a second, tiny aggregation sums those and counts the
+    duplicated keys.  Further ``unique`` tests of the same model run as their
+    own grouped counts.  ``with_counts`` adds one ``row_count`` row per model
+    (status INFO) from the same pass.
     """
     parts: list[DataFrame] = []
     names = list(dict.fromkeys(t.model for t in tests))
@@ -96,17 +100,30 @@ def run_suite(models: dict[str, DataFrame], tests: list[Test], with_counts: bool
     for model in names:
         df = models[model]
         row_tests = [t for t in tests if t.model == model and t.test != "unique"]
-        if row_tests or with_counts:
-            aggs = [count_if(_fail_condition(t)).alias(f"f{i}") for i, t in enumerate(row_tests)]
-            structs = [F.struct(F.lit(t.column).alias("column_name"), F.lit(t.test).alias("test_name"),
-                                F.col(f"f{i}").alias("failures")) for i, t in enumerate(row_tests)]
-            if with_counts:
-                aggs.append(F.count(F.lit(1)).alias("_rows"))
-                structs.append(F.struct(F.lit("*").alias("column_name"), F.lit(ROW_COUNT).alias("test_name"),
-                                        F.col("_rows").alias("failures")))
-            agg = df.agg(*aggs)
+        uniq = [t for t in tests if t.model == model and t.test == "unique"]
+        folded = uniq[0] if uniq else None
+        flags = [F.sum(F.when(_fail_condition(t), 1).otherwise(0)).alias(f"f{i}") for i, t in enumerate(row_tests)]
+        if folded is not None:
+            k = F.col(folded.column)
+            per_key = df.groupBy(folded.column).agg(F.count(F.lit(1)).alias("_c"), *flags)
+            agg = per_key.agg(*[F.coalesce(F.sum(f"f{i}"), F.lit(0)).cast("long").alias(f"f{i}")
+                                for i in range(len(row_tests))],
+                              F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("_rows"),
+                              F.count(F.when(k.isNotNull() & (F.col("_c") > 1), 1)).alias("_dups"))
+        else:
+            agg = df.agg(*[count_if(_fail_condition(t)).alias(f"f{i}") for i, t in enumerate(row_tests)],
+                         F.count(F.lit(1)).alias("_rows"), F.lit(0).cast("long").alias("_dups"))
+        structs = [F.struct(F.lit(t.column).alias("column_name"), F.lit(t.test).alias("test_name"),
+                            F.col(f"f{i}").alias("failures")) for i, t in enumerate(row_tests)]
+        if folded is not None:
+            structs.append(F.struct(F.lit(folded.column).alias("column_name"), F.lit("unique").alias("test_name"),
+                                    F.col("_dups").alias("failures")))
+        if with_counts:
+            structs.append(F.struct(F.lit("*").alias("column_name"), F.lit(ROW_COUNT).alias("test_name"),
+                                    F.col("_rows").alias("failures")))
+        if structs:
             parts.append(agg.select(F.lit(model).alias("model"), F.inline(F.array(*structs))))
-        for t in (t for t in tests if t.model == model and t.test == "unique"):
+        for t in uniq[1:]:
             dup = unique(df, t.column).agg(F.count(F.lit(1)).alias("failures"))
             parts.append(dup.select(F.lit(model).alias("model"), F.lit(t.column).alias("column_name"),
                                     F.lit("unique").alias("test_name"), "failures"))
