@@ -143,6 +143,20 @@ def kpi_weekly(analyzed: DataFrame) -> DataFrame:
         rnd(F.stddev_samp("sentiment_score"), 6).alias("sentiment_volatility"))
 
 
+GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def _allow_group_limit(spark, k: int) -> None:
+    """Let Catalyst limit ``row_number() <= k`` per task before the shuffle.
+
+    Spark inserts that limit only for k up to a threshold (1000 by default);
+    raising it (never lowering) changes the plan, not the result.
+    """
+    current = int(spark.conf.get(GROUP_LIMIT_CONF, "1000"))
+    if 0 <= current < k:
+        spark.conf.set(GROUP_LIMIT_CONF, str(k))
+
+
 def capped_sample(df: DataFrame, by: str, cap: int = 5000, seed: int = 42, key: str = "review_id") -> DataFrame:
     """At most ``cap`` rows per group in a seeded pseudo-random order.
 
@@ -150,6 +164,7 @@ def capped_sample(df: DataFrame, by: str, cap: int = 5000, seed: int = 42, key:
     ``row_number() <= cap`` is limited per task before the shuffle, so a
     huge group never ships more than ``cap`` rows from any task.
     """
+    _allow_group_limit(df.sparkSession, cap)
     k = F.sha2(F.concat(F.col(key), F.lit(f"|{seed}")), 256)
     w = Window.partitionBy(by).orderBy(k)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")

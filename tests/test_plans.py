@@ -38,6 +38,12 @@ def test_rank_limit_is_applied_before_the_shuffle(spark):
     assert "WindowGroupLimit" in p
 
 
+def test_large_caps_are_also_limited_before_the_shuffle(spark):
+    from plume.operators import feeds
+    p = _plan(feeds.capped_sample(reviews.analyzed(spark, SF_SMALL), "sentiment", cap=5000))
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
 def test_small_sides_are_broadcast(spark):
     # bounded by construction (days of the parameter range): hinted
     assert "BroadcastHashJoin" in _plan(W.unified_daily(spark, SF_SMALL))
