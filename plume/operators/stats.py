@@ -18,6 +18,9 @@ from ..functions.stats_math import f_sf_col, t_greater_p_col, t_quantile_col, t_
 from ..sources.store import shared
 
 
+P_DIGITS = 8  # p-values are reported to 8 decimals
+
+
 def _group_moments(df: DataFrame, value: str, group: str, a: str, b: str) -> DataFrame:
     """n, mean and sample variance of ``value`` for groups a and b, one row."""
     g, v = F.col(group), F.col(value).cast("double")
@@ -60,7 +63,7 @@ def t_test(df: DataFrame, value: str = "rating", group: str = "sentiment",
         bins.power_label(F.least("n_a", "n_b")).alias("statistical_power"))
     if with_p:
         tcrit = t_quantile_col(0.975, F.col("degrees_of_freedom"))
-        out = (out.withColumn("p_value", t_greater_p_col("t_statistic", "degrees_of_freedom"))
+        out = (out.withColumn("p_value", rnd(t_greater_p_col("t_statistic", "degrees_of_freedom"), P_DIGITS))
                   .withColumn("_tcrit", tcrit)
                   .withColumn("ci_low", F.col("mean_difference") - F.col("_tcrit") * F.col("standard_error"))
                   .withColumn("ci_high", F.col("mean_difference") + F.col("_tcrit") * F.col("standard_error"))
@@ -82,7 +85,7 @@ def _corr_row(m: DataFrame, with_p: bool) -> DataFrame:
     out = m.select("n", rnd(r, 8).alias("r"), rnd(t, 6).alias("t_statistic"),
                    (n - 2.0).alias("degrees_of_freedom"), bins.strength_label(r).alias("strength"))
     if with_p:
-        out = out.withColumn("p_value", t_two_sided_p_col("t_statistic", "degrees_of_freedom")) \
+        out = out.withColumn("p_value", rnd(t_two_sided_p_col("t_statistic", "degrees_of_freedom"), P_DIGITS)) \
                  .withColumn("significance", bins.significance_label("p_value"))
     return out
 
@@ -144,7 +147,7 @@ def anova(df: DataFrame, value: str = "rating", group: str = "sentiment", with_p
                    rnd("ssw", 6).alias("ss_within"), d1.alias("df_between"), d2.alias("df_within"),
                    rnd(f, 6).alias("f_statistic"))
     if with_p:
-        out = out.withColumn("p_value", f_sf_col("f_statistic", "df_between", "df_within"))
+        out = out.withColumn("p_value", rnd(f_sf_col("f_statistic", "df_between", "df_within"), P_DIGITS))
     return out
 
 

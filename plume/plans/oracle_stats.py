@@ -1,8 +1,13 @@
-"""DuckDB oracle SQL for the statistics queries (statistics, not p-values)."""
+"""DuckDB oracle SQL for the statistics queries.
+
+p-values use the incomplete beta of ``oracle_betainc`` (a recursive CTE),
+evaluated on the same rounded statistics as the Spark side.
+"""
 
 from __future__ import annotations
 
-from .oracle_reviews import _with, rnd
+from .oracle_betainc import betainc_ctes
+from .oracle_reviews import ANALYZED_SQL, _with, rnd
 
 
 def _effect(d: str) -> str:
@@ -16,10 +21,14 @@ def _effect_dash(d: str) -> str:
 
 
 def _t_test(source: str) -> str:
+    return _with(_t_test_body(source))
+
+
+def _t_test_body(source: str) -> str:
     sp = "sqrt(((n_a - 1) * var_a + (n_b - 1) * var_b) / NULLIF(n_a + n_b - 2.0, 0))"
     se = f"({sp} * sqrt(1.0 / n_a + 1.0 / n_b))"
     d = f"((mean_a - mean_b) / NULLIF({sp}, 0))"
-    return _with(f"""
+    return (f"""
 SELECT n_a AS n_positive, n_b AS n_negative, {rnd('mean_a', 6)} AS mean_positive, {rnd('mean_b', 6)} AS mean_negative,
   {rnd('sqrt(var_a)', 6)} AS std_positive, {rnd('sqrt(var_b)', 6)} AS std_negative,
   {rnd('mean_a - mean_b', 6)} AS mean_difference,
@@ -43,16 +52,24 @@ def _strength(r: str) -> str:
 
 
 def _corr_select(inner: str) -> str:
+    return _with(_corr_body(inner))
+
+
+def _corr_body(inner: str) -> str:
     t = "r * sqrt((n - 2.0) / NULLIF(1.0 - r * r, 0))"
-    return _with(f"""
+    return (f"""
 SELECT n, {rnd('r', 8)} AS r, {rnd(t, 6)} AS t_statistic, CAST(n - 2 AS DOUBLE) AS degrees_of_freedom,
   {_strength('r')} AS strength
 FROM ({inner})""")
 
 
+def _pearson_inner(x: str, y: str) -> str:
+    return (f"SELECT count(*) AS n, corr(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE)) AS r "
+            f"FROM length_rating_correlation WHERE {x} IS NOT NULL AND {y} IS NOT NULL")
+
+
 def _pearson(x: str, y: str) -> str:
-    return _corr_select(f"SELECT count(*) AS n, corr(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE)) AS r "
-                        f"FROM length_rating_correlation WHERE {x} IS NOT NULL AND {y} IS NOT NULL")
+    return _corr_select(_pearson_inner(x, y))
 
 
 def _spearman(x: str, y: str) -> str:
@@ -64,7 +81,11 @@ SELECT count(*) AS n, corr(rx, ry) AS r FROM (
 
 
 def _anova(source: str) -> str:
-    return _with(f"""
+    return _with(_anova_body(source))
+
+
+def _anova_body(source: str) -> str:
+    return (f"""
 SELECT k AS groups, n_total AS n, {rnd('ssb', 6)} AS ss_between, {rnd('ssw', 6)} AS ss_within,
   CAST(k - 1 AS DOUBLE) AS df_between, CAST(n_total - k AS DOUBLE) AS df_within,
   {rnd('(ssb / NULLIF(k - 1.0, 0)) / NULLIF(ssw / NULLIF(n_total - k + 0.0, 0), 0)', 6)} AS f_statistic
@@ -99,3 +120,92 @@ FROM (SELECT sentiment, n, avg(power(x - mu, 3)) / NULLIF(power(avg(power(x - mu
             FROM ttest_data WHERE rating IS NOT NULL)
       GROUP BY sentiment, n)"""),
 }
+
+
+# ---- p-values -----------------------------------------------------------------
+
+def _rec(ctes: str, body: str) -> str:
+    return f"WITH RECURSIVE {ANALYZED_SQL.strip()},{ctes}\n{body}"
+
+
+def _sig(p: str) -> str:
+    return f"CASE WHEN {p} < 0.05 THEN 'Significant' ELSE 'Not Significant' END"
+
+
+_TT = f"tt AS ({_t_test_body('ttest_data')})"
+_PC = f"pc AS ({_corr_body(_pearson_inner('review_length', 'rating'))})"
+# tails: 1 = t-test (one-sided greater), 2 = Pearson (two-sided)
+_PV = """
+pv_src AS (
+  SELECT 1 AS id, degrees_of_freedom / 2.0 AS a, 0.5 AS b,
+         degrees_of_freedom / (degrees_of_freedom + t_statistic * t_statistic) AS x FROM tt
+  UNION ALL
+  SELECT 2, degrees_of_freedom / 2.0, 0.5,
+         degrees_of_freedom / (degrees_of_freedom + t_statistic * t_statistic) FROM pc
+),""" + betainc_ctes("pv_src", "pv") + f""",
+p AS (
+  SELECT {rnd("(SELECT CASE WHEN tt.t_statistic > 0 THEN ix / 2.0 ELSE 1.0 - ix / 2.0 END FROM pv, tt WHERE pv.id = 1)", 8)} AS t_p,
+         {rnd("(SELECT ix FROM pv WHERE id = 2)", 8)} AS r_p
+)"""
+
+SQL["pearson_inference"] = _rec(",".join([_PC, _TT, _PV]), f"""
+SELECT pc.*, p.r_p AS p_value, {_sig('p.r_p')} AS significance FROM pc CROSS JOIN p""")
+
+SQL["anova_inference"] = _rec(f"""
+an AS ({_anova_body('ttest_data')}),
+av_src AS (SELECT 1 AS id, df_within / 2.0 AS a, df_between / 2.0 AS b,
+                  df_within / (df_within + df_between * f_statistic) AS x FROM an),""" + betainc_ctes("av_src", "av"),
+    f"""
+SELECT an.*, {rnd('av.ix', 8)} AS p_value FROM an LEFT JOIN av ON av.id = 1""")
+
+_RESULTS = f"""
+SELECT 'Hypothesis Test' AS analysis_type, 'Positive Mean Rating' AS metric_name, mean_positive AS metric_value,
+  'Average rating for positive sentiment reviews (n=' || CAST(n_positive AS VARCHAR) || ')' AS description FROM tt
+UNION ALL SELECT 'Hypothesis Test', 'Negative Mean Rating', mean_negative,
+  'Average rating for negative sentiment reviews (n=' || CAST(n_negative AS VARCHAR) || ')' FROM tt
+UNION ALL SELECT 'Hypothesis Test', 'P-Value', t_p,
+  'Statistical significance of difference between positive and negative ratings' FROM p
+UNION ALL SELECT 'Hypothesis Test', 'Effect Size (Cohens D)', cohens_d,
+  'Magnitude of difference between positive and negative ratings' FROM tt
+UNION ALL SELECT 'Correlation Analysis', 'Length-Rating Correlation', r,
+  'Pearson correlation between review length and rating' FROM pc
+UNION ALL SELECT 'Correlation Analysis', 'Correlation P-Value', r_p,
+  'Statistical significance of length-rating correlation' FROM p"""
+
+SQL["statistical_results"] = _rec(",".join([_TT, _PC, _PV]), _RESULTS)
+
+SQL["recommendations"] = _rec(",".join([_TT, _PC, _PV]), """
+SELECT CASE WHEN t_p < 0.05 THEN 'Encourage satisfied users to leave detailed reviews'
+            ELSE 'Focus on other factors affecting ratings' END AS sentiment_recommendation,
+  CASE WHEN t_p < 0.05 THEN mean_difference END AS expected_rating_impact,
+  CASE WHEN abs(r) > 0.1 AND r_p < 0.05 THEN CASE WHEN r > 0 THEN 'longer' ELSE 'shorter' END END
+    AS length_direction,
+  CASE WHEN abs(r) > 0.1 AND r_p < 0.05 THEN 'Optimize review length prompts'
+       ELSE 'Focus on review quality over length' END AS length_recommendation,
+  CASE WHEN n_positive >= 30 AND n_negative >= 30 THEN 'Adequate sample sizes' ELSE 'Small sample sizes' END
+    AS confidence,
+  statistical_power
+FROM tt CROSS JOIN pc CROSS JOIN p""")
+
+
+def _dash(d: str) -> str:
+    return (f"CASE WHEN {d} IS NULL THEN NULL WHEN abs({d}) > 0.5 THEN 'Large effect' "
+            f"WHEN abs({d}) > 0.2 THEN 'Medium effect' ELSE 'Small effect' END")
+
+
+SQL["kpi_cards"] = _rec(",".join([_TT, _PC, _PV]) + f""",
+res AS ({_RESULTS}),
+cards AS (
+  SELECT max(CASE WHEN metric_name = 'Positive Mean Rating' THEN metric_value END) AS pos_mean,
+         max(CASE WHEN metric_name = 'Negative Mean Rating' THEN metric_value END) AS neg_mean,
+         max(CASE WHEN metric_name = 'P-Value' THEN metric_value END) AS p_value,
+         max(CASE WHEN metric_name = 'Effect Size (Cohens D)' THEN metric_value END) AS cohens_d
+  FROM res
+)""", f"""
+SELECT (SELECT count(*) FROM reviews_analyzed) AS total_reviews, p_value,
+  CASE WHEN p_value < 0.001 THEN 'p < 0.001' ELSE printf('%.3f', p_value) END AS p_value_text,
+  {_sig('p_value')} AS significance, {rnd('cohens_d', 3)} AS cohens_d, {_dash('cohens_d')} AS effect_label,
+  {rnd('pos_mean - neg_mean', 2)} AS mean_difference,
+  CASE WHEN pos_mean - neg_mean >= 0 THEN '+' ELSE '' END || printf('%.2f', pos_mean - neg_mean) || ' stars'
+    AS mean_difference_text
+FROM cards""")

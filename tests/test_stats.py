@@ -100,3 +100,16 @@ def test_distributed_prefix_sum_matches_brute_force(spark):
         want[v] = acc
         acc += w
     assert got == want
+
+
+def test_sql_incomplete_beta_matches_python():
+    import duckdb
+    from plume.plans.oracle_betainc import betainc_ctes
+    cases = [(5.0, 0.5, 0.3), (2.0, 3.0, 0.4), (2000.0, 0.5, 0.999), (10.0, 0.5, 0.01), (1.0, 1.0, 0.5),
+             (0.5, 2500.0, 1e-4), (3.0, 4.0, 0.0), (3.0, 4.0, 1.0)]
+    vals = ", ".join(f"({i}, {a!r}, {b!r}, {x!r})" for i, (a, b, x) in enumerate(cases))
+    sql = ("WITH RECURSIVE src(id, a, b, x) AS (VALUES " + vals + ")," + betainc_ctes("src", "bi")
+           + " SELECT id, ix FROM bi ORDER BY id")
+    for (i, ix), (a, b, x) in zip(duckdb.sql(sql).fetchall(), cases):
+        want = M.betainc(a, b, x)
+        assert abs(ix - want) <= 1e-10 * max(abs(want), 1e-300), (a, b, x, ix, want)
