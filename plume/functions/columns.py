@@ -95,11 +95,6 @@ def epoch_micros(ts: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
 
 
-def epoch_seconds(ts: str) -> Column:
-    """Seconds (double) since 1970-01-01 for a TIMESTAMP_NTZ column name."""
-    return epoch_micros(ts) / F.lit(1e6)
-
-
 def day_number(d) -> Column:
     """Days since 1970-01-01 for a DATE."""
     return F.datediff(col(d), F.lit("1970-01-01").cast("date"))
