@@ -65,8 +65,8 @@ def t_test(df: DataFrame, value: str = "rating", group: str = "sentiment",
         tcrit = t_quantile_col(0.975, F.col("degrees_of_freedom"))
         out = (out.withColumn("p_value", rnd(t_greater_p_col("t_statistic", "degrees_of_freedom"), P_DIGITS))
                   .withColumn("_tcrit", tcrit)
-                  .withColumn("ci_low", F.col("mean_difference") - F.col("_tcrit") * F.col("standard_error"))
-                  .withColumn("ci_high", F.col("mean_difference") + F.col("_tcrit") * F.col("standard_error"))
+                  .withColumn("ci_low", rnd(F.col("mean_difference") - F.col("_tcrit") * F.col("standard_error"), 6))
+                  .withColumn("ci_high", rnd(F.col("mean_difference") + F.col("_tcrit") * F.col("standard_error"), 6))
                   .withColumn("significance", bins.significance_label("p_value"))
                   .drop("_tcrit"))
     return out

@@ -6,7 +6,7 @@ evaluated on the same rounded statistics as the Spark side.
 
 from __future__ import annotations
 
-from .oracle_betainc import betainc_ctes
+from .oracle_betainc import betainc_ctes, t_quantile_ctes
 from .oracle_reviews import ANALYZED_SQL, _with, rnd
 
 
@@ -209,3 +209,11 @@ SELECT (SELECT count(*) FROM reviews_analyzed) AS total_reviews, p_value,
   CASE WHEN pos_mean - neg_mean >= 0 THEN '+' ELSE '' END || printf('%.2f', pos_mean - neg_mean) || ' stars'
     AS mean_difference_text
 FROM cards""")
+
+SQL["t_test_inference"] = _rec(",".join([_TT, _PC, _PV]) + """,
+tq_src AS (SELECT 1 AS id, degrees_of_freedom AS df FROM tt),""" + t_quantile_ctes("tq_src", "tq"), f"""
+SELECT tt.*, p.t_p AS p_value,
+  {rnd('tt.mean_difference - tq.t * tt.standard_error', 6)} AS ci_low,
+  {rnd('tt.mean_difference + tq.t * tt.standard_error', 6)} AS ci_high,
+  {_sig('p.t_p')} AS significance
+FROM tt CROSS JOIN p LEFT JOIN tq ON tq.id = 1""")

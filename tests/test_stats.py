@@ -113,3 +113,14 @@ def test_sql_incomplete_beta_matches_python():
     for (i, ix), (a, b, x) in zip(duckdb.sql(sql).fetchall(), cases):
         want = M.betainc(a, b, x)
         assert abs(ix - want) <= 1e-10 * max(abs(want), 1e-300), (a, b, x, ix, want)
+
+
+def test_sql_t_quantile_matches_python():
+    import duckdb
+    from plume.plans.oracle_betainc import t_quantile_ctes
+    dfs = [1.0, 3.0, 10.0, 250.0, 4000.0]
+    vals = ", ".join(f"({i}, {d!r})" for i, d in enumerate(dfs))
+    sql = ("WITH RECURSIVE src(id, df) AS (VALUES " + vals + ")," + t_quantile_ctes("src", "tq")
+           + " SELECT id, t FROM tq ORDER BY id")
+    for (i, t), d in zip(duckdb.sql(sql).fetchall(), dfs):
+        assert abs(t - M.t_quantile(0.975, d)) < 1e-9
