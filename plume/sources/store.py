@@ -154,8 +154,12 @@ def spread(df: DataFrame) -> DataFrame:
     sorts locally before dealing rows out, so a retried task gets the same
     rows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
