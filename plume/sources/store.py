@@ -52,18 +52,35 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """Hash of (path, length, modification time) of every file under ``paths``."""
-    h = hashlib.sha256()
-    for path in sorted(paths):
+_FINGERPRINTS: dict[tuple[str, str], str] = {}
+
+
+def _path_fingerprint(spark: SparkSession, path: str) -> str:
+    """Hash of (file, length, modification time) under ``path``, listed once per application.
+
+    Inputs of one run do not change while it runs; caching the listing keeps
+    a table with millions of files from being listed again by every query.
+    """
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _FINGERPRINTS:
+        h = hashlib.sha256()
         p, fs = _fs(spark, path)
         if not fs.exists(p):
             h.update(f"missing:{path}".encode())
-            continue
-        it = fs.listFiles(p, True)
-        while it.hasNext():
-            st = it.next()
-            h.update(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}".encode())
+        else:
+            it = fs.listFiles(p, True)
+            while it.hasNext():
+                st = it.next()
+                h.update(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}".encode())
+        _FINGERPRINTS[key] = h.hexdigest()
+    return _FINGERPRINTS[key]
+
+
+def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Combined fingerprint of the input folders (see ``_path_fingerprint``)."""
+    h = hashlib.sha256()
+    for path in sorted(paths):
+        h.update(f"{path}={_path_fingerprint(spark, path)}".encode())
     return h.hexdigest()[:16]
 
 
