@@ -278,9 +278,19 @@ def shifted_events(events: DataFrame) -> DataFrame:
     return e.withColumn("ts", ts - shift).drop("_d")
 
 
+def user_sessions(events: DataFrame, gap_minutes: int) -> DataFrame:
+    """Sessions of the shifted user history (input of U6 and U7)."""
+    return sessions(shifted_events(events), gap_minutes)
+
+
 def user_profiles(events: DataFrame, as_of: dt.date, gap_minutes: int) -> DataFrame:
     """Lifetime profile per user from the shifted history."""
-    j = (sessions(shifted_events(events), gap_minutes).groupBy("user_id").agg(
+    return user_profiles_from_sessions(user_sessions(events, gap_minutes), as_of)
+
+
+def user_profiles_from_sessions(user_sess: DataFrame, as_of: dt.date) -> DataFrame:
+    """U6 from the user sessions: every measure is a sum or extreme over sessions."""
+    j = (user_sess.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total_sessions"), F.sum("duration_minutes").alias("minutes"),
         F.sum("page_views").alias("total_page_views"), F.sum("clicks").alias("total_feature_interactions"),
         F.to_date(F.min("session_start")).alias("signup_date"),
@@ -312,10 +322,16 @@ def _feature_key() -> Column:
 
 def user_engagement_metrics(events: DataFrame, as_of: dt.date, gap_minutes: int, days: int = 30) -> DataFrame:
     """Last-``days`` activity per user (sessions starting in the window)."""
+    return user_engagement_metrics_from(user_sessions(events, gap_minutes), events, as_of, days)
+
+
+def user_engagement_metrics_from(user_sess: DataFrame, events: DataFrame, as_of: dt.date,
+                                 days: int = 30) -> DataFrame:
+    """U7 from the user sessions plus the distinct features clicked in the window."""
     ev = shifted_events(events)
     lo = dt.datetime.combine(as_of - dt.timedelta(days=days - 1), dt.time())
     hi = dt.datetime.combine(as_of + dt.timedelta(days=1), dt.time())
-    s = (sessions(ev, gap_minutes)
+    s = (user_sess
          .where((F.col("session_start") >= ntz_lit(lo))
                 & (F.col("session_start") < ntz_lit(hi)))
          .groupBy("user_id").agg(F.count(F.lit(1)).alias("recent_sessions"),

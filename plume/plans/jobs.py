@@ -52,6 +52,9 @@ def run_warehouse(spark: SparkSession, sf_dir: str, out: str, params=FIXTURE,
     run_ts = run_ts or dt.datetime(2024, 2, 1)
     out = out.rstrip("/")
     t = Tables(spark, sf_dir)
+    # the user history is sessionized once and feeds profiles and 30-day metrics
+    io.export_parquet(U.user_sessions(t.events, params.session_gap_minutes), f"{out}/sources/user_sessions")
+    user_sess = spark.read.parquet(f"{out}/sources/user_sessions")
     # sources: built from the facts and exported as Parquet, then read back
     exports = {
         "ext_redshift_daily_sales": U.daily_sales(t.orders, t.lineitem, t.customer, t.nation, t.part),
@@ -59,9 +62,9 @@ def run_warehouse(spark: SparkSession, sf_dir: str, out: str, params=FIXTURE,
         "daily_product_engagement": U.daily_engagement(t.events, params.session_gap_minutes),
         "ext_bigquery_campaigns": U.campaign_performance(t.lineitem, params),
         "ext_bigquery_attribution": U.channel_attribution(t.events),
-        "user_profiles": U.user_profiles(t.events, params.as_of, params.session_gap_minutes),
-        "user_engagement_metrics": U.user_engagement_metrics(t.events, params.as_of, params.session_gap_minutes,
-                                                             params.recent_days),
+        "user_profiles": U.user_profiles_from_sessions(user_sess, params.as_of),
+        "user_engagement_metrics": U.user_engagement_metrics_from(user_sess, t.events, params.as_of,
+                                                                  params.recent_days),
         "feature_engagement_summary": U.feature_engagement_summary(t.events),
     }
     src = {}

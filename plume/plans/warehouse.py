@@ -101,15 +101,21 @@ def dim_marketing(spark, d):
     return M.dim_marketing(campaigns(spark, d), attribution(spark, d), stg_marketing(spark, d), P)
 
 
+def user_sessions(spark, d):
+    """Sessions of the user history, built once for profiles and 30-day metrics."""
+    return materialized(spark, "user_sessions", _paths(d, "events"),
+                        lambda: U.user_sessions(_t(spark, d).events, P.session_gap_minutes))
+
+
 def user_profiles(spark, d):
     return materialized(spark, "user_profiles", _paths(d, "events"),
-                        lambda: U.user_profiles(_t(spark, d).events, P.as_of, P.session_gap_minutes))
+                        lambda: U.user_profiles_from_sessions(user_sessions(spark, d), P.as_of))
 
 
 def user_metrics(spark, d):
     return materialized(spark, "user_engagement_metrics", _paths(d, "events"),
-                        lambda: U.user_engagement_metrics(_t(spark, d).events, P.as_of,
-                                                          P.session_gap_minutes, P.recent_days))
+                        lambda: U.user_engagement_metrics_from(user_sessions(spark, d), _t(spark, d).events,
+                                                               P.as_of, P.recent_days))
 
 
 def features(spark, d):
