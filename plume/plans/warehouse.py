@@ -141,12 +141,13 @@ def profile_snapshot(spark, d):
     ev = _t(spark, d).events
     early = ev.where(F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz"))
 
-    def prof(e, as_of):  # one row per user, read by several branches of the merge
-        return shared(U.user_profiles(e, as_of, P.session_gap_minutes)
-                      .select("user_id", "user_lifecycle_stage", "total_sessions",
-                              F.col("last_login_date").cast("timestamp_ntz").alias("updated_timestamp")))
-    snap = M.snapshot_scd2(prof(early, SNAPSHOT_AS_OF), None, "user_id", "updated_timestamp")
-    return M.snapshot_scd2(prof(ev, P.as_of), snap, "user_id", "updated_timestamp")
+    def state(profiles):
+        return profiles.select("user_id", "user_lifecycle_stage", "total_sessions",
+                               F.col("last_login_date").cast("timestamp_ntz").alias("updated_timestamp"))
+    # the earlier state is one row per user, read by several branches of the merge
+    earlier = shared(state(U.user_profiles(early, SNAPSHOT_AS_OF, P.session_gap_minutes)))
+    snap = M.snapshot_scd2(earlier, None, "user_id", "updated_timestamp")
+    return M.snapshot_scd2(state(user_profiles(spark, d)), snap, "user_id", "updated_timestamp")
 
 
 QUERIES = {
