@@ -121,8 +121,9 @@ def spearman(df: DataFrame, x: str, y: str, with_p: bool = False) -> DataFrame:
     c = F.col("cnt")
     m = j.agg(F.max("_n").alias("n"),
               (F.sum(c * F.col("_dx") * F.col("_dy"))
-               / F.sqrt(F.sum(c * F.col("_dx") * F.col("_dx")) * F.sum(c * F.col("_dy") * F.col("_dy"))))
-              .alias("r"))
+               / F.nullif(F.sqrt(F.sum(c * F.col("_dx") * F.col("_dx")) * F.sum(c * F.col("_dy") * F.col("_dy"))),
+                          F.lit(0.0)))
+              .alias("r"))  # all values tied: undefined, NULL like corr()
     return _corr_row(m, with_p)
 
 
