@@ -202,7 +202,7 @@ def campaign_performance(lineitem: DataFrame, params) -> DataFrame:
                     F.min("d").alias("first_day"), F.max("d").alias("last_day")))
     roas = safe_div("rev", "spend")
     types = F.element_at(F.array(*[F.lit(t) for t in CAMPAIGN_TYPES]),
-                         (F.col("campaign_id") % len(CAMPAIGN_TYPES) + 1).cast("int"))
+                         (F.pmod(F.col("campaign_id"), F.lit(len(CAMPAIGN_TYPES))) + 1).cast("int"))
     return g.select(
         "campaign_id", F.concat(F.lit("Campaign "), F.col("campaign_id").cast("string")).alias("campaign_name"),
         types.alias("campaign_type"), rnd("spend", 4).alias("total_spend"),
@@ -302,9 +302,9 @@ def user_profiles_from_sessions(user_sess: DataFrame, as_of: dt.date) -> DataFra
     score = F.least(F.lit(100.0), 10 * F.log1p(sess.cast("double")) + 5 * F.log1p(F.col("total_page_views").cast("double"))
                     + 5 * F.log1p(F.col("total_feature_interactions").cast("double")))
     seg = F.element_at(F.array(*[F.lit(s_) for s_ in USER_SEGMENTS]),
-                       (F.col("user_id") % len(USER_SEGMENTS) + 1).cast("int"))
+                       (F.pmod(F.col("user_id"), F.lit(len(USER_SEGMENTS))) + 1).cast("int"))
     tier = F.element_at(F.array(*[F.lit(t) for t in SUBSCRIPTION_TIERS]),
-                        (F.col("user_id") % len(SUBSCRIPTION_TIERS) + 1).cast("int"))
+                        (F.pmod(F.col("user_id"), F.lit(len(SUBSCRIPTION_TIERS))) + 1).cast("int"))
     stage = (F.when(recency > 30, "Churned").when(recency > 14, "At Risk")
              .when(tenure <= 20, "New").otherwise("Active"))
     return j.select(
@@ -317,7 +317,7 @@ def user_profiles_from_sessions(user_sess: DataFrame, as_of: dt.date) -> DataFra
 
 
 def _feature_key() -> Column:
-    return F.get_json_object("props", "$.k").cast("long")
+    return F.get_json_object("props", "$.k").try_cast("long")
 
 
 def user_engagement_metrics(events: DataFrame, as_of: dt.date, gap_minutes: int, days: int = 30) -> DataFrame:

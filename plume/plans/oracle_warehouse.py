@@ -258,7 +258,7 @@ cp_g AS (SELECT l_partkey % 40 AS campaign_id,
          FROM lineitem GROUP BY 1),
 campaigns AS (
   SELECT campaign_id, 'Campaign ' || CAST(campaign_id AS VARCHAR) AS campaign_name,
-    ['Search', 'Display', 'Social', 'Video'][campaign_id % 4 + 1] AS campaign_type,
+    ['Search', 'Display', 'Social', 'Video'][((campaign_id % 4) + 4) % 4 + 1] AS campaign_type,
     {rnd('spend', 4)} AS total_spend, {rnd('clicks * 100.0', 4)} AS total_impressions, {rnd('clicks', 4)} AS total_clicks,
     conversions AS total_conversions, {rnd('rev', 4)} AS attributed_revenue,
     CAST(last_day - first_day + 1 AS INTEGER) AS campaign_duration_days,
@@ -366,8 +366,8 @@ def profiles_sql(name: str, events: str, as_of: str) -> str:
                     count(CASE WHEN event_type = 'click' THEN 1 END) AS total_feature_interactions
              FROM {name}_sev GROUP BY 1),
 {name} AS (
-  SELECT u.user_id, u.user_id AS customer_id, ['Consumer', 'SMB', 'Enterprise'][u.user_id % 3 + 1] AS user_segment,
-    ['Premium', 'Pro', 'Free', 'Trial'][u.user_id % 4 + 1] AS subscription_tier,
+  SELECT u.user_id, u.user_id AS customer_id, ['Consumer', 'SMB', 'Enterprise'][((u.user_id % 3) + 3) % 3 + 1] AS user_segment,
+    ['Premium', 'Pro', 'Free', 'Trial'][((u.user_id % 4) + 4) % 4 + 1] AS subscription_tier,
     CASE WHEN DATE '{as_of}' - last_login_date > 30 THEN 'Churned' WHEN DATE '{as_of}' - last_login_date > 14 THEN 'At Risk'
          WHEN DATE '{as_of}' - signup_date <= 20 THEN 'New' ELSE 'Active' END AS user_lifecycle_stage,
     {rnd('least(100.0, 10 * ln(1 + coalesce(total_sessions, 0)) + 5 * ln(1 + total_page_views) + 5 * ln(1 + total_feature_interactions))', 2)}
@@ -387,7 +387,7 @@ um_s AS (SELECT user_id, count(*) AS recent_sessions, {rnd('sum(duration_minutes
                 max(session_start) AS last_session_timestamp
          FROM um_ss WHERE session_start >= TIMESTAMP '2024-01-02' AND session_start < TIMESTAMP '2024-02-01'
          GROUP BY 1),
-um_f AS (SELECT user_id, count(DISTINCT CAST(json_extract_string(props, '$.k') AS BIGINT)) AS features_used
+um_f AS (SELECT user_id, count(DISTINCT TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS features_used
          FROM um_sev WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-02-01'
          GROUP BY 1),
 user_engagement_metrics AS (
@@ -397,9 +397,9 @@ user_engagement_metrics AS (
   FROM um_s FULL JOIN um_f USING (user_id))"""
 
 FEATURES = f"""
-fe_g AS (SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS total_interactions,
+fe_g AS (SELECT TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS total_interactions,
                 count(DISTINCT user_id) AS unique_users
-         FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) IS NOT NULL GROUP BY 1),
+         FROM events WHERE TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) IS NOT NULL GROUP BY 1),
 feature_summary AS (
   SELECT 'k' || CAST(k AS VARCHAR) AS feature_name, 'category_' || CAST(k % 5 AS VARCHAR) AS feature_category,
     total_interactions, unique_users, {rnd(_div('total_interactions', 'unique_users'), 6)} AS interactions_per_user
