@@ -49,7 +49,10 @@ def rnd(c, digits: int) -> Column:
     Distributed double sums differ in the last bits between plans; going
     through ``decimal(38,10)`` makes the rounding identical across engines.
     """
-    return F.round(col(c).cast("decimal(38,10)"), digits).cast("double")
+    x = col(c)
+    rounded = F.round(x.cast("decimal(38,10)"), digits).cast("double")
+    # beyond decimal(38,10) range (|x| >= 1e28) digits are meaningless: keep x
+    return F.when(F.abs(x) < F.lit(1e27), rounded).otherwise(x.cast("double"))
 
 
 def safe_div(num, den) -> Column:

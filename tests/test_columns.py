@@ -92,3 +92,7 @@ def test_whitespace_matches_python_str_semantics(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [(r[0], r[1]) for r in df.select(strip_ws("v"), word_count_ws("v")).collect()]
     assert got == [(v.strip(), len(v.split())) for v in vals]
+
+
+def test_round_keeps_values_beyond_decimal_range(spark):
+    assert _one(spark, rnd("v", 2), [1e30, -2.5e28, 1.005]) == [1e30, -2.5e28, 1.01]
