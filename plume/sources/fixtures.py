@@ -31,7 +31,11 @@ def review_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     row per document; the text is split inside the row (no shuffle).
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    # Only a toxic or quality label changes the outcome (other rows fall to the
+    # doc_id rules either way), so the lookup side keeps just those rows: a
+    # smaller side that AQE can broadcast instead of moving document text.
+    labels = (table(spark, sf_dir, "labels").where((F.col("toxic") == 1) | (F.col("quality") == 1))
+              .select("doc_id", "quality", "toxic"))
     d = docs.join(labels, "doc_id", "left")
     doc = F.col("doc_id")
     sentiment = (F.when(F.col("toxic") == 1, "Negative").when(F.col("quality") == 1, "Positive")
