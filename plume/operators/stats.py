@@ -46,7 +46,7 @@ def t_test(df: DataFrame, value: str = "rating", group: str = "sentiment",
     dof = na + nb - 2.0
     pooled_var = ((na - 1.0) * F.col("var_a") + (nb - 1.0) * F.col("var_b")) / F.nullif(dof, F.lit(0.0))
     sp = F.sqrt(pooled_var)
-    se = sp * F.sqrt(1.0 / na + 1.0 / nb)
+    se = sp * F.sqrt(1.0 / F.nullif(na, F.lit(0.0)) + 1.0 / F.nullif(nb, F.lit(0.0)))
     diff = F.col("mean_a") - F.col("mean_b")
     t = diff / F.nullif(se, F.lit(0.0))
     d = diff / F.nullif(sp, F.lit(0.0))
