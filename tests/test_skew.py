@@ -36,5 +36,7 @@ def test_hot_user_is_spread_over_tasks(spark):
         # (user, hour) windows: no task gets anywhere near a third
         bucketed = S._starts(ev, 720, "user_id", "ts", "event_id", 60)
         assert _largest_task_share(bucketed, "_sid") < 0.25
+        counted = S.running_count(ev.withColumn("flag", F.col("event_id") % 7 == 0), "flag")
+        assert _largest_task_share(counted, "prior_count") < 0.25
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
