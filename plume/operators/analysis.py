@@ -35,9 +35,10 @@ def raw_profile(raw: DataFrame) -> DataFrame:
         F.max("ingestion_timestamp").alias("latest_ingestion"))
 
 
-def distribution(df: DataFrame, column: str) -> DataFrame:
-    """Count and percent of total per value."""
-    return with_share_of_total(df.groupBy(column).agg(F.count(F.lit(1)).alias("count")))
+def distribution(df: DataFrame, column: str, order_by=None) -> DataFrame:
+    """Count and percent of total per value (optionally ordered, outermost)."""
+    out = with_share_of_total(df.groupBy(column).agg(F.count(F.lit(1)).alias("count")))
+    return out.orderBy(*order_by) if order_by else out
 
 
 def raw_quality(raw: DataFrame) -> DataFrame:
@@ -209,7 +210,7 @@ def sentiment_descriptive(analyzed: DataFrame, exact: bool = True) -> DataFrame:
         rnd(F.stddev_samp("review_length"), 1).alias("std_review_length"),
         rnd(q("review_length", 0.5), 1).alias("median_review_length"),
         rnd(F.avg("word_count"), 1).alias("mean_word_count"),
-        rnd(q("word_count", 0.5), 1).alias("median_word_count")))
+        rnd(q("word_count", 0.5), 1).alias("median_word_count")).orderBy("sentiment"))
 
 
 def length_rating_crosstab(corr: DataFrame) -> DataFrame:

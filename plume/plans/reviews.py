@@ -89,8 +89,8 @@ QUERIES = {
     "partitioned_raw_reviews": partitioned_raw_reviews,
     "cleaning_audit": lambda spark, d: ingest.cleaning_audit(review_file(spark, d)),
     "raw_profile": _on_raw(A.raw_profile),
-    "sentiment_distribution": _on_raw(lambda df: A.distribution(df, "sentiment")),
-    "rating_distribution": _on_raw(lambda df: A.distribution(df, "rating")),
+    "sentiment_distribution": _on_raw(lambda df: A.distribution(df, "sentiment", [F.desc("count")])),
+    "rating_distribution": _on_raw(lambda df: A.distribution(df, "rating", ["rating"])),
     "raw_quality": _on_raw(A.raw_quality),
     "raw_preview": _on_raw(A.preview),
     "post_load_checks": _on_raw(A.post_load_checks),
@@ -100,7 +100,7 @@ QUERIES = {
     "summary_statistics": _on_analyzed(A.summary_statistics),
     "sentiment_stats": _on_analyzed(lambda df: A.stats_by(df, "sentiment")),
     "length_category_distribution": _on_analyzed(lambda df: A.stats_by(df, "length_category")),
-    "analyzed_rating_distribution": _on_analyzed(lambda df: A.distribution(df, "rating")),
+    "analyzed_rating_distribution": _on_analyzed(lambda df: A.distribution(df, "rating", ["rating"])),
     "basic_stats": _on_analyzed(A.basic_stats),
     "transform_validation": _on_analyzed(A.transform_validation),
     "data_issues": _on_analyzed(A.data_issues),
