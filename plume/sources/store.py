@@ -8,9 +8,14 @@ the first use writes the table as Parquet under ``spark.checkpoint.dir``
 the lineage), later uses read it back.
 
 The location is keyed by a fingerprint of the input files (path, size,
-modification time, read through the Hadoop FileSystem API, metadata only)
-and of this package's source, so a changed input or changed code never
-reads a stale table.
+modification time, read through the Hadoop FileSystem API, metadata only,
+once per application) and of this package's source, so a changed input or
+changed code never reads a stale table.
+
+Also here: ``shared`` (an intermediate consumed by several branches of one
+plan, written once instead of recomputed per branch), ``spread`` (at least
+one partition per core for a CPU-heavy stage over few input files) and
+``remove_folder`` (a run deleting its own namespace).
 """
 
 from __future__ import annotations
