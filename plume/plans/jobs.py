@@ -1,7 +1,8 @@
 """End-to-end jobs: what the reference's scripts and daily run do, as Spark jobs.
 
 ``run_reviews``   ingestion -> day-partitioned raw table -> post-load checks ->
-                  analysis table -> summary statistics -> statistical results
+                  analysis table -> summary statistics -> statistical results ->
+                  dashboard feeds
 ``run_warehouse`` daily sources exported as Parquet -> staging (lazy) ->
                   unified daily (lazy) -> marts written -> declarative tests with
                   stored failures -> freshness / revenue checks -> summary
@@ -21,6 +22,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from ..operators import analysis as A
+from ..operators import feeds as V
 from ..operators import ingest, quality, stats, transform
 from ..operators.warehouse import models as M
 from ..operators.warehouse import upstream as U
@@ -42,9 +44,26 @@ def run_reviews(spark: SparkSession, sf_dir: str, out: str, run_ts: dt.datetime
     an = spark.read.parquet(f"{out}/reviews_analyzed")
     A.summary_statistics(an).write.mode("overwrite").parquet(f"{out}/summary_statistics")
     results = stats.statistical_results(transform.ttest_data(an), transform.length_rating_correlation(an))
-    io.save_statistical_results(results, f"{out}/statistical_results", run_ts)
-    return {name: f"{out}/{name}" for name in ("raw_reviews", "post_load_checks", "reviews_analyzed",
-                                               "summary_statistics", "statistical_results")}
+    stored = io.save_statistical_results(results, f"{out}/statistical_results", run_ts)
+    # dashboard feeds: one small pre-aggregated table per chart, refreshed with the data
+    corr, ttest = transform.length_rating_correlation(an), transform.ttest_data(an)
+    feeds = {
+        "kpi_cards": V.kpi_cards(stored, an),
+        "rating_by_sentiment": V.rating_by_sentiment(an),
+        "scatter_sample": V.scatter_sample(an),
+        "scatter_trend": V.scatter_trend(corr),
+        "box_plot": V.box_plot(ttest),
+        "quality_stack": V.quality_stack(an),
+        "mean_ci": V.mean_ci(an),
+        "kpi_weekly": V.kpi_weekly(an),
+        "quality_indicators": quality.quality_indicators(an, run_ts.date()),
+    }
+    for name, df in feeds.items():
+        df.write.mode("overwrite").parquet(f"{out}/feeds/{name}")
+    paths = {name: f"{out}/{name}" for name in ("raw_reviews", "post_load_checks", "reviews_analyzed",
+                                                "summary_statistics", "statistical_results")}
+    paths.update({f"feeds/{name}": f"{out}/feeds/{name}" for name in feeds})
+    return paths
 
 
 def run_warehouse(spark: SparkSession, sf_dir: str, out: str, params=FIXTURE,

@@ -12,6 +12,8 @@ def test_run_reviews_writes_all_tables(spark, tmp_dir):
     assert "transformation_timestamp" in an.columns
     assert spark.read.parquet(paths["statistical_results"]).count() == 6
     assert spark.read.parquet(paths["raw_reviews"]).select("ingestion_date").distinct().count() > 1
+    assert spark.read.parquet(paths["feeds/kpi_cards"]).count() == 1
+    assert spark.read.parquet(paths["feeds/rating_by_sentiment"]).count() == 3
 
 
 def test_run_warehouse_writes_marts_and_checks(spark, tmp_dir):
