@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -117,6 +118,20 @@ def written_once(spark: SparkSession, name: str, inputs: list[str],
     """
     key = hashlib.sha256((input_fingerprint(spark, inputs) + _code_hash()).encode()).hexdigest()[:20]
     path = f"{table_root(spark)}/{name}/{key}"
+    with _lock_for(path):  # threads of one process wait for a single build
+        return _write_once(spark, name, path, write, in_place)
+
+
+_LOCKS: dict[str, threading.RLock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock_for(path: str) -> threading.RLock:
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(path, threading.RLock())
+
+
+def _write_once(spark: SparkSession, name: str, path: str, write: Callable[[str], None], in_place: bool) -> str:
     if in_place:
         if not _exists(spark, f"{path}/_SUCCESS"):
             write(path)
