@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -29,7 +30,7 @@ from ..operators.warehouse import upstream as U
 from ..params import FIXTURE
 from ..sources import io
 from ..sources.fixtures import review_file
-from ..sources.store import spread
+from ..sources.store import NAMESPACE_CONF, remove_folder, spread, table_root
 from ..sources.tables import Tables
 
 
@@ -140,9 +141,14 @@ def main(argv=None) -> None:
     ap.add_argument("--cluster", action="store_true", help="use the large-cluster shuffle/AQE settings")
     a = ap.parse_args(argv)
     spark = build_session(a.master, cluster=a.cluster)
-    result = (run_reviews if a.pipeline == "reviews" else run_warehouse)(spark, a.sf, a.out)
-    print(result)
-    spark.stop()
+    # intermediates of this run live in their own namespace and go away with it
+    spark.conf.set(NAMESPACE_CONF, f"job-{uuid.uuid4().hex}")
+    try:
+        result = (run_reviews if a.pipeline == "reviews" else run_warehouse)(spark, a.sf, a.out)
+        print(result)
+    finally:
+        remove_folder(spark, table_root(spark))
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -26,3 +26,26 @@ def test_run_warehouse_writes_marts_and_checks(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/run_summary").count() == 8
     dims = spark.read.parquet(f"{tmp_dir}/marts/dim_user_engagement")
     assert dims.count() == W.user_profiles(spark, SF_SMALL).count()
+
+
+def test_concurrent_first_uses_build_once(spark):
+    import threading
+    import uuid
+    from plume.sources.store import remove_folder, table_root
+    old = spark.conf.get("spark.plume.tableNamespace", None)
+    spark.conf.set("spark.plume.tableNamespace", f"conc-{uuid.uuid4().hex}")
+    try:
+        out, errs = [], []
+
+        def run():
+            try:
+                out.append(reviews.analyzed(spark, SF_SMALL).count())
+            except Exception as e:  # noqa: BLE001
+                errs.append(e)
+        threads = [threading.Thread(target=run) for _ in range(3)]
+        [t.start() for t in threads]
+        [t.join() for t in threads]
+        assert not errs and len(set(out)) == 1
+        remove_folder(spark, table_root(spark))
+    finally:
+        spark.conf.set("spark.plume.tableNamespace", old or "")
