@@ -204,3 +204,23 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def expire_shared(spark: SparkSession, older_than_hours: float = 24.0) -> list[str]:
+    """Delete ``shared`` intermediates older than ``older_than_hours`` (housekeeping).
+
+    Meant for a scheduled cleanup: an intermediate is only read by the query
+    that wrote it, so anything older than the longest run can go.  Lists one
+    folder level through the Hadoop FileSystem API; no data is read.
+    """
+    import time
+    p, fs = _fs(spark, f"{table_root(spark)}/_shared")
+    if not fs.exists(p):
+        return []
+    cutoff_ms = (time.time() - older_than_hours * 3600.0) * 1000.0
+    removed = []
+    for st in fs.listStatus(p):
+        if st.isDirectory() and st.getModificationTime() < cutoff_ms:
+            fs.delete(st.getPath(), True)
+            removed.append(st.getPath().getName())
+    return sorted(removed)

@@ -49,3 +49,25 @@ def test_concurrent_first_uses_build_once(spark):
         remove_folder(spark, table_root(spark))
     finally:
         spark.conf.set("spark.plume.tableNamespace", old or "")
+
+
+def test_expire_shared_removes_only_old_intermediates(spark):
+    import os
+    import time
+    import uuid
+    from plume.sources.store import expire_shared, remove_folder, shared, table_root
+    old = spark.conf.get("spark.plume.tableNamespace", None)
+    spark.conf.set("spark.plume.tableNamespace", f"exp-{uuid.uuid4().hex}")
+    try:
+        shared(spark.range(3))
+        shared(spark.range(4))
+        root = table_root(spark) + "/_shared"
+        local = root.replace("file:", "")
+        first = sorted(os.listdir(local))[0]
+        past = time.time() - 3 * 86400
+        os.utime(os.path.join(local, first), (past, past))
+        assert expire_shared(spark, older_than_hours=24) == [first]
+        assert len(os.listdir(local)) == 1
+        remove_folder(spark, table_root(spark))
+    finally:
+        spark.conf.set("spark.plume.tableNamespace", old or "")
