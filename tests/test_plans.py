@@ -72,3 +72,17 @@ def test_entry_runs_on_smoke_data(spark):
     import __spark_entry__ as entry
     df = entry.entry(spark)
     assert df.count() == 364 and "overall_business_score" in df.columns
+
+
+def test_library_pulls_no_rows_to_the_driver():
+    import os
+    import re
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "plume")
+    hits = []
+    for dirpath, _, files in os.walk(root):
+        for f in files:
+            if f.endswith(".py") and f not in ("verify.py", "explain.py"):  # local checking tools
+                src = open(os.path.join(dirpath, f)).read()
+                hits += [(f, m) for m in re.findall(r"\.(toPandas|collect|take|head|first)\(\)", src)]
+    # the only one: the ids of failing declared tests (at most one row per test) in jobs.py
+    assert hits == [("jobs.py", "collect")]
