@@ -227,32 +227,40 @@ def channel_attribution(events: DataFrame, model: str = "linear") -> DataFrame:
     of an event is the number of earlier purchases of the user, computed as
     a bucketed prefix count (no per-user global window).  Touches after a
     user's last purchase belong to no conversion and drop out of the inner
-    join.  Each touch carries weight 1/n and revenue value/n.
+    join.  Each touch carries weight 1/n and revenue value/n; per channel of a
+    conversion that is k/n and value*k/n, so touches are aggregated to that
+    grain before any join.
     """
     e = events.select("event_id", "ts", "user_id", "event_type", "value") \
               .withColumn("is_purchase", F.col("event_type") == "purchase")
-    e = shared(running_count(e, "is_purchase", out="epoch"))  # read by three branches
+    e = shared(running_count(e, "is_purchase", out="epoch"))  # read by two branches
     conv = (e.where("is_purchase")
-             .select("user_id", "epoch", F.col("ts").alias("conv_ts"), F.col("value").alias("conv_value")))
-    touches = e.where(~F.col("is_purchase")).select("user_id", "epoch", "event_id", "ts",
-                                                    F.col("event_type").alias("channel"))
-    per_conv = touches.groupBy("user_id", "epoch").agg(
-        F.count(F.lit(1)).alias("n_touch"),
-        F.min(F.struct("ts", "event_id")).alias("_first"),
-        F.max(F.struct("ts", "event_id")).alias("_last"))
-    t = (touches.join(per_conv, ["user_id", "epoch"]).join(conv, ["user_id", "epoch"])
-                .select("channel",
-                        (1.0 / F.col("n_touch")).alias("w"),
-                        (F.col("conv_value") / F.col("n_touch")).alias("rv"),
-                        ((epoch_micros("conv_ts") - epoch_micros("ts")) / F.lit(float(MICROS_PER_DAY))).alias("days"),
-                        ((F.col("ts") == F.col("_first.ts")) & (F.col("event_id") == F.col("_first.event_id"))).alias("is_first"),
-                        ((F.col("ts") == F.col("_last.ts")) & (F.col("event_id") == F.col("_last.event_id"))).alias("is_last")))
-    g = t.groupBy("channel").agg(
-        F.sum("w").alias("conv"), F.sum("rv").alias("rev"),
-        F.count(F.when(F.col("is_first"), 1)).alias("first_touch_conversions"),
-        F.count(F.when(F.col("is_last"), 1)).alias("last_touch_conversions"),
-        F.count(F.when(~F.col("is_first") & ~F.col("is_last"), 1)).alias("assisted_conversions"),
-        F.avg("days").alias("days"), F.count(F.lit(1)).alias("touches"))
+             .select("user_id", "epoch", epoch_micros("ts").alias("conv_us"), F.col("value").alias("conv_value")))
+    # Touches are first reduced to one row per (user, conversion, channel):
+    # count, exact sum of timestamps, and the channel's first and last touch.
+    # The joins below then see a few rows per conversion instead of every event.
+    by_channel = shared(
+        e.where(~F.col("is_purchase"))
+         .groupBy("user_id", "epoch", F.col("event_type").alias("channel"))
+         .agg(F.count(F.lit(1)).alias("k"),
+              F.sum(epoch_micros("ts").cast("decimal(38,0)")).alias("sum_us"),
+              F.min(F.struct("ts", "event_id")).alias("_cfirst"),
+              F.max(F.struct("ts", "event_id")).alias("_clast")))
+    per_conv = by_channel.groupBy("user_id", "epoch").agg(
+        F.sum("k").alias("n_touch"), F.min("_cfirst").alias("_first"), F.max("_clast").alias("_last"))
+    j = by_channel.join(per_conv, ["user_id", "epoch"]).join(conv, ["user_id", "epoch"])
+    has_first = (F.col("_cfirst") == F.col("_first")).cast("int")
+    has_last = (F.col("_clast") == F.col("_last")).cast("int")
+    both = (F.col("_first") == F.col("_last")).cast("int") * has_first  # a single touch is first and last
+    span_us = F.col("k").cast("decimal(38,0)") * F.col("conv_us").cast("decimal(38,0)") - F.col("sum_us")
+    g = j.groupBy("channel").agg(
+        F.sum(F.col("k") / F.col("n_touch")).alias("conv"),
+        F.sum(F.col("conv_value") * F.col("k") / F.col("n_touch")).alias("rev"),
+        F.sum(has_first).cast("long").alias("first_touch_conversions"),
+        F.sum(has_last).cast("long").alias("last_touch_conversions"),
+        F.sum(F.col("k") - has_first - has_last + both).cast("long").alias("assisted_conversions"),
+        (F.sum(span_us).cast("double") / F.lit(float(MICROS_PER_DAY)) / F.sum("k")).alias("days"),
+        F.sum("k").alias("touches"))
     total = g.agg(F.sum("conv").alias("_all"))
     return g.crossJoin(F.broadcast(total)).select(
         "channel", F.lit(model).alias("attribution_model"),
