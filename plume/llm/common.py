@@ -24,6 +24,13 @@ def pick(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`").cast("long" if c == "doc_id" else "string").alias(c) for c in columns])
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back.
 

@@ -31,10 +31,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import pick, text_groups, written
+from .common import pick, text_groups, unused, written
 from .graph import components
 
 _SEED = 42
@@ -63,14 +65,20 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int, extra: tuple[str, ...] = ("doc_id",), fp: str = "fp", uid: str = "uid") -> DataFrame:
+    """The ``extra`` columns, the fingerprint as a signed long, and a number for each row."""
+    own = docs.select(*dict.fromkeys((*extra, "text")))
+    schema = StructType([*own.select(*extra).schema.fields, StructField(fp, LongType()), StructField(uid, LongType())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 40
         for part, texts in text_groups(batches):
             fps = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(c) for c in extra], pa.array(fps), pa.array(np.arange(at, at + len(fps)))], [*extra, fp, uid])
+            at += len(fps)
 
-    return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return own.mapInArrow(run, schema)
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -154,12 +162,24 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links) of every document."""
-    prints = written(fingerprints(docs, shingle), "simhash")
+    prints = written(fingerprints(pick(docs, "doc_id", "text"), shingle).drop("uid"), "simhash")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = components(links(distinct, max_distance))
-    members = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", "root")
-    linked = members.where("root IS NOT NULL")
+    roots = components(links(distinct, max_distance)).withColumnRenamed("node", "fp")
+    linked = distinct.join(roots, "fp")
     named = linked.join(linked.groupBy("root").agg(F.min("first").alias("least")), "root").select("fp", "least")
-    final = members.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    final = distinct.join(named, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
     return prints.join(final, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the one of smallest doc_id (nulls last) stays."""
+    columns = docs.columns
+    fp, uid = unused("fp", columns), unused("uid", columns)
+    rows = written(fingerprints(docs, shingle, tuple(columns), fp, uid), "simhash-rows")
+    first = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col(uid).alias("uid"))
+    distinct = written(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(first).alias("first")), "simhash-distinct")
+    roots = components(links(distinct, max_distance)).withColumnRenamed("node", "fp")
+    stay = distinct.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")) \
+        .agg(F.min("first").alias("first")).select(F.col("first.uid").alias(uid))
+    return rows.join(stay, uid, "left_semi").select(*columns)
