@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -24,6 +24,11 @@ def pick(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`").cast("long" if c == "doc_id" else "string").alias(c) for c in columns])
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unused(name: str, columns: list[str]) -> str:
     """``name``, with underscores added until no column has it."""
     while name.lower() in {c.lower() for c in columns}:

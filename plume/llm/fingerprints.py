@@ -19,9 +19,11 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import let, pick, unused
+
 SHINGLE = 5
 BIN_BITS = 7
 BINS = 1 << BIN_BITS
@@ -31,7 +33,7 @@ _LOW = (1 << (64 - BIN_BITS)) - 1  # a marker is the largest number of its bin
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.array_remove(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), "")
 
 
 def _hash_words(w: Column, shingle: int) -> Column:
@@ -53,31 +55,32 @@ def with_fingerprint(docs: DataFrame, text: str, name: str, shingle: int = SHING
     """``docs`` with the packed fingerprint (array of longs) of column ``text`` as ``name``."""
     own, columns = docs, docs.columns
     markers = F.array(*[F.lit(_signed((b << (64 - BIN_BITS)) | _LOW)) for b in range(BINS)])
-    w, h, d, f = (f"{name}_{x}" for x in ("words", "hashes", "dense", "filled"))
+    w, h, d = (unused(f"{name}_{x}", columns) for x in ("words", "hashes", "dense"))
     own = own.withColumn(w, words(F.col(text)))
     own = own.select(*columns, F.concat(_hash_words(F.col(w), shingle), markers).alias(h))
     own = own.select(*columns, F.sort_array(h).alias(h))
     own = own.select(*columns, F.filter(
         h, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(F.col(h), i - 1)))).alias(d))
     marker = F.lit(_LOW)
-    own = own.select(*columns, d, F.filter(d, lambda x: x.bitwiseAND(marker) != marker).alias(f))
     low = F.lit((1 << BITS) - 1)
 
     def kept(x: Column, home: Column) -> Column:
         """The bits kept of a hash: from another of its eight low groups by bin, so that bins that share a hash differ."""
         return F.call_function("shiftright", x, (home.bitwiseAND(F.lit(7)) * BITS).cast("int")).bitwiseAND(low)
 
-    def value(x: Column) -> Column:
+    def value(x: Column, filled: Column) -> Column:
         """A bin's kept bits; an empty bin takes the filled bin that comes first in the bin's own order."""
         borrowed = F.array_min(F.transform(
-            f, lambda y: F.xxhash64(_bin(x), _bin(y)).bitwiseAND(F.lit(~((1 << BITS) - 1))).bitwiseOR(kept(y, _bin(x)))))
+            filled, lambda y: F.xxhash64(_bin(x), _bin(y)).bitwiseAND(F.lit(~((1 << BITS) - 1))).bitwiseOR(kept(y, _bin(x)))))
         return F.when(x.bitwiseAND(marker) != marker, kept(x, _bin(x))).otherwise(borrowed).bitwiseAND(low)
 
-    own = own.select(*columns, F.transform(d, value).alias(d))
-    packed = F.transform(F.sequence(F.lit(0), F.lit(BINS // _PER_LONG - 1)), lambda k: F.aggregate(
-        F.slice(F.col(d), k * _PER_LONG + 1, F.lit(_PER_LONG)), F.lit(0).cast("long"),
-        lambda a, v: F.shiftleft(a, BITS).bitwiseOR(v)))
-    return own.select(*columns, packed.alias(name))
+    def packed(values: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(BINS // _PER_LONG - 1)), lambda k: F.aggregate(
+            F.slice(values, k * _PER_LONG + 1, F.lit(_PER_LONG)), F.lit(0).cast("long"),
+            lambda a, v: F.shiftleft(a, BITS).bitwiseOR(v)))
+
+    filled = F.filter(d, lambda x: x.bitwiseAND(marker) != marker)
+    return own.select(*columns, let(filled, lambda f: let(F.transform(d, lambda x: value(x, f)), packed)).alias(name))
 
 
 def likeness(one: Column, two: Column) -> Column:
@@ -143,7 +146,6 @@ def with_next(docs: DataFrame, columns: list[str], parts: int | None = None) ->
         around = F.struct(F.lit(0).alias("range"), F.lit(True).alias("copy"), F.lit(None).cast("long").alias("at"))
         sent = F.array_compact(F.array(itself, F.when(edge, above), F.when(F.col("doc_id") == top, around)))
         ranged = docs.withColumn("sent", F.explode(sent)).select(*docs.columns, "sent.range", "sent.copy", "sent.at")
-    from pyspark.sql import Window
     # copies come after every row of the range; the copy of the very first document after those without id
     window = Window.partitionBy("range").orderBy(F.col("copy"), *order)
     after = ranged.withColumns({f"next_{c}": F.lead(c).over(window) for c in columns})
@@ -161,7 +163,7 @@ def fingerprint_edits(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next.
     """
-    own = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.coalesce(F.col("`text`").cast("string"), F.lit("")).alias("text"))
+    own = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     own = own.withColumn("n_chars", F.length("text").cast("long"))
     own = with_next(with_fingerprint(own, "text", "fp", shingle), ["text", "fp"])
     half = F.floor(F.col("n_chars") / 2).cast("int")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import pick, written
 
-WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 #: Statistics and the standard deviation taken at least for each.
 FLOORS = {"x_length": 0.15, "x_symbols": 0.05, "x_repeats": 0.15, "x_lines": 0.2}
@@ -50,7 +50,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     own = pick(docs, "doc_id", "text", "lang", "source")
     own = own.withColumn("row_key", row_key(own)).withColumn("text", F.coalesce("text", F.lit("")))
     words = own.select(
-        "doc_id", "lang", "source", "row_key", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("w"),
+        "doc_id", "lang", "source", "row_key", F.array_remove(F.split("text", SPACE), "").alias("w"),
         F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"))
     windows = words.select(

@@ -1,0 +1,28 @@
+import pytest
+from llm_rows import SF, make, odd_rows
+
+
+@pytest.fixture(scope="session")
+def base_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    return [(r.doc_id, r.text, r.lang, r.source) for r in docs.orderBy("doc_id").collect()]
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Odd rows alone."""
+    return make(spark, odd_rows())
+
+
+@pytest.fixture(scope="session")
+def mixed(spark, base_rows):
+    """(rows, DataFrame): the small table with odd rows among it."""
+    rows = base_rows[:120] + odd_rows()
+    return rows, make(spark, rows).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return make(spark, [])
+
+
