@@ -16,8 +16,8 @@ def brute_fingerprint(text, size=3):
     if not words:
         return 0
     shingles = [" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))]
-    hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    hashes = np.array([xxhash.xxh64_intdigest(s, seed=42) for s in shingles], np.uint64)
+    return sum(1 << b for b in range(64) if 2 * int((hashes >> np.uint64(b) & np.uint64(1)).sum()) > len(hashes))
 
 
 def brute_components(prints):
