@@ -5,7 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
-from llm_rows import make
+
+from llm_rows import make, mixed, no_docs  # noqa: F401  fixtures
 
 from plume.llm import fingerprints as fp
 

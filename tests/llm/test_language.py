@@ -4,9 +4,10 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
-from llm_rows import SF, make
 from pyspark.sql import functions as F
 
+from llm_rows import SF, base_rows, make, mixed, no_docs  # noqa: F401  fixtures
+
 from plume.llm import language
 
 

@@ -6,7 +6,8 @@ import re
 from collections import Counter
 
 import pytest
-from llm_rows import make
+
+from llm_rows import make, mixed, no_docs  # noqa: F401  fixtures
 
 from plume.llm import pii
 

@@ -4,9 +4,10 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
-from llm_rows import SF, make
 from pyspark.sql import functions as F
 
+from llm_rows import SF, base_rows, make, mixed, no_docs  # noqa: F401  fixtures
+
 from plume.llm import language, quality_rules, queries, secrets, simhash
 from plume.llm.common import written
 

@@ -5,7 +5,8 @@ from collections import Counter
 
 import numpy as np
 import xxhash
-from llm_rows import make
+
+from llm_rows import base_rows, make, mixed, no_docs  # noqa: F401  fixtures
 
 from plume.llm import simhash
 from plume.llm.graph import components

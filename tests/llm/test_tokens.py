@@ -10,6 +10,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from llm_rows import make, mixed, no_docs, odd_docs  # noqa: F401  fixtures
+
 from plume.llm import bpe_codec, packing, token_counts
 from plume.llm.bpe import merge_table
 
@@ -130,7 +132,6 @@ def test_packing(spark, mixed, byte, group):
 
 
 def test_packing_of_items_that_do_not_fit_together(spark, byte):
-    from llm_rows import make
     docs = make(spark, [(i, " the" * 599, "en", "s") for i in range(90)])
     result = packing.packed(docs, BYTE, 1024, 2, group_items=20).collect()
     assert len({r.sequence_id for r in result}) == 90
