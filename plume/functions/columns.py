@@ -113,42 +113,38 @@ def long_rows(names, *rows) -> Column:
 
 
 def with_share_of_total(grouped, count_col: str = "count", out: str = "percentage", digits: int = 2):
-    """``round(count * 100 / SUM(count) OVER (), d)`` without a one-partition window.
+    """``round(count * 100 / SUM(count) OVER (), d)`` over an aggregate.
 
-    The grouped frame is written once (it feeds the total and the rows) and
-    the total is a one-row aggregate attached by a broadcast cross join of
-    exactly one row: no one-partition window, no second scan of the input.
+    For groupings by bounded labels (sentiment, rating, length category): the
+    total is a window over the few grouped rows, never over data rows.
     """
-    from ..sources.store import shared
-    grouped = shared(grouped)
-    total = grouped.agg(F.sum(count_col).alias("_total"))
-    return (grouped.crossJoin(F.broadcast(total))
-                   .withColumn(out, rnd(F.col(count_col) * 100.0 / F.col("_total"), digits))
-                   .drop("_total"))
+    from pyspark.sql import Window
+    total = F.sum(count_col).over(Window.partitionBy(F.lit(0)))
+    return grouped.withColumn(out, rnd(F.col(count_col) * 100.0 / total, digits))
 
 
 def prefix_before(df, order_cols, weight: str, out: str = "_before", partitions: int | None = None):
     """Sum of ``weight`` over all rows strictly before each row in ``order_cols`` order.
 
     A distributed prefix sum: rows are range-partitioned on the order
-    (balanced by sampling), summed within each range partition by a window
-    partitioned by the partition id, and shifted by the totals of all
-    earlier partitions (a table with one row per partition, broadcast).
-    No step holds more than one range partition in a task.  Intended for
-    distinct keys (ties within one range partition are ordered arbitrarily).
+    (balanced by sampling) and written once with the number of their range.
+    Both the sum within a range and the totals of all earlier ranges come
+    from that one table, so they agree on the ranges whatever plan reads it.
+    No step holds more than one range in a task.  Meant for distinct keys
+    (ties within one range are ordered arbitrarily) and narrow rows.
     """
     from pyspark.sql import Window
-    # Without an explicit count the range shuffle uses the session width and
-    # AQE may merge adjacent (still ordered) ranges; partition ids stay ordered.
+
+    from ..sources.store import shared
     ranged = df.repartitionByRange(partitions, *order_cols) if partitions else df.repartitionByRange(*order_cols)
-    s = ranged.withColumn("_pid", F.spark_partition_id())
+    s = shared(ranged.withColumn("_pid", F.spark_partition_id()))
     local_w = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("_local", F.coalesce(F.sum(weight).over(local_w), F.lit(0)))
+    s_local = s.withColumn("_local", F.coalesce(F.sum(weight).over(local_w), F.lit(0)))
     tot = s.groupBy("_pid").agg(F.sum(weight).alias("_t"))
-    off_w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off_w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = tot.select("_pid", F.coalesce(F.sum("_t").over(off_w), F.lit(0)).alias("_off"))
-    return (s.join(F.broadcast(offsets), "_pid")
-             .withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off"))
+    return (s_local.join(F.broadcast(offsets), "_pid")
+            .withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off"))
 
 
 def ntz_lit(value) -> Column:
@@ -167,12 +163,28 @@ def ntz_lit(value) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def row_number_distributed(df, order_cols, out: str):
+def row_number_distributed(df, order_cols, out: str, key: str, columns: list[str]):
     """``row_number() OVER (ORDER BY order_cols)`` without a one-partition window.
 
-    The order must be total (end it with a unique key).  Rows before each
-    row are counted by the distributed prefix sum, so no task holds the
-    whole table.
+    The order must be total (end it with ``key``, which is unique).  Only
+    ``columns`` (those of the order) and the key are ranked, by the
+    distributed prefix sum; the rank is joined back to the rows by the key.
+    """
+    narrow = df.select(*dict.fromkeys([*columns, key])).withColumn("_one", F.lit(1))
+    ranks = prefix_before(narrow, order_cols, "_one", out="_before").select(
+        F.col(key).alias("_key"), (F.col("_before") + 1).cast("int").alias(out))
+    return df.join(ranks, df[key].eqNullSafe(ranks["_key"])).drop("_key")
+
+
+def percent_rank_distributed(df, column: str, out: str):
+    """``percent_rank() OVER (ORDER BY column ASC NULLS LAST)``: ties share the smallest rank.
+
+    Rows below a value are counted over the distinct values and joined back.
     """
-    counted = prefix_before(df.withColumn("_one", F.lit(1)), order_cols, "_one", out="_before")
-    return counted.withColumn(out, (F.col("_before") + 1).cast("int")).drop("_one", "_before")
+    values = df.groupBy(column).agg(F.count(F.lit(1)).alias("_c"))
+    below = prefix_before(values, [F.col(column).asc_nulls_last()], "_c", out="_below")
+    n = df.agg(F.count(F.lit(1)).alias("_n"))
+    ranks = below.crossJoin(F.broadcast(n)).select(
+        F.col(column).alias("_value"),
+        F.when(F.col("_n") > 1, F.col("_below") / (F.col("_n") - 1)).otherwise(0.0).alias(out))
+    return df.join(ranks, df[column].eqNullSafe(ranks["_value"])).drop("_value")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ...functions import bins
-from ...functions.columns import ntz_lit, rnd, row_number_distributed
+from ...functions.columns import ntz_lit, percent_rank_distributed, rnd, row_number_distributed
 from ...sources.store import shared
 
 
@@ -196,21 +196,18 @@ def campaign_summary(campaigns: DataFrame, params) -> DataFrame:
         rnd(_ratio((spend > 0) & (rev > 0), (rev - spend) * 100.0, spend), 6).alias("roi_percentage"))
     for col_name, out in (("roas", "roas_rank"), ("attributed_revenue", "revenue_rank"),
                           ("efficiency_score", "efficiency_rank")):
-        df = row_number_distributed(df, [F.col(col_name).desc_nulls_first(), F.col("campaign_id")], out)
+        df = row_number_distributed(df, [F.col(col_name).desc_nulls_first(), F.col("campaign_id")], out,
+                                    "campaign_id", [col_name])
     return df
 
 
 def campaign_percentiles(campaigns: DataFrame) -> DataFrame:
     """Percent ranks of ROAS and efficiency, ascending with NULLs last
-    (where Snowflake's ascending order puts them).  With the id tie-break the
-    order is total, so percent_rank = (row_number - 1) / (n - 1)."""
-    n = campaigns.agg(F.count(F.lit(1)).alias("_n"))
+    (where Snowflake's ascending order puts them); ties share a rank."""
     df = campaigns.select("campaign_id", "roas", "efficiency_score")
-    for col_name, out in (("roas", "_r1"), ("efficiency_score", "_r2")):
-        df = row_number_distributed(df, [F.col(col_name).asc_nulls_last(), F.col("campaign_id")], out)
-    pr = lambda r: F.when(F.col("_n") > 1, (F.col(r) - 1) / (F.col("_n") - 1)).otherwise(0.0)
-    return df.crossJoin(F.broadcast(n)).select(
-        "campaign_id", rnd(pr("_r1"), 6).alias("roas_percentile"), rnd(pr("_r2"), 6).alias("efficiency_percentile"))
+    df = percent_rank_distributed(df, "roas", "_p1")
+    df = percent_rank_distributed(df, "efficiency_score", "_p2")
+    return df.select("campaign_id", rnd("_p1", 6).alias("roas_percentile"), rnd("_p2", 6).alias("efficiency_percentile"))
 
 
 def channel_summary(channels: DataFrame) -> DataFrame:
@@ -221,7 +218,7 @@ def channel_summary(channels: DataFrame) -> DataFrame:
         bins.channel_importance("channel_contribution_score").alias("channel_importance_tier"))
     for col_name, out in (("total_attributed_revenue", "channel_revenue_rank"),
                           ("channel_contribution_score", "channel_contribution_rank")):
-        df = row_number_distributed(df, [F.col(col_name).desc_nulls_first(), F.col("channel")], out)
+        df = row_number_distributed(df, [F.col(col_name).desc_nulls_first(), F.col("channel")], out, "channel", [col_name])
     return df
 
 

@@ -544,8 +544,8 @@ SQL["sessions"] = ("WITH " + sessions_sql("sessions", "events").strip() +
                    "session_value, duration_minutes FROM sessions")
 SQL["campaign_percentiles"] = _stmt("campaigns", f"""
 SELECT campaign_id,
-  {rnd('percent_rank() OVER (ORDER BY roas ASC NULLS LAST, campaign_id)', 6)} AS roas_percentile,
-  {rnd('percent_rank() OVER (ORDER BY efficiency_score ASC NULLS LAST, campaign_id)', 6)} AS efficiency_percentile
+  {rnd('percent_rank() OVER (ORDER BY roas ASC NULLS LAST)', 6)} AS roas_percentile,
+  {rnd('percent_rank() OVER (ORDER BY efficiency_score ASC NULLS LAST)', 6)} AS efficiency_percentile
 FROM campaigns""")
 
 SQL["date_spine"] = ("WITH " + ",".join(b.strip("\n") for b in (
@@ -554,3 +554,12 @@ SELECT ds.date_day, s.date_key IS NOT NULL AS has_sales, m.date_key IS NOT NULL
   e.date_key IS NOT NULL AS has_engagement
 FROM date_spine ds LEFT JOIN stg_sales s ON ds.date_day = s.date_key
 LEFT JOIN stg_marketing m ON ds.date_day = m.date_key LEFT JOIN stg_engagement e ON ds.date_day = e.date_key""")
+
+SQL["part_revenue_ranks"] = """
+WITH revenue AS (
+  SELECT l_partkey AS part_key, sum(CAST(round(l_extendedprice * (1 - l_discount) * 100) AS BIGINT)) AS revenue_cents
+  FROM lineitem GROUP BY 1)
+SELECT part_key, revenue_cents,
+  CAST(row_number() OVER (ORDER BY revenue_cents DESC, part_key) AS INTEGER) AS revenue_rank,
+  round(percent_rank() OVER (ORDER BY revenue_cents), 6) AS revenue_percentile
+FROM revenue"""

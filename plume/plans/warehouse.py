@@ -10,6 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import percent_rank_distributed, row_number_distributed
 from ..operators.warehouse import models as M
 from ..operators.warehouse import upstream as U
 from ..params import FIXTURE
@@ -150,6 +151,16 @@ def profile_snapshot(spark, d):
     return M.snapshot_scd2(state(user_profiles(spark, d)), snap, "user_id", "updated_timestamp")
 
 
+def part_revenue_ranks(spark: SparkSession, d: str) -> DataFrame:
+    """E7/E8 over a domain that grows with the data: parts by revenue (exact cents)."""
+    cents = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100).cast("long")
+    revenue = _t(spark, d).lineitem.groupBy(F.col("l_partkey").alias("part_key")).agg(F.sum(cents).alias("revenue_cents"))
+    ranked = row_number_distributed(revenue, [F.col("revenue_cents").desc(), F.col("part_key")], "revenue_rank",
+                                    "part_key", ["revenue_cents"])
+    return percent_rank_distributed(ranked, "revenue_cents", "p").select(
+        "part_key", "revenue_cents", "revenue_rank", F.round("p", 6).alias("revenue_percentile"))
+
+
 QUERIES = {
     "daily_sales": daily_sales,
     "daily_marketing": daily_marketing,
@@ -164,6 +175,7 @@ QUERIES = {
     "campaigns": campaigns,
     "campaign_summary": lambda s, d: M.campaign_summary(campaigns(s, d), P),
     "campaign_percentiles": lambda s, d: M.campaign_percentiles(campaigns(s, d)),
+    "part_revenue_ranks": part_revenue_ranks,
     "attribution": attribution,
     "channel_summary": lambda s, d: M.channel_summary(attribution(s, d)),
     "monthly_trends": lambda s, d: M.monthly_trends(stg_marketing(s, d)),
