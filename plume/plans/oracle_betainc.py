@@ -1,8 +1,9 @@
 """Regularized incomplete beta in DuckDB SQL, for the p-value oracles.
 
-The same continued fraction (modified Lentz) as ``functions/stats_math.py``,
-as a recursive CTE: one row per iteration, values frozen once the step
-converges, so the result follows the same early stop.
+The continued fraction (modified Lentz) as a recursive CTE: one row per
+iteration, values frozen once the step converges.  ``functions/stats_math.py``
+uses a series of positive terms near the centre instead; independent values
+(closed forms, the normal limit) are in the unit tests.
 """
 
 from __future__ import annotations

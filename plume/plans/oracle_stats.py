@@ -72,12 +72,16 @@ def _pearson(x: str, y: str) -> str:
     return _corr_select(_pearson_inner(x, y))
 
 
-def _spearman(x: str, y: str) -> str:
-    return _corr_select(f"""
+def _spearman_inner(x: str, y: str) -> str:
+    return f"""
 SELECT count(*) AS n, corr(rx, ry) AS r FROM (
   SELECT rank() OVER (ORDER BY {x}) + (count(*) OVER (PARTITION BY {x}) - 1) / 2.0 AS rx,
          rank() OVER (ORDER BY {y}) + (count(*) OVER (PARTITION BY {y}) - 1) / 2.0 AS ry
-  FROM length_rating_correlation WHERE {x} IS NOT NULL AND {y} IS NOT NULL)""")
+  FROM length_rating_correlation WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"""
+
+
+def _spearman(x: str, y: str) -> str:
+    return _corr_select(_spearman_inner(x, y))
 
 
 def _anova(source: str) -> str:
@@ -151,6 +155,21 @@ p AS (
 SQL["pearson_inference"] = _rec(",".join([_PC, _TT, _PV]), f"""
 SELECT pc.*, p.r_p AS p_value, {_sig('p.r_p')} AS significance FROM pc CROSS JOIN p""")
 
+
+
+def _corr_inference(inner: str) -> str:
+    """A correlation row with its two-sided p-value and label."""
+    return _rec(f"cr AS ({_corr_body(inner)})," + """
+cr_src AS (SELECT 1 AS id, degrees_of_freedom / 2.0 AS a, 0.5 AS b,
+                  degrees_of_freedom / (degrees_of_freedom + t_statistic * t_statistic) AS x FROM cr),"""
+                + betainc_ctes("cr_src", "cv") + f""",
+cp AS (SELECT {rnd('(SELECT ix FROM cv WHERE id = 1)', 8)} AS p)""",
+                f"SELECT cr.*, cp.p AS p_value, {_sig('cp.p')} AS significance FROM cr CROSS JOIN cp")
+
+
+SQL["word_count_pearson_inference"] = _corr_inference(_pearson_inner("word_count", "rating"))
+SQL["spearman_inference"] = _corr_inference(_spearman_inner("review_length", "rating"))
+
 SQL["anova_inference"] = _rec(f"""
 an AS ({_anova_body('ttest_data')}),
 av_src AS (SELECT 1 AS id, df_within / 2.0 AS a, df_between / 2.0 AS b,

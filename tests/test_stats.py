@@ -102,6 +102,60 @@ def test_distributed_prefix_sum_matches_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("aqe", ["true", "false"])
+@pytest.mark.parametrize("rows", [200_000, 3_000_000])
+def test_distributed_ranks_keep_every_row(spark, rows, aqe):
+    from pyspark.sql import functions as F
+    from plume.functions.columns import row_number_distributed
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    try:
+        wide = spark.range(rows).select("id", (F.xxhash64("id") % 5000).alias("score"), F.lit("x" * 20).alias("a"),
+                                        F.col("id").cast("string").alias("b"))
+        ranked = row_number_distributed(wide, [F.col("score").desc_nulls_first(), F.col("id")], "r", "id", ["score"])
+        got = ranked.agg(F.count("*").alias("n"), F.count_distinct("r").alias("ranks"), F.min("r").alias("low"),
+                         F.max("r").alias("high"), F.count_distinct("id").alias("ids")).first()
+        assert tuple(got) == (rows, rows, 1, rows, rows)
+        # the order itself: scores fall as ranks rise
+        top = ranked.groupBy("score").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.count("*").alias("n"))
+        assert top.where("hi - lo + 1 <> n").count() == 0
+        best = ranked.where("r = 1").first()
+        assert best.score == wide.agg(F.max("score")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_spearman_of_many_distinct_values(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(300_000).select(F.col("id").alias("x"), (F.col("id") * 2 + 1).alias("y"), (-F.col("id")).alias("z"))
+    up, down = stats.spearman(df, "x", "y").first(), stats.spearman(df, "x", "z").first()
+    assert (up.n, up.r, down.n, down.r) == (300_000, 1.0, 300_000, -1.0)
+
+
+def test_percent_rank_shares_ties(spark):
+    from plume.functions.columns import percent_rank_distributed
+    df = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 1.0), (4, None), (5, 9.0), (6, None)], "id int, v double")
+    got = {r.id: r.p for r in percent_rank_distributed(df, "v", "p").collect()}
+    assert got == {3: 0.0, 1: 0.2, 2: 0.2, 5: 0.6, 4: 0.8, 6: 0.8}
+
+
+def test_tails_reach_the_normal_limit():
+    for df in (1e9, 1e10, 1e11, 1e12, 1e13):
+        for t in (0.3, 1.96, 3.5):
+            limit = math.erfc(t / math.sqrt(2))
+            assert abs(M.t_two_sided_p(t, df) - limit) < 2e-9 * (1e9 / df) + 1e-12
+    assert abs(M.f_sf(3.0, 2, 1e12) - math.exp(-3.0)) < 1e-10
+    assert abs(M.t_quantile(0.975, 1e12) - 1.959963984540054) < 1e-9
+    # closed forms: one and two degrees of freedom
+    assert abs(M.t_two_sided_p(0.5, 1) - (1 - 2 * math.atan(0.5) / math.pi)) < 1e-14
+    assert abs(M.t_two_sided_p(1.5, 2) - (1 - 1.5 / math.sqrt(1.5 ** 2 + 2))) < 1e-14
+
+
+def test_what_does_not_converge_is_nan(monkeypatch):
+    monkeypatch.setattr(M, "_MOST_TERMS", 2)
+    assert math.isnan(M.t_two_sided_p(1.96, 50.0)) and math.isnan(M.betainc(300.0, 400.0, 0.43))
+
+
 def test_sql_incomplete_beta_matches_python():
     import duckdb
     from plume.plans.oracle_betainc import betainc_ctes
