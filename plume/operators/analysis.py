@@ -314,9 +314,9 @@ def zscore_outliers(analyzed: DataFrame, by: str = "sentiment", threshold: float
 
     Semantics of ``AVG/STDDEV OVER (PARTITION BY sentiment)``, planned as a
     group aggregate joined back: a window would put every row of a group into
-    one task.  The statistics have one row per group; AQE broadcasts them
-    after measuring their size (3 rows for sentiment) and falls back to a
-    shuffle join for a high-cardinality ``by``.
+    one task.  Cleaning leaves three sentiments, so the statistics by sentiment
+    have three rows at most and are broadcast; for any other ``by`` the join
+    is left to AQE.
     """
     base = analyzed.where(F.col("include_in_ttest"))
     st = base.groupBy(by).agg(
@@ -325,7 +325,7 @@ def zscore_outliers(analyzed: DataFrame, by: str = "sentiment", threshold: float
         F.nullif(F.stddev_samp("review_length"), F.lit(0.0)).alias("_sl"))
     z_r = (F.col("rating") - F.col("_mr")) / F.col("_sr")
     z_l = (F.col("review_length") - F.col("_ml")) / F.col("_sl")
-    out = base.join(st, by).select(
+    out = base.join(F.broadcast(st) if by == "sentiment" else st, by).select(
         by, "rating", "review_length", rnd(z_r, 2).alias("rating_zscore"),
         rnd(z_l, 2).alias("length_zscore"),
         F.coalesce(F.abs(z_r) > threshold, F.lit(False)).alias("is_rating_outlier"),

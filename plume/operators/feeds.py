@@ -42,21 +42,24 @@ def _unit_hash(key: str, seed: int):
     return F.conv(F.substring(F.sha2(F.concat(F.col(key), F.lit(f"|{seed}")), 256), 1, 8), 16, 10).cast("long")
 
 
-def scatter_sample(analyzed: DataFrame, fraction: float = 0.1, cap: int = 5000, seed: int = 42,
-                   key: str = "review_id") -> DataFrame:
-    """10 % sample capped at 5,000 points (the sample is the feature).
+def scatter_sample(analyzed: DataFrame, fraction: float = 0.1, seed: int = 42, key: str = "review_id") -> DataFrame:
+    """10 % sample (the sample is the feature; it has no cap, see ``scatter_grid`` for all rows).
 
     A Bernoulli sample decided per row by a seeded hash of its id, so the
-    same rows come back however the data is partitioned or retried; the cap
-    keeps the rows with the smallest hashes (a distributed top-k).
+    same rows come back however the data is partitioned or retried.
     """
     h = _unit_hash(key, seed)
     return (analyzed.where(F.col("review_length").isNotNull())
-                    .withColumn("_h", h).where(F.col("_h") < F.lit(int(fraction * 2 ** 32)))
-                    .orderBy("_h", key).limit(cap)
+                    .where(h < F.lit(int(fraction * 2 ** 32)))
                     .select("review_length", "rating", "sentiment"))
 
 
+def scatter_grid(analyzed: DataFrame) -> DataFrame:
+    """V3: all rows of the scatter plot, as counts per (length, rating, sentiment)."""
+    return (analyzed.where(F.col("review_length").isNotNull())
+                    .groupBy("review_length", "rating", "sentiment").agg(F.count(F.lit(1)).alias("reviews")))
+
+
 def scatter_trend(corr: DataFrame) -> DataFrame:
     """V3: least-squares trend line and r of rating on length, over all rows."""
     return corr.agg(
@@ -69,25 +72,30 @@ def scatter_trend(corr: DataFrame) -> DataFrame:
 def box_plot(ttest: DataFrame, value: str = "rating", by: str = "sentiment", z: float = 1.96) -> DataFrame:
     """V4: quartiles, 1.5 IQR whiskers, outlier count, mean with interval.
 
-    Quartiles are exact (``percentile`` over value counts); the per-group
-    fences (one row per group) are joined back for the whisker and outlier
-    pass, broadcast by AQE once their measured size is known to be small.
+    Everything follows from one count per (group, value): data rows are
+    aggregated once and never joined.
     """
-    vc = ttest.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("f"))
-    q = vc.groupBy(by).agg(F.percentile(value, [0.25, 0.5, 0.75], F.col("f")).alias("q"))
-    q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
-    q = q.withColumn("lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
-         .withColumn("hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    v = F.col(value)
-    inside = (v >= F.col("lo")) & (v <= F.col("hi"))
-    g = ttest.join(q, by).groupBy(by, "q1", "median", "q3", "lo", "hi").agg(
-        F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"),
-        F.min(F.when(inside, v)).alias("lower_whisker"), F.max(F.when(inside, v)).alias("upper_whisker"),
-        count_if(~inside).alias("outliers"))
-    se = F.col("sd") / F.sqrt("n")
+    f, v = F.col("f"), F.col(value)
+    vc = ttest.groupBy(by, value).agg(F.count(F.lit(1)).alias("f"))
+    g = vc.groupBy(by).agg(
+        F.percentile(value, [0.25, 0.5, 0.75], F.when(v.isNotNull(), f).otherwise(0)).alias("q"),
+        F.sum("f").alias("n"), F.sum(F.when(v.isNotNull(), f)).alias("m"), F.sum(v * f).alias("s"),
+        F.collect_list(F.struct(v.alias("v"), f.alias("f"))).alias("values"))  # distinct values of one group
+    g = g.where(F.col("m") > 0).select(
+        by, "n", "m", "values", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
+        (F.col("s") / F.col("m")).alias("mean"))
+    lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
+    hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
+    inside = lambda x: (x["v"] >= lo) & (x["v"] <= hi)
+    zero = F.lit(0.0)
+    squares = F.aggregate("values", zero, lambda a, x: a + F.coalesce((x["v"] - F.col("mean")) ** 2 * x["f"], zero))
+    kept = F.transform(F.filter("values", inside), lambda x: x["v"])
+    outside = F.aggregate("values", F.lit(0).cast("long"), lambda a, x: a + F.when(~inside(x), x["f"]).otherwise(0))
+    sd = F.sqrt(squares / F.nullif(F.col("m") - 1, F.lit(0)))
+    se = sd / F.sqrt("n")
     return g.select(by, "n", rnd("q1", 6).alias("q1"), rnd("median", 6).alias("median"), rnd("q3", 6).alias("q3"),
-                    rnd("lower_whisker", 6).alias("lower_whisker"), rnd("upper_whisker", 6).alias("upper_whisker"),
-                    "outliers", rnd("mean", 6).alias("mean"),
+                    rnd(F.array_min(kept), 6).alias("lower_whisker"), rnd(F.array_max(kept), 6).alias("upper_whisker"),
+                    outside.alias("outliers"), rnd("mean", 6).alias("mean"),
                     rnd(F.col("mean") - z * se, 6).alias("mean_ci_low"),
                     rnd(F.col("mean") + z * se, 6).alias("mean_ci_high"))
 
@@ -143,28 +151,14 @@ def kpi_weekly(analyzed: DataFrame) -> DataFrame:
         rnd(F.stddev_samp("sentiment_score"), 6).alias("sentiment_volatility"))
 
 
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-
-
-def _allow_group_limit(spark, k: int) -> None:
-    """Let Catalyst limit ``row_number() <= k`` per task before the shuffle.
-
-    Spark inserts that limit only for k up to a threshold (1000 by default);
-    raising it (never lowering) changes the plan, not the result.
-    """
-    current = int(spark.conf.get(GROUP_LIMIT_CONF, "1000"))
-    if 0 <= current < k:
-        spark.conf.set(GROUP_LIMIT_CONF, str(k))
-
-
-def capped_sample(df: DataFrame, by: str, cap: int = 5000, seed: int = 42, key: str = "review_id") -> DataFrame:
-    """At most ``cap`` rows per group in a seeded pseudo-random order.
+def capped_sample(df: DataFrame, by: str, cap: int = 500, seed: int = 42, key: str = "review_id") -> DataFrame:
+    """A sample of ``cap`` rows per group in a seeded pseudo-random order (the sample is the feature).
 
-    The order is a SHA-256 of (key, seed), so the sample is reproducible;
-    ``row_number() <= cap`` is limited per task before the shuffle, so a
-    huge group never ships more than ``cap`` rows from any task.
+    The order is a SHA-256 of (key, seed), so the sample is reproducible.  For
+    caps up to Spark's group-limit threshold (1,000 unless set), the rank is
+    limited per task before the shuffle, so a huge group never ships more than
+    ``cap`` rows from any task.
     """
-    _allow_group_limit(df.sparkSession, cap)
     k = F.sha2(F.concat(F.col(key), F.lit(f"|{seed}")), 256)
-    w = Window.partitionBy(by).orderBy(k)
+    w = Window.partitionBy(by).orderBy(k, key)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")

@@ -156,11 +156,14 @@ SELECT * FROM (SELECT sentiment, review_id, left(review_text, 100) AS review_pre
 SELECT review_length, rating, sentiment FROM (
   SELECT *, ('0x' || left(sha256(review_id || '|42'), 8))::BIGINT AS h FROM reviews_analyzed
   WHERE review_length IS NOT NULL)
-WHERE h < {int(0.1 * 2 ** 32)} ORDER BY h, review_id LIMIT 5000"""),
+WHERE h < {int(0.1 * 2 ** 32)}"""),
+    "scatter_grid": _with("""
+SELECT review_length, rating, sentiment, count(*) AS reviews FROM reviews_analyzed
+WHERE review_length IS NOT NULL GROUP BY 1, 2, 3"""),
     "capped_sample": _with("""
 SELECT review_id, sentiment, rating FROM (
-  SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY sha256(review_id || '|42')) AS rn
-  FROM reviews_analyzed) WHERE rn <= 5000"""),
+  SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY sha256(review_id || '|42'), review_id) AS rn
+  FROM reviews_analyzed) WHERE rn <= 500"""),
     "kpi_weekly": _with(f"""
 SELECT CAST(date_trunc('week', ingestion_timestamp) AS DATE) AS week_start, count(*) AS review_volume,
   {rnd('avg(review_length)', 4)} AS avg_length,
