@@ -219,33 +219,43 @@ def campaign_performance(lineitem: DataFrame, params) -> DataFrame:
 
 # ---- U5 ---------------------------------------------------------------------
 
+#: Share of a conversion that a channel gets, from its touches k of n and whether it has the first or the last touch.
+ATTRIBUTION_MODELS = {
+    "linear": lambda k, n, first, last: k / n,
+    "first_touch": lambda k, n, first, last: first.cast("double"),
+    "last_touch": lambda k, n, first, last: last.cast("double"),
+}
+
+
 def channel_attribution(events: DataFrame, model: str = "linear") -> DataFrame:
-    """Linear multi-touch attribution of purchases to event-type channels.
+    """Multi-touch attribution of purchases to event-type channels.
 
     Each purchase is a conversion; its touches are the user's other events
     since the previous purchase (order ts, event_id).  The conversion epoch
     of an event is the number of earlier purchases of the user, computed as
     a bucketed prefix count (no per-user global window).  Touches after a
     user's last purchase belong to no conversion and drop out of the inner
-    join.  Each touch carries weight 1/n and revenue value/n; per channel of a
-    conversion that is k/n and value*k/n, so touches are aggregated to that
-    grain before any join.
+    join.  ``model`` gives each channel its share of the conversion and of its
+    revenue: k/n of the touches, or all to the first or the last touch.
     """
+    if model not in ATTRIBUTION_MODELS:
+        raise ValueError(f"attribution model {model!r}: one of {sorted(ATTRIBUTION_MODELS)}")
     e = events.select("event_id", "ts", "user_id", "event_type", "value") \
               .withColumn("is_purchase", F.col("event_type") == "purchase")
-    e = shared(running_count(e, "is_purchase", out="epoch"))  # read by two branches
-    conv = (e.where("is_purchase")
-             .select("user_id", "epoch", epoch_micros("ts").alias("conv_us"), F.col("value").alias("conv_value")))
-    # Touches are first reduced to one row per (user, conversion, channel):
-    # count, exact sum of timestamps, and the channel's first and last touch.
-    # The joins below then see a few rows per conversion instead of every event.
-    by_channel = shared(
-        e.where(~F.col("is_purchase"))
-         .groupBy("user_id", "epoch", F.col("event_type").alias("channel"))
-         .agg(F.count(F.lit(1)).alias("k"),
-              F.sum(epoch_micros("ts").cast("decimal(38,0)")).alias("sum_us"),
-              F.min(F.struct("ts", "event_id")).alias("_cfirst"),
-              F.max(F.struct("ts", "event_id")).alias("_clast")))
+    # One pass reduces events to a row per (user, conversion, channel): count,
+    # exact sum of timestamps, first and last touch.  An epoch has one purchase
+    # at most, so that row is the conversion itself.
+    reduced = shared(
+        running_count(e, "is_purchase", out="epoch")
+        .groupBy("user_id", "epoch", F.col("event_type").alias("channel"))
+        .agg(F.count(F.lit(1)).alias("k"),
+             F.sum(epoch_micros("ts").cast("decimal(38,0)")).alias("sum_us"),
+             F.min(F.struct("ts", "event_id")).alias("_cfirst"),
+             F.max(F.struct("ts", "event_id")).alias("_clast"),
+             F.max(F.when(F.col("is_purchase"), F.col("value"))).alias("conv_value")))
+    conv = reduced.where("channel = 'purchase'").select(
+        "user_id", "epoch", F.col("sum_us").cast("long").alias("conv_us"), "conv_value")
+    by_channel = reduced.where("channel <> 'purchase' OR channel IS NULL").drop("conv_value")
     per_conv = by_channel.groupBy("user_id", "epoch").agg(
         F.sum("k").alias("n_touch"), F.min("_cfirst").alias("_first"), F.max("_clast").alias("_last"))
     j = by_channel.join(per_conv, ["user_id", "epoch"]).join(conv, ["user_id", "epoch"])
@@ -253,9 +263,11 @@ def channel_attribution(events: DataFrame, model: str = "linear") -> DataFrame:
     has_last = (F.col("_clast") == F.col("_last")).cast("int")
     both = (F.col("_first") == F.col("_last")).cast("int") * has_first  # a single touch is first and last
     span_us = F.col("k").cast("decimal(38,0)") * F.col("conv_us").cast("decimal(38,0)") - F.col("sum_us")
+    share = ATTRIBUTION_MODELS[model](F.col("k"), F.col("n_touch"), has_first, has_last)
+    worth = F.col("conv_value") * F.col("k") / F.col("n_touch") if model == "linear" else F.col("conv_value") * share
     g = j.groupBy("channel").agg(
-        F.sum(F.col("k") / F.col("n_touch")).alias("conv"),
-        F.sum(F.col("conv_value") * F.col("k") / F.col("n_touch")).alias("rev"),
+        F.sum(share).alias("conv"),
+        F.sum(worth).alias("rev"),
         F.sum(has_first).cast("long").alias("first_touch_conversions"),
         F.sum(has_last).cast("long").alias("last_touch_conversions"),
         F.sum(F.col("k") - has_first - has_last + both).cast("long").alias("assisted_conversions"),

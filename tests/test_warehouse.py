@@ -96,3 +96,19 @@ def test_fixture_marts_properties(spark):
     assert W.dim_user(spark, SF_SMALL).select("user_id").distinct().count() == W.user_profiles(spark, SF_SMALL).count()
     stg = W.stg_engagement(spark, SF_SMALL)
     assert stg.where((F.col("engagement_score") < 0) | (F.col("engagement_score") > 100)).count() == 0
+
+
+def test_attribution_models(spark):
+    import pytest
+    from plume.operators.warehouse.upstream import channel_attribution
+    t = lambda m: dt.datetime(2024, 1, 1, 10, m)
+    rows = [(1, t(1), 7, "view", None), (2, t(2), 7, "click", None), (3, t(3), 7, "view", None), (4, t(4), 7, "purchase", 30.0),
+            (5, t(5), 7, "click", None), (6, t(6), 7, "purchase", 10.0), (7, t(7), 7, "view", None)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    got = {m: {r.channel: (r.total_attributed_conversions, r.total_attributed_revenue, r.attribution_model)
+               for r in channel_attribution(events, m).collect()} for m in ("linear", "first_touch", "last_touch")}
+    assert got["linear"] == {"view": (0.666667, 20.0, "linear"), "click": (1.333333, 20.0, "linear")}
+    assert got["first_touch"] == {"view": (1.0, 30.0, "first_touch"), "click": (1.0, 10.0, "first_touch")}
+    assert got["last_touch"] == {"view": (1.0, 30.0, "last_touch"), "click": (1.0, 10.0, "last_touch")}
+    with pytest.raises(ValueError):
+        channel_attribution(events, "time_decay")
