@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 from ..sources.fixtures import review_file
-from ..sources.store import mark_done, written_once
+from ..sources.store import mark_done, table_bytes, written_once
 from ..streaming import reviews_stream as S
 from .reviews import _inputs
 
@@ -14,18 +14,24 @@ SOURCE_SCHEMA = T.StructType([
     T.StructField("rid", T.LongType()), T.StructField("Translated_Review", T.StringType()),
     T.StructField("Sentiment", T.StringType()), T.StructField("Rating", T.StringType()),
     T.StructField("App", T.StringType()), T.StructField("ingestion_timestamp", T.TimestampNTZType())])
-SOURCE_FILES = 8
-FILES_PER_BATCH = 4       # 2 micro-batches per run (state carried across them)
+LEAST_FILES = 8           # a small input still makes two micro-batches, so state is carried
+BYTES_PER_FILE = 128 << 20
+MICRO_BATCHES = 16        # at most, per run; each takes an equal number of files
 # The fixture's files mix all 30 days, so a watermark shorter than that would
 # (correctly) drop rows as late; the registered runs use a delay covering the
 # month so their totals equal the batch tables.  Tests exercise short delays.
 DELAY = "31 days"
 
 
+def _files(spark, d) -> int:
+    """Files of the stream's source, from the size of its input."""
+    return max(LEAST_FILES, sum(table_bytes(spark, p) for p in _inputs(d)) // BYTES_PER_FILE)
+
+
 def _source(spark, d) -> str:
     def write(path: str) -> None:
         (review_file(spark, d).select(*[f.name for f in SOURCE_SCHEMA.fields])
-         .repartition(SOURCE_FILES, "rid").write.mode("overwrite").parquet(path))
+         .repartition(_files(spark, d), "rid").write.mode("overwrite").parquet(path))
     return written_once(spark, "review_stream_source", _inputs(d), write)
 
 
@@ -33,7 +39,8 @@ def _run(spark, d, name, runner):
     src = _source(spark, d)
 
     def write(path: str) -> None:
-        runner(spark, src, SOURCE_SCHEMA, f"{path}/sink", f"{path}/checkpoint", DELAY, FILES_PER_BATCH)
+        runner(spark, src, SOURCE_SCHEMA, f"{path}/sink", f"{path}/checkpoint", DELAY,
+               max(LEAST_FILES // 2, _files(spark, d) // MICRO_BATCHES))
         mark_done(spark, path)
     return written_once(spark, name, _inputs(d), write, in_place=True)
 

@@ -58,8 +58,11 @@ def stream_dedup(reviews: DataFrame, delay: str = "1 day") -> DataFrame:
 
     Unlike the batch dedup (newest row wins) the stream keeps the *first*
     row it sees; the state of a key expires once the watermark passes it.
+    The state holds the text's SHA-256, not the text.
     """
-    return reviews.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(KEY)
+    hashed = ["text_sha256", *[k for k in KEY if k != "review_text"]]
+    return (reviews.withColumn("text_sha256", F.sha2("review_text", 256)).withWatermark("event_time", delay)
+                   .dropDuplicatesWithinWatermark(hashed).drop("text_sha256"))
 
 
 def upsert_batches(sink: str, spikes_sink: str | None = None):

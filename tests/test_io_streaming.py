@@ -58,19 +58,16 @@ def test_stream_windows_drop_late_rows(spark, tmp_dir):
     d = lambda day: dt.datetime(2024, 1, day, 12)
     b1 = [(1, "good app", "Positive", "5", "a", d(10)), (2, "bad app", "Negative", "1", "a", d(10))]
     b2 = [(3, "later app", "Positive", "5", "a", d(20))]
-    b3 = [(4, "late one", "Positive", "5", "a", d(10)), (5, "ok one", "Neutral", "3", "a", d(20))]
-    src = _write_files(spark, tmp_dir, [b1, b2, b3])
+    b3 = [(6, "on time", "Negative", "1", "a", d(20))]  # a batch after the watermark has passed day 10: evicts it
+    b4 = [(4, "late one", "Positive", "5", "a", d(10)), (5, "ok one", "Neutral", "3", "a", d(20))]
+    src = _write_files(spark, tmp_dir, [b1, b2, b3, b4])
     out = S.run_sentiment_windows(spark, src, SOURCE_SCHEMA, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt",
                                   delay="1 day", files_per_batch=1)
     got = {(r.window_start.day, r.sentiment): r.reviews for r in out.collect()}
-    # The day-10 row of the third file is behind the watermark (day 19 12:00).
-    # Spark's guarantee is one-sided: rows within the delay are always counted,
-    # rows behind the watermark may or may not be; the on-time counts are exact.
-    late = got.pop((10, "Positive"))
-    assert late in (1, 2)
-    assert got == {(10, "Negative"): 1, (20, "Positive"): 1, (20, "Neutral"): 1}
+    # The day-10 row of the last file is behind the watermark (day 19 12:00): it is not counted.
+    assert got == {(10, "Positive"): 1, (10, "Negative"): 1, (20, "Positive"): 1, (20, "Neutral"): 1, (20, "Negative"): 1}
     spikes = {r.window_start.day: r for r in S.negative_spikes(out).collect()}
-    assert spikes[20].negative_share == 0.0 and spikes[10].negative == 1
+    assert spikes[20].negative_share == 0.333333 and spikes[10].negative == 1
 
 
 def test_stream_dedup_keeps_first(spark, tmp_dir):
