@@ -71,8 +71,9 @@ def build_session(master: str | None = None, app: str = "plume",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; invent one only when unset.
 
-    On a cluster the setting names a shared folder every executor can reach.
-    Only a local test session without it gets a private scratch folder.
+    On a cluster the setting names a shared folder every executor can reach,
+    and its absence is an error.  Only a session whose master is one local
+    process gets a private scratch folder.
     """
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
@@ -80,6 +81,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             conf_dir = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             conf_dir = None
+    master = spark.sparkContext.master
+    one_process = master == "local" or master.startswith("local[")
+    if not conf_dir and not one_process:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="plume-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)

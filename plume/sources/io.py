@@ -84,18 +84,18 @@ def read_table(spark: SparkSession, name: str, columns=None) -> DataFrame:
 
 # ---- A5 / A6: day-partitioned raw table ----------------------------------------
 
-def write_raw_reviews(df: DataFrame, path: str, salt_buckets: int = 8) -> None:
-    """A5: partitioned by ingestion day, clustered by (sentiment, rating).
+def write_raw_reviews(df: DataFrame, path: str) -> None:
+    """A5: truncating load, partitioned by ingestion day, clustered by (sentiment, rating).
 
-    Rows are spread over (day, salt) so one very large day is written by
-    several tasks instead of one; inside each task rows are sorted by the
-    clustering keys so Parquet min/max statistics can skip row groups.
+    Rows are rebalanced by day: a large day is written by as many tasks as its
+    size asks for, small days share tasks.  Inside each task rows are sorted by
+    the clustering keys so Parquet min/max statistics can skip row groups.
+    Days of an earlier load do not survive, whatever the session's overwrite mode.
     """
     out = df.withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
-    salt = F.pmod(F.xxhash64("review_text", "rating", "sentiment"), F.lit(salt_buckets))
-    (out.repartition("ingestion_date", salt)
+    (out.hint("rebalance", "ingestion_date")
         .sortWithinPartitions("ingestion_date", "sentiment", "rating")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy("ingestion_date").parquet(path))
 
 

@@ -7,14 +7,13 @@ the first use writes the table as Parquet under ``spark.checkpoint.dir``
 (the cluster's shared folder, so executor loss never loses it, and it cuts
 the lineage), later uses read it back.
 
-The location is keyed by a fingerprint of the input files (path, size,
-modification time, read through the Hadoop FileSystem API, metadata only,
-once per application) and of this package's source, so a changed input or
-changed code never reads a stale table.
+The location is keyed by a fingerprint of the inputs (size, file count and
+folder modification times, taken anew at each use) and of this package's
+source, so an appended, removed or rewritten file and changed code build anew.
 
 Also here: ``shared`` (an intermediate consumed by several branches of one
-plan, written once instead of recomputed per branch), ``spread`` (at least
-one partition per core for a CPU-heavy stage over few input files) and
+plan, written once instead of recomputed per branch; ``release_shared``
+deletes them), ``spread`` (even partitions for a CPU-heavy stage) and
 ``remove_folder`` (a run deleting its own namespace).
 """
 
@@ -58,28 +57,30 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-_FINGERPRINTS: dict[tuple[str, str], str] = {}
-
-
 def _path_fingerprint(spark: SparkSession, path: str) -> str:
-    """Hash of (file, length, modification time) under ``path``, listed once per application.
+    """Hash of a table's size, file and folder counts, and of its folder's modification times.
 
-    Inputs of one run do not change while it runs; caching the listing keeps
-    a table with millions of files from being listed again by every query.
+    A few calls whatever the number of files: the file system adds up the
+    sizes, and only the table's folder and its direct subfolders are looked at.
     """
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _FINGERPRINTS:
-        h = hashlib.sha256()
-        p, fs = _fs(spark, path)
-        if not fs.exists(p):
-            h.update(f"missing:{path}".encode())
-        else:
-            it = fs.listFiles(p, True)
-            while it.hasNext():
-                st = it.next()
-                h.update(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}".encode())
-        _FINGERPRINTS[key] = h.hexdigest()
-    return _FINGERPRINTS[key]
+    h = hashlib.sha256()
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        h.update(f"missing:{path}".encode())
+        return h.hexdigest()
+    total, top = fs.getContentSummary(p), fs.getFileStatus(p)
+    h.update(f"{path}|{total.getLength()}|{total.getFileCount()}|{total.getDirectoryCount()}|{top.getModificationTime()}".encode())
+    if top.isDirectory() and total.getDirectoryCount() > 1:
+        for st in fs.listStatus(p):
+            if st.isDirectory():
+                h.update(f"{st.getPath().getName()}|{st.getModificationTime()}".encode())
+    return h.hexdigest()
+
+
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``, added up by the file system."""
+    p, fs = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
 
 
 def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
@@ -141,10 +142,12 @@ def _write_once(spark: SparkSession, name: str, path: str, write: Callable[[str]
         write(tmp)
         src, fs = _fs(spark, tmp)
         dst, _ = _fs(spark, path)
-        if not fs.exists(dst):
-            fs.rename(src, dst)
-        else:
+        if _exists(spark, f"{path}/_SUCCESS"):  # another process finished first
             fs.delete(src, True)
+        else:
+            if fs.exists(dst):  # a rename that was cut off left part of a table
+                fs.delete(dst, True)
+            fs.rename(src, dst)
     return path
 
 
@@ -180,23 +183,22 @@ def shared(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{table_root(spark)}/_shared/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _SHARED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a CPU-heavy stage at least one partition per core.
+_SHARED: list[str] = []
 
-    Only when the input has fewer partitions than the cluster has cores (a
-    few large files); on a large input this is a no-op.  ``repartition(n)``
-    sorts locally before dealing rows out, so a retried task gets the same
-    rows.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(cores) if parts < cores else df
+
+def release_shared(spark: SparkSession) -> None:
+    """Delete the intermediates this process wrote, once the results that read them are done."""
+    while _SHARED:
+        remove_folder(spark, _SHARED.pop())
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even out the partitions of a CPU-heavy stage's input by size (a REBALANCE hint, whatever the input)."""
+    return df.hint("rebalance")
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

@@ -71,3 +71,68 @@ def test_expire_shared_removes_only_old_intermediates(spark):
         remove_folder(spark, table_root(spark))
     finally:
         spark.conf.set("spark.plume.tableNamespace", old or "")
+
+
+def test_a_half_written_table_is_built_again(spark, tmp_dir):
+    import os
+    import uuid
+    from plume.sources.store import materialized, release_shared, remove_folder, shared, table_root, written_once
+    old = spark.conf.get("spark.plume.tableNamespace", None)
+    spark.conf.set("spark.plume.tableNamespace", f"half-{uuid.uuid4().hex}")
+    try:
+        src = f"{tmp_dir}/src"
+        spark.range(5).write.parquet(src)
+        build = lambda: materialized(spark, "t", [src], lambda: spark.read.parquet(src))
+        assert build().count() == 5
+        path = written_once(spark, "t", [src], lambda p: None).replace("file:", "")
+        os.remove(f"{path}/_SUCCESS")  # a rename that was cut off
+        for f in os.listdir(path):
+            if f.endswith(".parquet"):
+                os.remove(f"{path}/{f}")
+        assert build().count() == 5
+        spark.range(3).write.mode("append").parquet(src)  # appended in the same session
+        assert build().count() == 8
+        kept = shared(spark.range(2))
+        folder = f"{table_root(spark)}/_shared".replace("file:", "")
+        assert kept.count() == 2 and len(os.listdir(folder)) == 1
+        release_shared(spark)
+        assert os.listdir(folder) == []
+        remove_folder(spark, table_root(spark))
+    finally:
+        spark.conf.set("spark.plume.tableNamespace", old or "")
+
+
+def test_a_shared_folder_is_required_off_one_process():
+    import pytest
+    from plume.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key):
+                raise KeyError(key)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_reloading_raw_reviews_truncates(spark, tmp_dir):
+    import datetime as dt
+    from plume.sources import io
+    rows = lambda day: spark.createDataFrame([("a text", 5.0, "Positive", dt.datetime(2024, 1, day))],
+                                             "review_text string, rating double, sentiment string, ingestion_timestamp timestamp_ntz")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        io.write_raw_reviews(rows(1).union(rows(2)), f"{tmp_dir}/raw")
+        io.write_raw_reviews(rows(3), f"{tmp_dir}/raw")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.ingestion_timestamp.day for r in io.read_raw_reviews(spark, f"{tmp_dir}/raw").collect()] == [3]
