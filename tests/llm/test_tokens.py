@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from llm_rows import make, mixed, no_docs, odd_docs  # noqa: F401  fixtures
+from llm_rows import base_rows, make, mixed, no_docs, odd_docs  # noqa: F401  fixtures
 
 from plume.llm import bpe_codec, packing, token_counts
 from plume.llm.bpe import merge_table
