@@ -8,8 +8,8 @@ next shorter one, down to 8 bits a byte.  The statistics are frozen: scoring
 never changes them.  The language with the shortest code wins.
 
 The trees are learnt from a bounded sample: of each language the
-``rows_per_language`` rows of smallest hash among the rows that may be learnt
-from and whose text has at most ``longest_learnt`` bytes (longer ones are
+``rows_per_language`` rows of smallest hash (repeated rows once) among the rows
+that may be learnt from and whose text has at most ``longest_learnt`` bytes (longer ones are
 scored like any other).  So the model's size has a bound that does not depend
 on the corpus, and it is broadcast.
 
@@ -162,7 +162,7 @@ def learn(docs: DataFrame, learnable: Column, order: int = ORDER, rows_per_langu
         raise ValueError("order: 0 to 7 bytes of context")
     own = pick(docs, "doc_id", "text", "lang").where(learnable & F.col("lang").isNotNull() & (F.octet_length("text") <= longest_learnt))
     own = own.withColumn("h", F.xxhash64("doc_id", F.octet_length("text")))
-    ranked = own.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    ranked = own.select("lang", "h").distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     bounds = ranked.where(F.col("r") <= rows_per_language).groupBy("lang").agg(F.max("h").alias("h")) \
         .orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(bounds) > MAX_LANGUAGES:
@@ -187,7 +187,8 @@ def learn(docs: DataFrame, learnable: Column, order: int = ORDER, rows_per_langu
                         [pa.array(np.full(size, k, np.int32)), pa.array(np.full(size, lang, np.int32)),
                          pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], ["k", "lang", "gram", "n"])
 
-    counted = own.where(taken).select("lang", "text").mapInArrow(run, "k int, lang int, gram long, n long") \
+    sample = own.where(taken).groupBy("lang", "h").agg(F.min("text").alias("text"))  # a repeated row counts once
+    counted = sample.select("lang", "text").mapInArrow(run, "k int, lang int, gram long, n long") \
         .groupBy("k", "lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     k = counted.column("k").to_numpy()
     columns = [counted.column("gram").to_numpy().view(np.uint64), counted.column("lang").to_numpy(), counted.column("n").to_numpy()]

@@ -77,6 +77,13 @@ def test_nothing_to_learn_from(spark, no_docs):
     assert {(r.lang_pred, r.score) for r in language.predict_held_out(docs).collect()} == {("und", 0.0)}
 
 
+def test_repeated_rows_are_learnt_once(spark, base_rows):
+    rows = [r for r in base_rows if r[1]][:40]
+    once = language.learn(make(spark, rows), F.lit(True), order=2)
+    often = language.learn(make(spark, rows + rows[:5] * 30), F.lit(True), order=2)
+    assert all((a == b).all() for a, b in zip(once.grams + once.lengths, often.grams + often.lengths, strict=True))
+
+
 def test_the_sample_has_its_bound(spark, base_rows):
     rows = [(i, t, "en", "s") for i, t, _, _ in base_rows if t]
     few = language.learn(make(spark, rows), F.lit(True), order=2, rows_per_language=3)
