@@ -1,6 +1,6 @@
 """Declarative data-quality tests and operational checks (Q1-Q10).
 
-A test suite is data: (model, column, test, args).  The runner checks every
+A test suite is data: (model, column, test and its parameters).  The runner checks every
 not_null / accepted_values / accepted_range test of a model and its unique
 key in one pass over the model (however many tests), and returns one row per
 test.
@@ -10,7 +10,7 @@ Failing rows are available per test for storing (``store_failures``).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +28,6 @@ class Test:
     min_value: float | None = None
     max_value: float | None = None
     inclusive: bool = True
-    args: dict = field(default_factory=dict)
 
     @property
     def name(self) -> str:

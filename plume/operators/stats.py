@@ -201,6 +201,7 @@ def recommendations(ttest: DataFrame, corr: DataFrame) -> DataFrame:
     j = t.crossJoin(p)
     sig = F.col("p_value") < 0.05
     length_matters = (F.abs("pearson_r") > 0.1) & (F.col("pearson_p") < 0.05)
+    # fixed values: the recommendation texts
     return j.select(
         F.when(sig, "Encourage satisfied users to leave detailed reviews")
          .otherwise("Focus on other factors affecting ratings").alias("sentiment_recommendation"),
