@@ -151,14 +151,16 @@ def kpi_weekly(analyzed: DataFrame) -> DataFrame:
         rnd(F.stddev_samp("sentiment_score"), 6).alias("sentiment_volatility"))
 
 
-def capped_sample(df: DataFrame, by: str, cap: int = 500, seed: int = 42, key: str = "review_id") -> DataFrame:
+def capped_sample(df: DataFrame, by: str, cap: int = 5000, seed: int = 42, key: str = "review_id") -> DataFrame:
     """A sample of ``cap`` rows per group in a seeded pseudo-random order (the sample is the feature).
 
-    The order is a SHA-256 of (key, seed), so the sample is reproducible.  For
-    caps up to Spark's group-limit threshold (1,000 unless set), the rank is
-    limited per task before the shuffle, so a huge group never ships more than
-    ``cap`` rows from any task.
+    The order is a SHA-256 of (key, seed), so the sample is reproducible.  Ranks
+    within parts of a group come first, so a huge group is dealt over tasks and
+    at most ``cap`` rows of each part are ranked against each other.  Spark limits
+    caps up to its group-limit threshold (1,000 unless set) before the shuffle as well.
     """
     k = F.sha2(F.concat(F.col(key), F.lit(f"|{seed}")), 256)
-    w = Window.partitionBy(by).orderBy(k, key)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")
+    first = lambda rows, *group: rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*group).orderBy(k, key))) \
+        .where(F.col("_rn") <= cap).drop("_rn")
+    parts = df.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(64)))
+    return first(first(parts, by, "_part"), by).drop("_part")

@@ -1,6 +1,7 @@
 """Physical-plan properties the design relies on (SURVEY section 5 (e))."""
 
 import datetime as dt
+import hashlib
 
 from plume.operators import analysis as A
 from plume.operators import feeds as V
@@ -45,6 +46,14 @@ def test_large_caps_are_also_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
+def test_the_sample_takes_five_thousand_of_a_group(spark):
+    rows = spark.range(8_000).selectExpr("cast(id AS string) AS review_id", "if(id < 7000, 'Positive', 'Neutral') AS sentiment")
+    sample = V.capped_sample(rows.repartition(3), "sentiment")
+    assert {r["sentiment"]: r["count"] for r in sample.groupBy("sentiment").count().collect()} == {"Positive": 5_000, "Neutral": 1_000}
+    order = lambda i: hashlib.sha256(f"{i}|42".encode()).hexdigest()
+    assert {r.review_id for r in sample.where("sentiment = 'Positive'").collect()} == set(map(str, sorted(range(7_000), key=order)[:5_000]))
+
+
 def test_small_sides_are_broadcast(spark):
     # bounded by construction (days of the parameter range): hinted
     assert "BroadcastHashJoin" in _plan(W.unified_daily(spark, SF_SMALL))
