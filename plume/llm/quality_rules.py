@@ -7,11 +7,13 @@ work of a text is linear but for that sort.
 The verdict is a minimum-covariance-determinant estimate per language and
 source over transformed statistics: from coordinate-wise medians, concentration
 steps keep the share ``core`` of a group's rows with the smallest Mahalanobis
-distances and re-estimate mean and covariance from them; then the covariance
-is made consistent by the median distance, rows within the usual bound
-reweight the estimate once, and rows beyond ``cutoff`` are rejected.  A floor
-under each variance keeps statistics that are almost constant from rejecting
-small deviations.  Medians and distance quantiles are exact over a fixed grid,
+distances and re-estimate mean and covariance from them, until no group's
+determinant falls any more; then the covariance is made consistent by the
+median distance, rows within the usual bound reweight the estimate once, and
+rows beyond ``cutoff``, a chi-square quantile, are rejected.  A floor under
+each variance is the deviation that is still ordinary in a group where a
+statistic is constant: most groups have no repeats at all, and without it every
+document with a repeated phrase would be an outlier.  Medians and distance quantiles are exact over a fixed grid,
 so results do not depend on how rows are partitioned and the state of a group
 is bounded; rows of a group are only ever summed.
 
@@ -35,8 +37,10 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 #: Statistics and the standard deviation taken at least for each.
 FLOORS = {"x_length": 0.15, "x_symbols": 0.05, "x_repeats": 0.15, "x_lines": 0.2}
-#: Chi-square with four degrees of freedom: median, 0.975 quantile.  Fixed values.
-CHI_MEDIAN, CHI_REWEIGHT = 3.3567, 11.1433
+#: Chi-square with four degrees of freedom: median, 0.975 and 0.999 quantiles.  Fixed values.
+CHI_MEDIAN, CHI_REWEIGHT, CHI_REJECT = 3.3567, 11.1433, 18.4668
+#: A smaller fall of the determinant ends the concentration steps of a group.
+_LEAST_FALL = 1e-9
 _SHARED = "\x00all"
 
 
@@ -104,7 +108,7 @@ def _sum(columns: list[Column]) -> Column:
 
 
 def _estimate(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Mean m_i and Cholesky factor l_i_j of the covariance (floors added) of each group's rows."""
+    """Mean m_i and Cholesky factor l_i_j of the covariance (floors added) of each group's rows, and ln_det of the factor."""
     pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
     sums = rows.groupBy("g_lang", "g_source").agg(
         F.count("*").alias("n"), *[F.avg(x).alias(f"m_{i}") for i, x in enumerate(names)],
@@ -112,7 +116,17 @@ def _estimate(rows: DataFrame, names: list[str]) -> DataFrame:
     for i, j in pairs:  # Cholesky, row by row
         rest = F.col(f"c_{i}_{j}") - (_sum([F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)]) if j else F.lit(0.0))
         sums = sums.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l_{j}_{j}"))
-    return sums.drop(*[f"c_{i}_{j}" for i, j in pairs])
+    return sums.withColumn("ln_det", _sum([F.ln(f"l_{i}_{i}") for i in range(len(names))])).drop(*[f"c_{i}_{j}" for i, j in pairs])
+
+
+def _better(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Of each group the estimate with the smaller determinant, and in ``fell`` whether that is the new one."""
+    was = old.select(F.col("g_lang").alias("e_lang"), F.col("g_source").alias("e_source"),
+                     F.struct(*[c for c in new.columns if not c.startswith("g_")]).alias("old"))
+    both = new.join(was, new["g_lang"].eqNullSafe(was["e_lang"]) & new["g_source"].eqNullSafe(was["e_source"]))
+    fell = F.col("ln_det") < F.col("old.ln_det") - _LEAST_FALL
+    return both.select("g_lang", "g_source", fell.alias("fell"), *[
+        F.when(fell, F.col(c)).otherwise(F.col(f"old.{c}")).alias(c) for c in new.columns if not c.startswith("g_")])
 
 
 def _distance(rows: DataFrame, estimate: DataFrame, names: list[str]) -> DataFrame:
@@ -140,8 +154,11 @@ def _cut(rows: DataFrame, share: float) -> DataFrame:
         .where(_grid() <= F.col("top")).drop("e_lang", "e_source", "top")
 
 
-def mcd(rows: DataFrame, core: float = 0.75, steps: int = 4) -> DataFrame:
-    """Reweighted MCD estimate (n, m_i, l_i_j and scale) of each group (g_lang, g_source) of ``rows``."""
+def mcd(rows: DataFrame, core: float = 0.75) -> DataFrame:
+    """Reweighted MCD estimate (n, m_i, l_i_j) of each group (g_lang, g_source) of ``rows``.
+
+    The steps end: each but the last makes a determinant smaller, and a group has finitely many subsets.
+    """
     names = list(FLOORS)
     own = rows.select("g_lang", "g_source", *names)
     middle = [F.percentile(F.round(F.col(x), 4), F.lit(0.5)) for x in names]
@@ -149,9 +166,13 @@ def mcd(rows: DataFrame, core: float = 0.75, steps: int = 4) -> DataFrame:
     for i in range(len(names)):
         for j in range(i + 1):
             start = start.withColumn(f"l_{i}_{j}", F.lit(FLOORS[names[i]] if i == j else 0.0))
-    estimate = written(start, "mcd-start")
-    for _ in range(steps):
-        estimate = written(_estimate(_cut(_distance(own, estimate, names), core), names), "mcd-step")
+    step = lambda known: _estimate(_cut(_distance(own, known, names), core), names)
+    falling, settled = written(step(written(start, "mcd-start")), "mcd-step"), []
+    while not falling.isEmpty():  # only groups whose determinant still falls take another step
+        better = written(_better(falling, step(falling)), "mcd-step")
+        falling = better.where("fell").drop("fell")
+        settled.append(better.where("NOT fell").drop("fell"))
+    estimate = written(reduce(DataFrame.unionByName, settled, falling), "mcd-settled")
     # consistency: the median distance of all rows becomes the chi-square median (never a narrower estimate)
     near = _distance(own, estimate, names)
     scale = near.groupBy("g_lang", "g_source").agg(
@@ -162,11 +183,11 @@ def mcd(rows: DataFrame, core: float = 0.75, steps: int = 4) -> DataFrame:
     return written(_estimate(good, names), "mcd")
 
 
-def quality(docs: DataFrame, cutoff: float = 40.0, core: float = 0.75, steps: int = 4, least_rows: int = 100) -> DataFrame:
+def quality(docs: DataFrame, cutoff: float = CHI_REJECT, core: float = 0.75, least_rows: int = 100) -> DataFrame:
     """doc_id, n_words, the four base counts, base_failed, kept, row_key, and d2 (null where there was no estimate).
 
-    ``cutoff``: squared distance beyond which a row is rejected; 40 is a chance
-    of 4e-8 under the normal model.
+    ``cutoff``: squared distance beyond which a row is rejected, by default the
+    0.999 quantile of the normal model.
     """
     rows = written(statistics(word_counts(docs)).withColumn("base_failed", base_failed()), "quality-counts")
     passed = rows.where("NOT base_failed")
@@ -180,7 +201,7 @@ def quality(docs: DataFrame, cutoff: float = 40.0, core: float = 0.75, steps: in
     whole = passed.withColumns({"g_lang": F.col("lang"), "g_source": F.lit(_SHARED)})
     names = list(FLOORS)
     estimate = mcd(dealt.where(~F.col("g_source").eqNullSafe(_SHARED)).select("g_lang", "g_source", *names)
-                   .unionByName(whole.select("g_lang", "g_source", *names)), core, steps).where(F.col("n") >= least_rows // 2)
+                   .unionByName(whole.select("g_lang", "g_source", *names)), core).where(F.col("n") >= least_rows // 2)
     judged = _distance(dealt, estimate, names)
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "row_key"]
     known = judged.select(*columns, (F.col("d2") <= cutoff).alias("kept"), "d2")

@@ -90,6 +90,22 @@ def test_verdict_equals_a_plain_estimate(spark):
     assert [i for i, r in got.items() if not r.kept] == [i for i in got if i % 25 == 0]
 
 
+def test_single_statistics_reject(spark):
+    rng = random.Random(9)
+    fresh = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    rows = [(k, "\n".join(fresh(10) for _ in range(20)), "en", "s") for k in range(200)]
+    phrase = fresh(45)
+    rows.append((1000, f"{phrase} {fresh(110)} {phrase}", "en", "s"))                        # 45 % repeated words
+    line = "one line"
+    rows.append((1001, "\n".join([line] * 41 + [fresh(30) for _ in range(9)]), "en", "s"))    # 80 % duplicate lines
+    rows.append((1002, f"{fresh(85)} {' '.join(phrase.split()[:15])} {fresh(85)} {' '.join(phrase.split()[:15])}", "en", "s"))  # 15 %: ordinary
+    assert [round(brute(t)[4] / brute(t)[0], 2) for _, t, _, _ in rows[-3:]] == [0.45, 0.23, 0.15] and brute(rows[-2][1])[3] == 40
+    got = {r.doc_id: r for r in q.quality(make(spark, rows)).collect()}
+    assert not got[1000].base_failed and not got[1000].kept
+    assert not got[1001].base_failed and not got[1001].kept
+    assert sorted(i for i, r in got.items() if not r.kept) == [1000, 1001]
+
+
 def test_small_groups_are_kept(spark):
     rows = [(k, " ".join(f"w{j * k}" for j in range(1, 80)), "zz", "tiny") for k in range(1, 9)]
     assert all(r.kept and r.d2 is None for r in q.quality(make(spark, rows)).collect())
