@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe_codec, fingerprints, language, licenses, packing, pii, quality_rules, secrets, simhash,
-               token_counts)
+from . import (bpe_codec, fingerprints, language, licenses, merkle, packing, periodic_runs, pii, quality_rules,
+               secrets, simhash, token_counts)
 from .common import documents
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -53,7 +53,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(documents(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(documents(spark, sf_dir), edit=periodic_runs.looped)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(merkle.document_leaves(documents(spark, sf_dir)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_document_fingerprints, op2_pii, op3_language_id, op4_simhash_near_dedup, op5_token_counts, op6_bpe_codec,
-    op7_quality_rules, op8_best_fit_packing, op9_license_scan, op10_secret_scan)}
+    op7_quality_rules, op8_best_fit_packing, op9_license_scan, op10_secret_scan,
+    op11_periodic_runs, op13_merkle_manifest)}
 ORACLE_SQL: dict[str, str] = {}
