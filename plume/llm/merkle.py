@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import pick, written
 
 FAN = 3
-BLOCK_LEVELS = 9
+BLOCK_LEVELS = 7
 
 _TOP = "top"  # the tree of the roots
 _CHAIN = "array<string>"  # by level: the left siblings, the right siblings
