@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe_codec, fingerprints, language, licenses, merkle, packing, periodic_runs, pii, quality_rules,
+from . import (bpe_codec, fingerprints, language, licenses, merkle, minhash, packing, periodic_runs, pii, quality_rules,
                secrets, simhash, token_counts)
 from .common import documents
 
@@ -57,6 +57,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(documents(spark, sf_dir), edit=periodic_runs.looped)
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), shingle=2, least_percent=80)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(merkle.document_leaves(documents(spark, sf_dir)))
 
@@ -64,5 +68,5 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_document_fingerprints, op2_pii, op3_language_id, op4_simhash_near_dedup, op5_token_counts, op6_bpe_codec,
     op7_quality_rules, op8_best_fit_packing, op9_license_scan, op10_secret_scan,
-    op11_periodic_runs, op13_merkle_manifest)}
+    op11_periodic_runs, op12_minhash_near_dedup, op13_merkle_manifest)}
 ORACLE_SQL: dict[str, str] = {}
