@@ -8,17 +8,17 @@ densification).  The sketch is cut into ``BINS / ROWS`` bands, and equal bands
 share a bucket.  With 64 bands of 8, two sets of similarity 0.8 miss each
 other with probability 8e-6.
 
-Documents of equal sets are one class.  Within a bucket every class is paired
-with one centre only, a star, so the pairs grow with the members and not with
-their square.  A star is built in two steps: a task pairs the members it holds
-with its own centre and sends that centre on, and the centres are paired with
-the bucket's.  Pairs are confirmed on the full sets of words.  Then components
-are formed, and buckets whose members are not yet in one component go through
-further rounds with other centres.  What is still apart after the last star
-round is compared exactly: in every bucket, the members outside its largest
-component with all members of other components whose sizes allow the
-similarity.  So no link that shares a bucket is lost, and near copies of one
-text, being one component by then, never meet pairwise.
+Documents of equal sets are one class.  Within a bucket classes are paired with
+one centre only, a star, so the pairs grow with the members and not with their
+square.  The centre is the member that meets most others in its buckets: near
+copies differ from each other more than from what they have in common, and the
+heaviest member is the one nearest to that.  Pairs are confirmed on the full
+sets of words, and what hangs on one hub forms a group.  In further turns every
+group sends one member of each bucket, drawn anew, to be paired with that of the
+bucket's largest group and with a random one.  A group is one row of its bucket
+by then, so thousands of near copies never meet pairwise.  A link may be missed
+only if its texts share no bucket, or if they and what links them to their
+groups fail to meet a centre in ``TURNS`` turns over all the buckets they share.
 
 Cases: a null text, or one without words, has an empty set and is linked with
 nothing; fewer words than a shingle give the whole sequence as one; repeated
@@ -37,14 +37,14 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick, text_groups, written
 from .graph import components
 
 BINS, ROWS = 512, 8
-STAR_ROUNDS = 3
+TURNS = 4
 _SEED = 71
 _SHIFT = np.uint64(64 - BINS.bit_length() + 1)
 _ORDER = np.random.default_rng(_SEED).permuted(np.tile(np.arange(BINS), (BINS, 1)), axis=1)
@@ -142,31 +142,6 @@ def sketched(docs: DataFrame, shingle: int) -> DataFrame:
     return pick(docs, "doc_id", "text").mapInArrow(run, schema)
 
 
-def _star(members: DataFrame, name: str) -> DataFrame:
-    """(a, b): every member of a bucket and its centre.  ``members``: key, node, place (least place: the centre).
-
-    A task's members meet the task's own centre first; only that centre is
-    shuffled, so a bucket that holds a third of all rows costs a row a batch.
-    """
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, node, place = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "place"))
-            by = np.lexsort((node, place, key))
-            key, node, place = key[by], node[by], place[by]
-            first = np.append(True, key[1:] != key[:-1])[:len(key)]
-            centre = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-            nothing = pa.nulls(int((~first).sum()), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(place[first]), pa.array(node[first]), pa.array(node[first])],
-                                             ["key", "place", "a", "b"])
-            yield pa.RecordBatch.from_arrays([nothing, nothing, pa.array(centre[~first]), pa.array(node[~first])],
-                                             ["key", "place", "a", "b"])
-
-    local = written(members.select("key", "node", "place").mapInArrow(near, "key long, place long, a long, b long"), f"{name}-local")
-    centre = F.min(F.struct("place", "a")).over(Window.partitionBy("key"))
-    between = local.where("key IS NOT NULL").select(centre["a"].alias("a"), "b")
-    return between.unionByName(local.where("key IS NULL").select("a", "b")).where("a <> b").distinct()
-
-
 def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, least_percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.  ``texts``: node, text.
 
@@ -196,62 +171,74 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, least_percent:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _sized(pairs: DataFrame, classes: DataFrame, least_percent: int) -> DataFrame:
-    """Pairs whose set sizes allow the similarity."""
-    size = lambda c: classes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"))
-    n_a, n_b = F.col("n_a"), F.col("n_b")
-    return pairs.join(size("a"), "a").join(size("b"), "b") \
-        .where(100 * F.least(n_a, n_b) >= least_percent * F.greatest(n_a, n_b)).select("a", "b")
-
-
-def _apart(members: DataFrame, links: DataFrame, name: str) -> DataFrame:
-    """key, node, root of the buckets whose members are not all in one component."""
-    roots = components(links)
-    named = members.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = written(named, f"{name}-members")
-    open_ = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return written(rows.join(open_.select("key"), "key", "left_semi"), f"{name}-apart")
+def bucket_members(classes: DataFrame) -> DataFrame:
+    """key, node, size, weight: the members of every bucket of two or more.
 
+    weight: how many others a node meets in its buckets.  The nodes nearest to
+    what near copies have in common weigh most, which makes them good centres.
+    Buckets are counted with map-side aggregation before members are moved.
+    """
+    posted = classes.select("node", F.col("n_shingles").alias("size"), F.explode("keys").alias("key"))
+    shared = posted.groupBy("key").agg(F.count("*").alias("others")).where("others > 1")
+    met = written(posted.join(shared, "key"), "minhash-met")
+    weights = met.groupBy("node").agg(F.sum("others").alias("weight"))
+    return written(met.drop("others").join(weights, "node").select("key", "node", "size", "weight"), "minhash-members")
 
-def _rest(apart: DataFrame) -> DataFrame:
-    """(a, b): members outside a bucket's largest component with all members of its other components."""
-    sizes = apart.groupBy("key", "root").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("largest"))
-    outside = apart.join(largest, "key").where("root <> largest").select("key", F.col("node").alias("x"), F.col("root").alias("root_x"))
-    every = apart.select("key", F.col("node").alias("y"), F.col("root").alias("root_y"))
-    return outside.join(every, "key").where("root_x <> root_y") \
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
+def candidate_pairs(members: DataFrame, groups: DataFrame | None, least_percent: int, turn: int) -> DataFrame:
+    """(a, b): pairs to confirm in this turn.  ``members``: key, node, size, weight; ``groups``: node, root found so far.
 
-def links(classes: DataFrame, texts: DataFrame, shingle: int, least_percent: int, star_rounds: int = STAR_ROUNDS) -> DataFrame:
-    """(a, b): confirmed links that connect all similar classes.  ``classes``: node, n_shingles, keys; ``texts``: node, text."""
-    members = classes.select("node", F.explode("keys").alias("key"))
+    Every group of a bucket sends one member, a heavy one.  These are paired
+    with that of the largest group and, after the first turn, with a random one.
+    """
+    if groups is None:
+        named, heavy = members.withColumn("root", F.col("node")), F.col("weight") * F.lit(1.0)
+    else:
+        named = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        heavy = F.col("weight") * (1.0 - F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1000)) / 2000.0)  # by 0.5 to 1
+    sent = written(named.groupBy("key", "root").agg(F.count("*").alias("n"), F.max(F.struct(heavy.alias("heavy"), "node", "size")).alias("m")), "minhash-sent")
+    any_one = F.max_by("m", F.xxhash64("root", "key", F.lit(turn)))
+    centres = sent.groupBy("key").agg(F.count("*").alias("count"), F.max(F.struct("n", "m"))["m"].alias("large"), any_one.alias("any_one")) \
+        .where("count > 1").select("key", F.explode(F.array("large", *(["any_one"] if turn else []))).alias("x"))
+    fits = 100 * F.least("x.size", "m.size") >= least_percent * F.greatest("x.size", "m.size")
+    return sent.join(centres, "key").where(fits & F.expr("x.node <> m.node")) \
+        .select(F.least("x.node", "m.node").alias("a"), F.greatest("x.node", "m.node").alias("b")).distinct()
+
+
+def _groups(links: DataFrame) -> DataFrame:
+    """node, root: linked nodes by the hub they hang on; a hub that hangs on a larger one takes its nodes along."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    degrees = both.groupBy("a").agg(F.count("*").alias("n"))
+    beside = both.join(degrees.select(F.col("a").alias("b"), "n"), "b").groupBy("a").agg(F.max(F.struct("n", "b")).alias("m"))
+    hub = written(beside.join(degrees, "a").select("a", F.greatest("m", F.struct("n", F.col("a").alias("b")))["b"].alias("hub")), "minhash-hubs")
+    over = hub.select(F.col("a").alias("hub"), F.col("hub").alias("root"))
+    return hub.join(over, "hub").select(F.col("a").alias("node"), "root")
+
+
+def links(classes: DataFrame, texts: DataFrame, shingle: int, least_percent: int, turns: int = TURNS) -> DataFrame:
+    """(a, b): confirmed links that connect similar classes.  ``classes``: node, n_shingles, keys; ``texts``: node, text."""
+    members = bucket_members(classes)
+    texts = written(texts.join(members.select("node").distinct(), "node", "left_semi"), "minhash-texts")
     found = tried = None
-    for r in range(star_rounds):
-        place = F.col("node") if r == 0 else F.xxhash64("node", F.lit(r))
-        pairs = _sized(_star(members.withColumn("place", place), "minhash-star"), classes, least_percent) \
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for turn in range(turns):
+        pairs = candidate_pairs(members, None if turn == 0 else _groups(found), least_percent, turn)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "minhash-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
         new = written(_confirmed(pairs, texts, shingle, least_percent), "minhash-links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
         found = new if found is None else found.unionByName(new)
-        members = _apart(members, found, "minhash")
-        if members.isEmpty():
-            return found
-    pairs = _sized(_rest(members), classes, least_percent).join(tried, ["a", "b"], "left_anti")
-    return found.unionByName(written(_confirmed(written(pairs, "minhash-rest"), texts, shingle, least_percent), "minhash-links"))
+    return found
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, least_percent: int = 80, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, least_percent: int = 80, turns: int = TURNS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept of every document."""
     rows = written(sketched(docs, shingle), "minhash-sketches")
     narrow = rows.select("uid", "doc_id", "n_shingles", "class_key")
     classes = written(narrow.where("class_key IS NOT NULL").groupBy("class_key")
                       .agg(F.min("uid").alias("node"), F.min("doc_id").alias("first")), "minhash-classes")
     own = written(rows.select(F.col("uid").alias("node"), "n_shingles", "keys").join(classes.select("node"), "node"), "minhash-keys")
-    found = links(own, rows.select(F.col("uid").alias("node"), "text"), shingle, least_percent, star_rounds)
+    found = links(own, rows.select(F.col("uid").alias("node"), "text"), shingle, least_percent, turns)
     roots = written(components(found), "minhash-roots")
     linked = classes.join(roots, "node")
     named = linked.join(linked.groupBy("root").agg(F.min("first").alias("least")), "root").select("node", "least")

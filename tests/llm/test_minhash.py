@@ -87,9 +87,9 @@ def test_short_and_other_shingles(spark):
     assert Counter(tuple(r) for r in minhash.near_duplicates(make(spark, rows)).collect()) == expected(rows, 5)
 
 
-def test_one_star_round_is_completed_exactly(spark, base_rows):
+def test_wide_groups(spark, base_rows):
     rows = near_copies(base_rows, 9, 30, 0.25)
-    got = minhash.near_duplicates(make(spark, rows).repartition(4), shingle=2, star_rounds=1).collect()
+    got = minhash.near_duplicates(make(spark, rows).repartition(4), shingle=2).collect()
     assert Counter(tuple(r) for r in got) == expected(rows)
 
 
