@@ -50,9 +50,10 @@ def _encoder(path: str):
         """Words are encoded in one call, a line each: a line break ends every word and is one id that no other word has."""
         out: list[bytes | None] = [None] * len(words)
         plain = [i for i, w in enumerate(words) if not any(map(str.isspace, w[1:])) and not w.isspace()]
-        ids = np.array(tokenizer.encode_batch_fast(["".join([words[i] + "\n" for i in plain])], add_special_tokens=False)[0].ids, "<u4")
+        lines = "".join([words[i] + "\n" for i in plain])
+        ids = np.array(tokenizer.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4")
         breaks = np.flatnonzero(ids == line_break[0])
-        if len(line_break) == 1 and len(breaks) == len(plain):
+        if plain and len(line_break) == 1 and len(breaks) == len(plain):
             for i, a, b in zip(plain, np.append(0, breaks[:-1] + 1).tolist(), breaks.tolist(), strict=True):
                 out[i] = ids[a:b].tobytes()
         rest = [i for i, v in enumerate(out) if v is None]

@@ -2,7 +2,7 @@
 
 A tokenizer's work on natural text repeats: most words of a batch have been
 seen.  Texts are cut into words with array operations over code points, equal
-words of a batch are found by a 64-bit hash, and only words missing from the
+words of a batch are grouped by a hash and then compared, and only words missing from the
 worker's cache reach the encoder.
 """
 
@@ -105,6 +105,36 @@ def cut(texts: list[str], joins_space: bool) -> tuple[str, np.ndarray, np.ndarra
     return joined, starts, ends, codes, bounds
 
 
+def _distinct(joined: str, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each word's distinct word, a word of each number).
+
+    Words are grouped by their hash and compared, character by character, with
+    the first of their group; those that differ from it are told apart by their text.
+    """
+    which, distinct = pd.factorize(_word_hashes(codes, starts, ends))
+    first = np.empty(len(distinct), np.int64)
+    first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+    sizes, like = ends - starts, first[which]
+    differs = sizes != sizes[like]
+    sizes = np.where(differs, 0, sizes)
+    within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    unequal = codes[np.repeat(starts, sizes) + within] != codes[np.repeat(starts[like], sizes) + within]
+    if unequal.any():
+        differs[np.repeat(np.arange(len(starts)), sizes)[unequal]] = True
+    odd = np.flatnonzero(differs)
+    if len(odd):
+        numbers: dict[str, int] = {}
+        more = []
+        for i in odd.tolist():
+            word = joined[starts[i]:ends[i]]
+            if word not in numbers:
+                numbers[word] = len(first) + len(more)
+                more.append(i)
+            which[i] = numbers[word]
+        first = np.concatenate([first, np.array(more, np.int64)])
+    return which, first
+
+
 class WordCache:
     """Encoded words by text, filled by ``encode_many``; emptied when ``limit`` words are kept.
 
@@ -133,9 +163,7 @@ class WordCache:
         joined, starts, ends, codes, bounds = cut(texts, joins_space)
         if not len(starts):
             return [], np.empty(0, np.int64), bounds
-        which, distinct = pd.factorize(_word_hashes(codes, starts, ends))
-        first = np.empty(len(distinct), np.int64)
-        first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+        which, first = _distinct(joined, codes, starts, ends)
         words = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         return self.values(words), which, bounds
 

@@ -152,3 +152,47 @@ def test_no_documents(spark, no_docs):
     assert token_counts.token_counts(no_docs, WORD, 10).collect() == []
     assert bpe_codec.codec(no_docs, WORD).collect() == []
     assert packing.packed(no_docs, BYTE, 1024, 2).collect() == []
+
+
+def _alike(a, b):
+    """Two words that every polynomial hash modulo 2^64 with an odd base confuses."""
+    one = a
+    while len(one) < 1024:
+        one += one.translate(str.maketrans(a + b, b + a))
+    return one, one.translate(str.maketrans(a + b, b + a))
+
+
+@pytest.mark.parametrize("letters", ["ab", "in", "th", "er", "日本"])
+def test_words_that_share_a_hash(word, byte, letters):
+    one, other = _alike(*letters)
+    texts = [f"{one} {other}", f"{other} {one} {other}", f"x {one}", other]
+    assert bpe_codec.encode_ids(texts, WORD) == [e.ids for e in word.encode_batch(texts, add_special_tokens=False)]
+    assert token_counts.count_texts(texts, WORD).tolist() == [len(e.ids) for e in word.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing.token_bytes(texts, BYTE)] \
+        == [e.ids for e in byte.encode_batch(texts, add_special_tokens=False)]
+
+
+def _byte_ids(texts):
+    return [np.frombuffer(b, "<u4").tolist() for b in packing.token_bytes(texts, BYTE)]
+
+
+def test_batches_whose_new_words_are_white_space(byte):
+    packing._encoder.cache_clear()
+    for texts in (["\n \n"], ["hello world"], ["hello  \n\n world"], ["\t\t", "", "   "], [""], ["hello"]):
+        assert _byte_ids(texts) == [e.ids for e in byte.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_white_space_documents(spark, byte):
+    rows = [(k, t, "en", "s") for k, t in enumerate(["\n \n", "  ", "\t", "", None, "hello world", "hello  \n\n world"])]
+    for part in (rows[:1], rows):
+        _check_packing(part, packing.packed(make(spark, part), BYTE, 8, 2).collect(), byte, 8, 2)
+
+
+def test_many_small_batches(word, byte):
+    texts = _noise(12_000)
+    own, ids = [], []
+    for k in range(0, len(texts), 3):
+        own += _byte_ids(texts[k:k + 3])
+        ids += bpe_codec.encode_ids(texts[k:k + 3], WORD)
+    assert own == [e.ids for e in byte.encode_batch(texts, add_special_tokens=False)]
+    assert ids == [e.ids for e in word.encode_batch(texts, add_special_tokens=False)]
