@@ -154,13 +154,35 @@ def kpi_weekly(analyzed: DataFrame) -> DataFrame:
 def capped_sample(df: DataFrame, by: str, cap: int = 5000, seed: int = 42, key: str = "review_id") -> DataFrame:
     """A sample of ``cap`` rows per group in a seeded pseudo-random order (the sample is the feature).
 
-    The order is a SHA-256 of (key, seed), so the sample is reproducible.  Ranks
-    within parts of a group come first, so a huge group is dealt over tasks and
-    at most ``cap`` rows of each part are ranked against each other.  Spark limits
-    caps up to its group-limit threshold (1,000 unless set) before the shuffle as well.
+    The order is a SHA-256 of (key, seed), so the sample is reproducible.  The
+    hash of each group's ``cap``-th row is found by two counting passes over
+    16 bits of the hash each; rows below it are taken by a filter.  Only rows
+    that share all 32 bits with it are ranked, one in four thousand million of
+    a group, so no task ranks a group however large it is.
     """
-    k = F.sha2(F.concat(F.col(key), F.lit(f"|{seed}")), 256)
-    first = lambda rows, *group: rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*group).orderBy(k, key))) \
-        .where(F.col("_rn") <= cap).drop("_rn")
-    parts = df.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(64)))
-    return first(first(parts, by, "_part"), by).drop("_part")
+    rows = df.withColumn("_k", F.sha2(F.concat(F.col(key), F.lit(f"|{seed}")), 256))
+    rows = rows.withColumns({f"_d{i}": F.conv(F.substring("_k", 1 + 4 * i, 4), 16, 10).cast("int") for i in (0, 1)})
+    group = F.col(by).alias("_by")
+    high = _crossing(rows.groupBy(group, F.col("_d0").alias("_cell")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_need", F.lit(cap)))
+    high = high.select("_by", F.col("_cell").alias("_c0"), F.col("_left").alias("_need"))
+    inside = rows.join(high, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_d0") == F.col("_c0")))
+    low = _crossing(inside.groupBy("_by", "_c0", F.col("_d1").alias("_cell"), "_need").agg(F.count(F.lit(1)).alias("_n")))
+    cut = low.select("_by", "_c0", F.col("_cell").alias("_c1"), "_left")
+    placed = rows.join(cut, F.col(by).eqNullSafe(F.col("_by")), "left")
+    at = F.struct("_d0", "_d1")
+    edge = F.struct(F.col("_c0").alias("_d0"), F.col("_c1").alias("_d1"))
+    below = placed.where(F.col("_c0").isNull() | (at < edge))
+    order = Window.partitionBy(by).orderBy("_k", key)
+    on_edge = placed.where(at == edge).withColumn("_rn", F.row_number().over(order)) \
+        .where((F.col("_rn") <= cap) & (F.col("_rn") <= F.col("_left")))
+    return below.select(*df.columns).unionByName(on_edge.select(*df.columns))
+
+
+def _crossing(counts: DataFrame) -> DataFrame:
+    """Of every group the cell in which its ``_need``-th row lies, and how many of that cell's rows are needed (``_left``).
+
+    Groups with fewer rows have none.  A group has at most 65,536 cells.
+    """
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_by").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return counts.withColumn("_before", before).where("_before < _need AND _need <= _before + _n") \
+        .withColumn("_left", F.col("_need") - F.col("_before")).drop("_before", "_n", "_need")

@@ -298,6 +298,21 @@ def shifted_events(events: DataFrame) -> DataFrame:
     return e.withColumn("ts", ts - shift).drop("_d")
 
 
+def raw_window(lo: dt.datetime, hi: dt.datetime) -> tuple[dt.datetime, dt.datetime]:
+    """Bounds of the raw times of all events that ``shifted_events`` moves into [lo, hi).
+
+    A user's history is moved by less than ``USER_SHIFT_MODULUS`` days, that of
+    some users after it was compressed.
+    """
+    shift = dt.timedelta(days=USER_SHIFT_MODULUS)
+    lo, hi = lo - shift, hi + shift
+    start = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=HISTORY_START_US)
+    cutoff = dt.datetime.fromisoformat(NEW_USER_CUTOFF)
+    stretched = [start + (t - cutoff) * HISTORY_DAYS / NEW_USER_SPAN_DAYS for t in (lo, hi)]
+    second = dt.timedelta(seconds=1)  # the compression rounds
+    return min(lo, stretched[0]) - second, max(hi, stretched[1]) + second
+
+
 def user_sessions(events: DataFrame, gap_minutes: int) -> DataFrame:
     """Sessions of the shifted user history (input of U6 and U7)."""
     return sessions(shifted_events(events), gap_minutes)
@@ -347,10 +362,15 @@ def user_engagement_metrics(events: DataFrame, as_of: dt.date, gap_minutes: int,
 
 def user_engagement_metrics_from(user_sess: DataFrame, events: DataFrame, as_of: dt.date,
                                  days: int = 30) -> DataFrame:
-    """U7 from the user sessions plus the distinct features clicked in the window."""
-    ev = shifted_events(events)
+    """U7 from the user sessions plus the distinct features clicked in the window.
+
+    The shift of a user's history moves no event by more than a known time, so
+    the window bounds the raw ``ts`` as well, which reaches the scan.
+    """
     lo = dt.datetime.combine(as_of - dt.timedelta(days=days - 1), dt.time())
     hi = dt.datetime.combine(as_of + dt.timedelta(days=1), dt.time())
+    raw_lo, raw_hi = raw_window(lo, hi)
+    ev = shifted_events(events.where((F.col("ts") >= ntz_lit(raw_lo)) & (F.col("ts") < ntz_lit(raw_hi))))
     s = (user_sess
          .where((F.col("session_start") >= ntz_lit(lo))
                 & (F.col("session_start") < ntz_lit(hi)))

@@ -7,6 +7,7 @@ import datetime as dt
 from ..operators import feeds as V
 from ..operators import quality as Q
 from ..operators import stats, transform
+from ..operators.warehouse import models as M
 from . import reviews, warehouse as W
 
 CHECK_DAY = dt.date(1998, 6, 30)
@@ -45,8 +46,9 @@ def revenue_consistency(spark, d):
 
 def run_summary(spark, d):
     ms = models(spark, d)
-    ms["int_daily_unified_metrics"] = W.unified_daily(spark, d)
-    ms["fct_unified_business_kpis"] = W.business_kpis(spark, d)
+    unified = W.unified_table(spark, d)
+    ms["int_daily_unified_metrics"] = unified
+    ms["fct_unified_business_kpis"] = M.business_kpis(unified, W.P)
     return Q.run_summary(ms, Q.DECLARED_TESTS)
 
 
@@ -71,7 +73,7 @@ QUERIES = {
     ).select("review_id", "sentiment", "rating", "length_category", "ingestion_timestamp"),
     "drill_down": lambda s, d: V.drill_down(reviews.analyzed(s, d)),
     "kpi_weekly": lambda s, d: V.kpi_weekly(reviews.analyzed(s, d)),
-    "capped_sample": lambda s, d: V.capped_sample(reviews.analyzed(s, d), "sentiment", cap=500).select(
+    "capped_sample": lambda s, d: V.capped_sample(reviews.analyzed(s, d), "sentiment", cap=5000).select(
         "review_id", "sentiment", "rating"),
     "scatter_sample": lambda s, d: V.scatter_sample(reviews.analyzed(s, d)),
     "scatter_grid": lambda s, d: V.scatter_grid(reviews.analyzed(s, d)),

@@ -84,6 +84,12 @@ def unified_daily(spark, d):
                            stg_engagement(spark, d))
 
 
+def unified_table(spark, d):
+    """The unified daily metrics as a written table, for consumers that read them more than once."""
+    return materialized(spark, "int_daily_unified_metrics", _paths(d, "lineitem", "orders", "customer", "nation", "part", "events"),
+                        lambda: unified_daily(spark, d))
+
+
 def business_kpis(spark, d):
     return M.business_kpis(unified_daily(spark, d), P)
 

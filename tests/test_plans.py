@@ -54,6 +54,20 @@ def test_the_sample_takes_five_thousand_of_a_group(spark):
     assert {r.review_id for r in sample.where("sentiment = 'Positive'").collect()} == set(map(str, sorted(range(7_000), key=order)[:5_000]))
 
 
+def test_the_sample_is_exact_at_any_cap(spark):
+    rows = spark.range(3_000).selectExpr("cast(id AS string) AS review_id", "element_at(array('a', 'b', null), int(id % 7 % 3) + 1) AS g")
+    got = {}
+    for cap in (1, 7, 400, 5_000):
+        for r in V.capped_sample(rows, "g", cap=cap).collect():
+            got.setdefault((cap, r.g), set()).add(r.review_id)
+    for cap, g in got:
+        ids = [str(i) for i in range(3_000) if ("a", "b", None)[i % 7 % 3] == g]
+        assert got[cap, g] == set(sorted(ids, key=lambda i: hashlib.sha256(f"{i}|42".encode()).hexdigest())[:cap])
+    assert len(got) == 12
+    repeated = spark.range(50).selectExpr("'same' AS review_id", "'a' AS g", "id")
+    assert V.capped_sample(repeated, "g", cap=20).count() == 20
+
+
 def test_small_sides_are_broadcast(spark):
     # bounded by construction (days of the parameter range): hinted
     assert "BroadcastHashJoin" in _plan(W.unified_daily(spark, SF_SMALL))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -52,18 +53,18 @@ def test_sessions_match_brute_force_with_hot_user(spark):
         assert got == _brute_sessions(rows, 720)
 
 
-def test_sessions_with_buckets_much_smaller_than_the_gap(spark):
+def test_sessions_with_any_number_of_ranges(spark):
     rows = _random_rows(4, n=300)
-    for bucket in (7, 1440):
+    for ranges in (1, 3, 40, 200):
         got = {(r.user_id, r.session_start, r.n_events)
-               for r in S.sessions(_events(spark, rows), 720, bucket_minutes=bucket).collect()}
+               for r in S.sessions(_events(spark, rows), 720, ranges=ranges).collect()}
         assert got == _brute_sessions(rows, 720)
 
 
 def test_per_event_session_ids_agree_with_sessions(spark):
     rows = _random_rows(6, n=250)
     ev = _events(spark, rows)
-    per_event = S.sessionize(ev, 720, bucket_minutes=30).groupBy("user_id", "session_start_us").count()
+    per_event = S.sessionize(ev, 720, ranges=25).groupBy("user_id", "session_start_us").count()
     got = {(r.user_id, r["count"]) for r in per_event.collect()}
     want = {(u, n) for u, _, n in _brute_sessions(rows, 720)}
     assert got == want
@@ -108,3 +109,34 @@ def test_attribution_weights_sum_to_conversions(spark):
     assert out["view"].first_touch_conversions == 1 and out["click"].last_touch_conversions == 1
     assert out["signup"].first_touch_conversions == 1 and out["signup"].last_touch_conversions == 1
     assert abs(out["view"].avg_time_to_conversion_days - 2 / 24) < 1e-6
+
+
+def test_ranges_of_a_dense_user(spark):
+    """A user with a third of all events inside one hour, many at the same time: tasks stay even, rows are right."""
+    random.seed(8)
+    dense = [(i, BASE + dt.timedelta(hours=30, milliseconds=random.choice([0, 1, 2, 1800, 3599]) * 1000), 3,
+              random.choice(["view", "click", "purchase"]), 1.0, None) for i in range(3000)]
+    rest = [(10_000 + i, BASE + dt.timedelta(minutes=random.randrange(60 * 24 * 20)), random.randrange(4, 90),
+             random.choice(["view", "click", "purchase"]), 1.0, None) for i in range(6000)]
+    ev = _events(spark, dense + rest).repartition(4)
+    cut = S.ranged(ev, "user_id", "ts", "event_id", 12)
+    sizes = [r["count"] for r in cut.groupBy("_b").count().collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 9000 / 48 * 2
+    windows = [r["count"] for r in cut.groupBy("user_id", "_b").count().collect()]  # what one window task must hold together
+    assert max(windows) < 9000 / 48 * 2
+    got = {(r.user_id, r.session_start, r.n_events) for r in S.sessions(ev, 30, ranges=12).collect()}
+    assert got == _brute_sessions(dense + rest, 30)
+    flagged = ev.withColumn("flag", F.col("event_type") == "purchase")
+    counts = {r.event_id: r.prior_count for r in S.running_count(flagged, "flag", ranges=12).collect()}
+    seen, want = {}, {}
+    for i, _, u, kind, _, _ in sorted(dense + rest, key=lambda r: (r[1], r[0])):
+        want[i] = seen.get(u, 0)
+        seen[u] = want[i] + (kind == "purchase")
+    assert counts == want
+
+
+def test_events_without_a_user(spark):
+    rows = [(1, BASE, None, "view", 0.0, None), (2, BASE + dt.timedelta(minutes=5), None, "view", 0.0, None),
+            (3, BASE, 1, "view", 0.0, None), (4, BASE + dt.timedelta(minutes=5), 1, "view", 0.0, None)]
+    got = Counter((r.user_id, r.n_events) for r in S.sessions(_events(spark, rows), 30, ranges=2).collect())
+    assert got == {(None, 1): 2, (1, 2): 1}
