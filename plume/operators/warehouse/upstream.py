@@ -59,40 +59,67 @@ def _revenue() -> Column:
     return F.col("l_extendedprice") * (1 - F.col("l_discount"))
 
 
+# ---- U1, U2: one join of line items and orders --------------------------------
+
+def order_lines(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Line items with what both daily sources need of their order and its customer.
+
+    Customers are joined to orders first, the smaller side.  Written once, each
+    source's grains are plain aggregations over a few of its columns, and
+    neither source joins orders again.  Orders of unknown customers keep their
+    lines, with ``known_customer`` false.
+    """
+    o = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_day"))
+    c = customer.select("c_custkey", "c_mktsegment", "c_nationkey")
+    sides = o.join(c, o["o_custkey"] == c["c_custkey"], "left")
+    li = lineitem.select("l_orderkey", "l_partkey", F.to_date("l_shipdate").alias("ship_day"), _revenue().alias("rev"),
+                         "l_extendedprice", "l_quantity")
+    return li.join(sides, li["l_orderkey"] == sides["o_orderkey"]).select(
+        "order_day", "ship_day", "l_partkey", "c_nationkey", "c_mktsegment", F.col("c_custkey").isNotNull().alias("known_customer"),
+        "rev", "l_extendedprice", "l_quantity")
+
+
+def _day_range(column: str, start: dt.date | None, end: dt.date | None) -> Column:
+    cond = F.lit(True)
+    if start is not None:
+        cond = cond & (F.col(column) >= F.lit(start))
+    if end is not None:
+        cond = cond & (F.col(column) <= F.lit(end))
+    return cond
+
+
 # ---- U1 ---------------------------------------------------------------------
 
 def daily_sales(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nation: DataFrame,
-                part: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+                part: DataFrame, start: dt.date | None = None, end: dt.date | None = None,
+                lines: DataFrame | None = None) -> DataFrame:
     """One row per order date.
 
     Orders, customers and deliveries count orders placed that day; revenue
-    and items come from their line items.  Top category / state are chosen
-    from (day, part) and (day, customer) pre-aggregates, so the dimension
-    joins see a small grain instead of line items.
+    and items come from their line items (``lines``: the written
+    ``order_lines``, made here if not given).  Top category / state are chosen
+    from (day, part) and (day, nation) pre-aggregates, so the dimension joins
+    see a small grain instead of line items.
     """
     o = (orders.where(_ts_range("o_orderdate", start, end))
                .select("o_orderkey", "o_custkey", "o_orderstatus",
                        F.to_date("o_orderdate").alias("date_key")))
-    li = lineitem.select("l_orderkey", "l_partkey", _revenue().alias("rev"), "l_quantity")
-    lo = li.join(o.select("o_orderkey", "o_custkey", "date_key"), li.l_orderkey == o.o_orderkey)
+    if lines is None:
+        lines = shared(order_lines(lineitem, orders.where(_ts_range("o_orderdate", start, end)), customer))
+    lines = lines.where(_day_range("order_day", start, end)).withColumn("date_key", F.col("order_day"))
     day_o = o.groupBy("date_key").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.countDistinct("o_custkey").alias("unique_customers"),
         F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("delivered_orders"))
-    # One pass over the line-item join: (day, part) and (day, customer) grains
-    # from a single grouping-sets aggregation, kept once for the three users.
-    grains = shared(lo.groupingSets([["date_key", "l_partkey"], ["date_key", "o_custkey"]],
-                                    "date_key", "l_partkey", "o_custkey")
-                      .agg(F.sum("rev").alias("rev"), F.sum("l_quantity").alias("items"),
-                           F.grouping_id().alias("_set")))
-    by_part = grains.where(F.col("_set") == 1).select("date_key", "l_partkey", "rev")
-    by_cust = grains.where(F.col("_set") == 2).select("date_key", "o_custkey", "rev", "items")
-    day_li = by_cust.groupBy("date_key").agg(F.sum("rev").alias("revenue"), F.sum("items").alias("items"))
+    by_part = lines.groupBy("date_key", "l_partkey").agg(F.sum("rev").alias("rev"))
+    # days x nations, read for the day's totals and for its top state
+    by_nation = shared(lines.groupBy("date_key", "c_nationkey", "known_customer")
+                       .agg(F.sum("rev").alias("rev"), F.sum("l_quantity").alias("items")))
+    day_li = by_nation.groupBy("date_key").agg(F.sum("rev").alias("revenue"), F.sum("items").alias("items"))
     cat = (by_part.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
                   .groupBy("date_key", "p_type").agg(F.sum("rev").alias("rev")))
-    state = (by_cust.join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
-                    .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
-                    .groupBy("date_key", "n_name").agg(F.sum("rev").alias("rev")))
+    state = (by_nation.where("known_customer").join(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
+                      .groupBy("date_key", "n_name").agg(F.sum("rev").alias("rev")))
     top_cat = _top_per_day(cat, "p_type", "rev", "top_product_category")
     top_state = _top_per_day(state, "n_name", "rev", "top_state")
     d = (day_o.join(day_li, "date_key", "left").join(top_cat, "date_key", "left")
@@ -111,22 +138,16 @@ def daily_sales(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nat
 
 # ---- U2 ---------------------------------------------------------------------
 
-def _channel_lines(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Line items with the market segment of the ordering customer as channel."""
-    oc = (orders.select("o_orderkey", "o_custkey")
-                .join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey"))
-    return lineitem.join(oc, lineitem.l_orderkey == oc.o_orderkey)
-
-
 def daily_marketing(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
-                    start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """One row per ship date; campaign = part key mod 40, channel = segment."""
-    li = lineitem.where(_ts_range("l_shipdate", start, end))
-    lines = _channel_lines(li, orders, customer)
-    date_key = F.to_date("l_shipdate")
-    grain = (lines.select(
+                    start: dt.date | None = None, end: dt.date | None = None,
+                    lines: DataFrame | None = None) -> DataFrame:
+    """One row per ship date; campaign = part key mod 40, channel = segment (``lines`` as in U1)."""
+    if lines is None:
+        lines = order_lines(lineitem.where(_ts_range("l_shipdate", start, end)), orders, customer)
+    date_key = F.col("ship_day")
+    grain = (lines.where(_day_range("ship_day", start, end) & F.col("known_customer")).select(
                 date_key.alias("date_key"), (F.col("l_partkey") % CAMPAIGNS).alias("campaign"),
-                F.col("c_mktsegment").alias("channel"), _revenue().alias("rev"),
+                F.col("c_mktsegment").alias("channel"), "rev",
                 (F.lit(0.1) * F.col("l_extendedprice") * (1 + day_number(date_key) % 10)).alias("spend"),
                 "l_quantity")
              .groupBy("date_key", "campaign", "channel").agg(

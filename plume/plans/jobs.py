@@ -75,10 +75,13 @@ def run_warehouse(spark: SparkSession, sf_dir: str, out: str, params=FIXTURE,
     # the user history is sessionized once and feeds profiles and 30-day metrics
     io.export_parquet(U.user_sessions(t.events, params.session_gap_minutes), f"{out}/sources/user_sessions")
     user_sess = spark.read.parquet(f"{out}/sources/user_sessions")
+    # line items are joined with their orders once, for sales and marketing
+    io.export_parquet(U.order_lines(t.lineitem, t.orders, t.customer), f"{out}/sources/order_lines")
+    lines = spark.read.parquet(f"{out}/sources/order_lines")
     # sources: built from the facts and exported as Parquet, then read back
     exports = {
-        "ext_redshift_daily_sales": U.daily_sales(t.orders, t.lineitem, t.customer, t.nation, t.part),
-        "ext_bigquery_marketing_daily": U.daily_marketing(t.lineitem, t.orders, t.customer),
+        "ext_redshift_daily_sales": U.daily_sales(t.orders, t.lineitem, t.customer, t.nation, t.part, lines=lines),
+        "ext_bigquery_marketing_daily": U.daily_marketing(t.lineitem, t.orders, t.customer, lines=lines),
         "daily_product_engagement": U.daily_engagement(t.events, params.session_gap_minutes),
         "ext_bigquery_campaigns": U.campaign_performance(t.lineitem, params),
         "ext_bigquery_attribution": U.channel_attribution(t.events),

@@ -7,6 +7,8 @@ bucketed windows; both must give the same rows.
 
 from __future__ import annotations
 
+import re
+
 from ..params import FIXTURE as P
 from .oracle_reviews import rnd
 
@@ -310,6 +312,19 @@ attribution AS (
     CAST(touches AS DOUBLE) AS attribution_weight_total
   FROM at_g)"""
 
+
+def _touch_model(model: str, touch: str) -> str:
+    """The attribution blocks for a model that gives all to one touch; names get the model's in front."""
+    text = ATTRIBUTION.replace("1.0 / n_touch AS w, conv_value / n_touch AS rv", f"CASE WHEN {touch} THEN 1.0 ELSE 0.0 END AS w, "
+                               f"CASE WHEN {touch} THEN conv_value ELSE 0.0 * conv_value END AS rv").replace("'linear'", f"'{model}'")
+    for name in ("at_e", "at_conv", "at_touch", "at_t", "at_g"):
+        text = re.sub(rf"\b{name}\b", f"{model}_{name}", text)
+    return text.replace("\nattribution AS", f"\n{model} AS")
+
+
+ATTRIBUTION_MODELS = """
+attribution_models AS (SELECT * FROM first_touch UNION ALL SELECT * FROM last_touch)"""
+
 CHANNEL_SUMMARY = f"""
 channel_summary AS (
   SELECT *,
@@ -516,6 +531,7 @@ _BLOCKS = {
     "campaigns": [CAMPAIGNS],
     "campaign_summary": [CAMPAIGNS, CAMPAIGN_SUMMARY],
     "attribution": [ATTRIBUTION],
+    "attribution_models": [_touch_model("first_touch", "is_first"), _touch_model("last_touch", "is_last"), ATTRIBUTION_MODELS],
     "channel_summary": [ATTRIBUTION, CHANNEL_SUMMARY],
     "monthly_trends": [DAILY_MARKETING, STG_MARKETING, MONTHLY],
     "user_profiles": [PROFILES],

@@ -28,17 +28,25 @@ def _paths(d: str, *names: str) -> list[str]:
     return [f"{d.rstrip('/')}/{n}.parquet" for n in names]
 
 
+def order_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The one join of line items, orders and customers, written once for both daily sources."""
+    t = _t(spark, d)
+    return materialized(spark, "order_lines", _paths(d, "orders", "lineitem", "customer"),
+                        lambda: U.order_lines(t.lineitem, t.orders, t.customer))
+
+
 def daily_sales(spark: SparkSession, d: str) -> DataFrame:
     """``ext_redshift_daily_sales``: exported once as Parquet, then read."""
     t = _t(spark, d)
     return materialized(spark, "ext_daily_sales", _paths(d, "orders", "lineitem", "customer", "nation", "part"),
-                        lambda: U.daily_sales(t.orders, t.lineitem, t.customer, t.nation, t.part))
+                        lambda: U.daily_sales(t.orders, t.lineitem, t.customer, t.nation, t.part,
+                                              lines=order_lines(spark, d)))
 
 
 def daily_marketing(spark, d):
     t = _t(spark, d)
     return materialized(spark, "ext_daily_marketing", _paths(d, "lineitem", "orders", "customer"),
-                        lambda: U.daily_marketing(t.lineitem, t.orders, t.customer))
+                        lambda: U.daily_marketing(t.lineitem, t.orders, t.customer, lines=order_lines(spark, d)))
 
 
 def sessions(spark, d):
@@ -104,6 +112,12 @@ def attribution(spark, d):
                         lambda: U.channel_attribution(_t(spark, d).events))
 
 
+def attribution_models(spark, d):
+    """U5 by the first and by the last touch."""
+    events = _t(spark, d).events
+    return U.channel_attribution(events, "first_touch").unionByName(U.channel_attribution(events, "last_touch"))
+
+
 def dim_marketing(spark, d):
     return M.dim_marketing(campaigns(spark, d), attribution(spark, d), stg_marketing(spark, d), P)
 
@@ -183,6 +197,7 @@ QUERIES = {
     "campaign_percentiles": lambda s, d: M.campaign_percentiles(campaigns(s, d)),
     "part_revenue_ranks": part_revenue_ranks,
     "attribution": attribution,
+    "attribution_models": attribution_models,
     "channel_summary": lambda s, d: M.channel_summary(attribution(s, d)),
     "monthly_trends": lambda s, d: M.monthly_trends(stg_marketing(s, d)),
     "dim_marketing": dim_marketing,

@@ -3,6 +3,8 @@
 import datetime as dt
 import hashlib
 
+from pyspark.sql import functions as F
+
 from plume.operators import analysis as A
 from plume.operators import feeds as V
 from plume.operators import transform
@@ -35,6 +37,39 @@ def test_date_range_reaches_parquet_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in p and "LessThan(o_orderdate,1" in p
 
 
+def test_daily_sources_share_one_join(spark):
+    t = Tables(spark, SF_SMALL)
+    lines = W.order_lines(spark, SF_SMALL)
+    joined = _plan(U.order_lines(t.lineitem, t.orders, t.customer))
+    assert joined.count("l_extendedprice:double") == 1 and "Expand" not in joined
+    for df in (U.daily_sales(t.orders, t.lineitem, t.customer, t.nation, t.part, lines=lines),
+               U.daily_marketing(t.lineitem, t.orders, t.customer, lines=lines)):
+        assert "l_orderkey" not in _plan(df)  # neither source joins line items again
+
+
+def test_daily_sources_of_some_days(spark):
+    t = Tables(spark, SF_SMALL)
+    some = (dt.date(1996, 1, 1), dt.date(1996, 3, 31))
+    lines = W.order_lines(spark, SF_SMALL)
+    for fn, args in ((U.daily_sales, (t.orders, t.lineitem, t.customer, t.nation, t.part)), (U.daily_marketing, (t.lineitem, t.orders, t.customer))):
+        alone, given = ({tuple(r) for r in fn(*args, *some, lines=x).collect()} for x in (None, lines))
+        whole = {tuple(r) for r in fn(*args).collect()}
+        assert alone == given == {r for r in whole if some[0] <= r[0] <= some[1]} and len(alone) > 20
+
+
+def test_window_bounds_reach_the_events_scan(spark):
+    events = Tables(spark, SF_SMALL).events
+    as_of = dt.date(2024, 1, 31)
+    p = _plan(U.user_engagement_metrics(events, as_of, 720, days=1))
+    assert "GreaterThanOrEqual(ts," in p and "LessThan(ts," in p
+    lo, hi = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12)
+    raw_lo, raw_hi = U.raw_window(lo, hi)
+    moved = events.withColumnRenamed("ts", "raw").withColumn("ts", F.col("raw"))
+    inside = U.shifted_events(moved).where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+    low, high, n = inside.agg(F.min("raw"), F.max("raw"), F.count("*")).collect()[0]
+    assert n > 0 and raw_lo <= low and high < raw_hi
+
+
 def test_rank_limit_is_applied_before_the_shuffle(spark):
     p = _optimized(A.alignment_examples(reviews.analyzed(spark, SF_SMALL)))
     assert "WindowGroupLimit" in p
