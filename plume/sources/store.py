@@ -196,6 +196,16 @@ def release_shared(spark: SparkSession) -> None:
         remove_folder(spark, _SHARED.pop())
 
 
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the complete ``version=<n>`` folders, ascending (folder listings only)."""
+    p, fs = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    found = [int(n.split("=")[1]) for n in names if n.startswith("version=")]
+    return sorted(v for v in found if _exists(spark, f"{folder}/version={v}/_SUCCESS"))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Even out the partitions of a CPU-heavy stage's input by size (a REBALANCE hint, whatever the input)."""
     return df.hint("rebalance")

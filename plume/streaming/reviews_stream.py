@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import epoch_micros, rnd
 from ..operators import ingest
+from ..sources.store import remove_folder, versions
 
 KEY = ["review_text", "rating", "sentiment"]
 
@@ -65,35 +66,49 @@ def stream_dedup(reviews: DataFrame, delay: str = "1 day") -> DataFrame:
                    .dropDuplicatesWithinWatermark(hashed).drop("text_sha256"))
 
 
-def upsert_batches(sink: str, spikes_sink: str | None = None):
-    """foreachBatch writer: each micro-batch's updated rows go to their own
-    ``batch_id`` partition (dynamic overwrite, so a replayed batch replaces
-    itself); ``latest_counts`` reads the newest value per key.  With
-    ``spikes_sink`` the negative-share spike flags (ST3) are recomputed after
-    every batch from the current counts and written as that batch's version."""
+WINDOW_KEYS = ("window_start", "window_end", "sentiment")
+KEPT_VERSIONS = 3
+
+
+def upsert_batches(sink: str, spikes_sink: str | None = None, keys: tuple[str, ...] = WINDOW_KEYS, value: str = "reviews"):
+    """foreachBatch writer of a compacted, versioned count table.
+
+    A micro-batch merges its updated rows into the newest version before its
+    own and writes the result as ``version=<batch id>``: it reads one row per
+    key and its own rows, however many batches went before.  A replayed batch
+    starts from the same predecessor and overwrites its version, so it gives
+    the same one.  The last ``KEPT_VERSIONS`` stay, for replays and readers.
+    With ``spikes_sink`` the negative-share flags (ST3) of the new version are
+    written as a version of their own.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(sink))
+        spark = batch.sparkSession
+        earlier = [v for v in versions(spark, sink) if v < batch_id]
+        rows = batch.select(*keys, value, F.lit(1).alias("_new"))
+        if earlier:
+            rows = rows.unionByName(_version(spark, sink, earlier[-1]).select(*keys, value, F.lit(0).alias("_new")))
+        rows.groupBy(*keys).agg(F.max_by(value, "_new").alias(value)).write.mode("overwrite").parquet(f"{sink}/version={batch_id}")
         if spikes_sink:
-            (negative_spikes(latest_counts(batch.sparkSession, sink))
-             .withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(spikes_sink))
+            negative_spikes(_version(spark, sink, batch_id)).write.mode("overwrite").parquet(f"{spikes_sink}/version={batch_id}")
+        for v in earlier[:1 - KEPT_VERSIONS]:
+            for folder in filter(None, (sink, spikes_sink)):
+                remove_folder(spark, f"{folder}/version={v}")
     return write
 
 
+def _version(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
+    """A version of the table in ``folder``, by default the newest complete one."""
+    return spark.read.parquet(f"{folder}/version={versions(spark, folder)[-1] if version is None else version}")
+
+
 def latest_spikes(spark: SparkSession, spikes_sink: str) -> DataFrame:
     """The spike flags as of the newest completed micro-batch."""
-    df = spark.read.parquet(spikes_sink)
-    newest = df.agg(F.max("batch_id").alias("_m"))
-    return df.join(F.broadcast(newest), F.col("batch_id") == F.col("_m")).drop("batch_id", "_m")
+    return _version(spark, spikes_sink)
 
 
-def latest_counts(spark: SparkSession, sink: str, keys=("window_start", "window_end", "sentiment"),
-                  value: str = "reviews") -> DataFrame:
-    df = spark.read.parquet(sink)
-    return df.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
+def latest_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """The window counts as of the newest completed micro-batch."""
+    return _version(spark, sink)
 
 
 def run_sentiment_windows(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str,

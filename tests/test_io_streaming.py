@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plume.operators import ingest
 from plume.sources import io
+from plume.sources.store import versions
 from plume.streaming import reviews_stream as S
 from plume.plans.streaming_queries import SOURCE_SCHEMA
 
@@ -70,6 +71,44 @@ def test_stream_windows_drop_late_rows(spark, tmp_dir):
     assert spikes[20].negative_share == 0.333333 and spikes[10].negative == 1
 
 
+def _counts(spark, rows):
+    t = lambda day: f"TIMESTAMP_NTZ'2024-01-{day:02d} 00:00:00'"
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT {t(d)} AS window_start, {t(d + 1)} AS window_end, '{s}' AS sentiment, CAST({n} AS BIGINT) AS reviews" for d, s, n in rows))
+
+
+def test_a_batch_reads_its_predecessor_only(spark, tmp_dir):
+    sink, spikes = f"{tmp_dir}/counts", f"{tmp_dir}/spikes"
+    write = S.upsert_batches(sink, spikes)
+    want, sizes = {}, []
+    for b in range(12):
+        rows = [(1 + b % 5, "Negative", 10 * b + 1), (20, "Positive", b + 1)]
+        want.update({(d, s): n for d, s, n in rows})
+        write(_counts(spark, rows), b)
+        assert {(r.window_start.day, r.sentiment): r.reviews for r in S.latest_counts(spark, sink).collect()} == want
+        files = [os.path.join(p, f) for p, _, fs in os.walk(sink) for f in fs if f.endswith(".parquet")]
+        sizes.append(sum(map(os.path.getsize, files)))
+    # what a batch can read is a few versions, and does not grow with the number of batches
+    assert versions(spark, sink) == versions(spark, spikes) == [9, 10, 11]
+    assert max(sizes[6:]) <= 1.2 * sizes[5]
+    assert {r.window_start.day: r.total for r in S.latest_spikes(spark, spikes).collect()}[20] == 12
+
+
+def test_a_replayed_batch_gives_the_same_version(spark, tmp_dir):
+    sink = f"{tmp_dir}/counts"
+    write = S.upsert_batches(sink)
+    rows = lambda: {tuple(r) for r in S.latest_counts(spark, sink).collect()}
+    write(_counts(spark, [(1, "Negative", 5), (2, "Positive", 7)]), 0)
+    write(_counts(spark, [(1, "Negative", 6)]), 1)
+    once = rows()
+    write(_counts(spark, [(1, "Negative", 6)]), 1)
+    assert rows() == once and len(once) == 2
+    os.remove(f"{sink}/version=1/_SUCCESS")  # a batch that was cut off: its version is not read, and written again
+    assert {r[3] for r in rows()} == {5, 7}
+    write(_counts(spark, [(1, "Negative", 6)]), 1)
+    assert rows() == once
+
+
 def test_stream_dedup_keeps_first(spark, tmp_dir):
     d = lambda day: dt.datetime(2024, 1, day)
     b1 = [(1, "same text", "Positive", "5", "first", d(1))]
