@@ -136,6 +136,11 @@ def daily_sales(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nat
         rnd(safe_div(F.col("delivered_orders") * 100.0, "total_orders"), 6).alias("delivery_performance_score"))
 
 
+DAILY_SALES_COLUMNS = [
+    "date_key", "total_orders", "total_revenue", "total_items_sold", "unique_customers", "avg_order_value", "avg_items_per_order",
+    "top_product_category", "top_state", "delivered_orders", "delivery_performance_score"]
+
+
 # ---- U2 ---------------------------------------------------------------------
 
 def daily_marketing(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,

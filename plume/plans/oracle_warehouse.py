@@ -579,3 +579,9 @@ SELECT part_key, revenue_cents,
   CAST(row_number() OVER (ORDER BY revenue_cents DESC, part_key) AS INTEGER) AS revenue_rank,
   round(percent_rank() OVER (ORDER BY revenue_cents), 6) AS revenue_percentile
 FROM revenue"""
+
+SQL["daily_sales_rebuilt"] = "WITH changed_lines AS (" + """
+SELECT * REPLACE (CASE WHEN CAST(o_orderdate AS DATE) = (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)
+                       THEN 2 * l_quantity ELSE l_quantity END AS l_quantity)
+FROM lineitem JOIN (SELECT o_orderkey AS l_orderkey, o_orderdate FROM orders) USING (l_orderkey)),""" \
+    + re.sub(r"\blineitem\b", "changed_lines", DAILY_SALES) + "\nSELECT * FROM daily_sales"

@@ -6,6 +6,7 @@ lazy; every query is one plan from the Parquet scans.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import percent_rank_distributed, row_number_distributed
 from ..operators.warehouse import models as M
 from ..operators.warehouse import upstream as U
+from ..operators.warehouse.incremental import refresh_days
 from ..params import FIXTURE
-from ..sources.store import materialized, shared
+from ..sources.store import materialized, shared, table_root
 from ..sources.tables import Tables
 
 P = FIXTURE
@@ -43,6 +45,25 @@ def daily_sales(spark: SparkSession, d: str) -> DataFrame:
                                               lines=order_lines(spark, d)))
 
 
+def refresh_daily_sales(orders: DataFrame, lines: DataFrame, customer: DataFrame, nation: DataFrame, part: DataFrame,
+                        target: str) -> DataFrame:
+    """U1 as a table partitioned by day, of which only the days with changed orders or lines are built."""
+    inputs = {"orders": (orders.withColumn("order_day", F.to_date("o_orderdate")), "order_day"), "lines": (lines, "order_day")}
+    return refresh_days(inputs, lambda i: U.daily_sales(i["orders"], None, customer, nation, part, lines=i["lines"]), target,
+                        whole={"nation": nation, "part": part})
+
+
+def daily_sales_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """A full daily build, a change (the newest day's quantities are doubled) and a rebuild of that day alone."""
+    t, lines = _t(spark, d), order_lines(spark, d)
+    target = f"{table_root(spark)}/daily_sales_rebuilt/{uuid.uuid4().hex}"
+    refresh_daily_sales(t.orders, lines, t.customer, t.nation, t.part, target)
+    newest = t.orders.agg(F.to_date(F.max("o_orderdate")).alias("newest"))
+    changed = lines.crossJoin(F.broadcast(newest)).withColumn(
+        "l_quantity", F.col("l_quantity") * F.when(F.col("order_day") == F.col("newest"), 2).otherwise(1)).drop("newest")
+    return refresh_daily_sales(t.orders, changed, t.customer, t.nation, t.part, target).select(*U.DAILY_SALES_COLUMNS)
+
+
 def daily_marketing(spark, d):
     t = _t(spark, d)
     return materialized(spark, "ext_daily_marketing", _paths(d, "lineitem", "orders", "customer"),
@@ -183,6 +204,7 @@ def part_revenue_ranks(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "daily_sales": daily_sales,
+    "daily_sales_rebuilt": daily_sales_rebuilt,
     "daily_marketing": daily_marketing,
     "sessions": sessions,
     "daily_engagement": daily_engagement,
