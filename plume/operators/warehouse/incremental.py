@@ -62,7 +62,8 @@ def refresh_days(inputs: dict[str, tuple[DataFrame, str]], build: Callable[[dict
     changed = shared(changed.select(F.col("day").alias("_changed")))
     of_days = {name: df.join(F.broadcast(changed), df[column].eqNullSafe(changed["_changed"]), "left_semi")
                for name, (df, column) in inputs.items()}
-    build(of_days).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(target)
+    # a day's rows come together, so a day has few files; AQE splits a day that is too large for a task
+    build(of_days).hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(target)
     now.write.mode("overwrite").parquet(f"{state}/version={(known or [-1])[-1] + 1}")
     for v in known[:-1]:
         remove_folder(spark, f"{state}/version={v}")

@@ -46,22 +46,31 @@ def daily_sales(spark: SparkSession, d: str) -> DataFrame:
 
 
 def refresh_daily_sales(orders: DataFrame, lines: DataFrame, customer: DataFrame, nation: DataFrame, part: DataFrame,
-                        target: str) -> DataFrame:
-    """U1 as a table partitioned by day, of which only the days with changed orders or lines are built."""
-    inputs = {"orders": (orders.withColumn("order_day", F.to_date("o_orderdate")), "order_day"), "lines": (lines, "order_day")}
-    return refresh_days(inputs, lambda i: U.daily_sales(i["orders"], None, customer, nation, part, lines=i["lines"]), target,
-                        whole={"nation": nation, "part": part})
+                        target: str, months: bool = False) -> DataFrame:
+    """U1 as a partitioned table, of which only the days with changed orders or lines are built.
+
+    ``months``: a partition (and what is built anew) is a month; one row a day
+    makes tiny files when a table has thousands of days.
+    """
+    slot = lambda c: F.trunc(F.to_date(c), "month") if months else F.to_date(c)
+    inputs = {"orders": (orders.withColumn("slot", slot("o_orderdate")), "slot"), "lines": (lines.withColumn("slot", slot("order_day")), "slot")}
+
+    def build(i: dict[str, DataFrame]) -> DataFrame:
+        days = U.daily_sales(i["orders"], None, customer, nation, part, lines=i["lines"])
+        return days.withColumn("month", slot("date_key")) if months else days
+
+    return refresh_days(inputs, build, target, "month" if months else "date_key", whole={"nation": nation, "part": part})
 
 
 def daily_sales_rebuilt(spark: SparkSession, d: str) -> DataFrame:
-    """A full daily build, a change (the newest day's quantities are doubled) and a rebuild of that day alone."""
+    """A full build, a change (the newest day's quantities are doubled) and a rebuild of that day's month alone."""
     t, lines = _t(spark, d), order_lines(spark, d)
     target = f"{table_root(spark)}/daily_sales_rebuilt/{uuid.uuid4().hex}"
-    refresh_daily_sales(t.orders, lines, t.customer, t.nation, t.part, target)
+    refresh_daily_sales(t.orders, lines, t.customer, t.nation, t.part, target, months=True)
     newest = t.orders.agg(F.to_date(F.max("o_orderdate")).alias("newest"))
     changed = lines.crossJoin(F.broadcast(newest)).withColumn(
         "l_quantity", F.col("l_quantity") * F.when(F.col("order_day") == F.col("newest"), 2).otherwise(1)).drop("newest")
-    return refresh_daily_sales(t.orders, changed, t.customer, t.nation, t.part, target).select(*U.DAILY_SALES_COLUMNS)
+    return refresh_daily_sales(t.orders, changed, t.customer, t.nation, t.part, target, months=True).select(*U.DAILY_SALES_COLUMNS)
 
 
 def daily_marketing(spark, d):
