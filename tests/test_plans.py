@@ -60,7 +60,12 @@ def test_daily_sources_of_some_days(spark):
 def test_window_bounds_reach_the_events_scan(spark):
     events = Tables(spark, SF_SMALL).events
     as_of = dt.date(2024, 1, 31)
-    p = _plan(U.user_engagement_metrics(events, as_of, 720, days=1))
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        p = _plan(U.user_engagement_metrics(events, as_of, 720, days=1))
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
     assert "GreaterThanOrEqual(ts," in p and "LessThan(ts," in p
     lo, hi = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12)
     raw_lo, raw_hi = U.raw_window(lo, hi)
