@@ -133,6 +133,32 @@ def run_suite(models: dict[str, DataFrame], tests: list[Test], with_counts: bool
                           .when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
 
 
+def stored_failures(models: dict[str, DataFrame], tests: list[Test], keep: dict[str, list[str]] | None = None) -> DataFrame:
+    """Model, column_name, test_name, failing, n_records for all tests, each model read once.
+
+    A row gives one record per row-level test that it fails (``failing`` is the
+    row as JSON, or its ``keep`` columns) and one per ``unique`` test (the
+    value as JSON; nulls are not tested).  Records are counted by their test
+    and content, so map tasks combine those of a hot value, and what a
+    ``unique`` test holds only once goes.  Equal failing rows are one record
+    with their number.
+    """
+    parts = []
+    for model in dict.fromkeys(t.model for t in tests):
+        df = models[model]
+        as_json = lambda columns: F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
+        whole = as_json((keep or {}).get(model) or df.columns)
+        records = [F.when(F.col(t.column).isNotNull() if t.test == "unique" else _fail_condition(t), F.struct(
+            F.lit(t.column).alias("column_name"), F.lit(t.test).alias("test_name"),
+            (as_json([t.column]) if t.test == "unique" else whole).alias("failing"))) for t in tests if t.model == model]
+        parts.append(df.select(F.lit(model).alias("model"), F.inline(F.array_compact(F.array(*records)))))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    counted = every.groupBy("model", "column_name", "test_name", "failing").agg(F.count(F.lit(1)).alias("n_records"))
+    return counted.where((F.col("test_name") != "unique") | (F.col("n_records") > 1))
+
+
 # ---- the project's 37 declared tests -------------------------------------------
 
 def _nn(m, c):

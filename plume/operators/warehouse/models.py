@@ -398,8 +398,8 @@ def snapshot_scd2(current: DataFrame, snapshot: DataFrame | None, key: str, upda
     open_v = snapshot.where(is_open)
     cur = current.select(F.col(key).alias("_k"), F.col(updated_at).alias("_u"))
     o = open_v.join(cur, open_v[key] == cur["_k"], "left")
-    changed = F.col("_u").isNotNull() & (F.col("_u") > F.col(updated_at))
-    still_open = o.where(~changed | F.col("_u").isNull()).select(*snapshot.columns)
+    changed = F.coalesce(F.col("_u") > F.col(updated_at), F.lit(False))  # a null time moves nothing
+    still_open = o.where(~changed).select(*snapshot.columns)
     closed = o.where(changed).withColumn("dbt_valid_to", F.col("_u")).select(*snapshot.columns)
     open_keys = open_v.select(F.col(key).alias("_k"), F.col(updated_at).alias("_old"))
     n = fresh.join(open_keys, fresh[key] == open_keys["_k"], "left")

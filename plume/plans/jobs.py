@@ -118,10 +118,9 @@ def run_warehouse(spark: SparkSession, sf_dir: str, out: str, params=FIXTURE,
     quality.run_suite(tested, quality.DECLARED_TESTS).write.mode("overwrite").parquet(f"{out}/tests/results")
     results = spark.read.parquet(f"{out}/tests/results")
     failing = {(r.model, r.column_name, r.test_name) for r in results.where("status = 'FAIL'").collect()}
-    for test in quality.DECLARED_TESTS:  # the suite result is one row per test: a bounded collect
-        if (test.model, test.column, test.test) in failing:
-            io.store_failures(quality.failing_rows(tested[test.model], test),
-                              f"{out}/tests/failures/{test.model}__{test.column}__{test.test}")
+    failed = [t for t in quality.DECLARED_TESTS if (t.model, t.column, t.test) in failing]
+    if failed:  # one scan per model that failed, one folder per test
+        io.store_failures(quality.stored_failures(tested, failed), f"{out}/tests/failures")
     checks = (quality.freshness(src["ext_redshift_daily_sales"], check_day, "daily_sales_summary")
               .unionByName(quality.freshness(src["ext_bigquery_marketing_daily"], check_day,
                                              "daily_marketing_summary")))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (oracle_quality_feeds, oracle_reviews, oracle_stats, oracle_warehouse, quality_feeds, reviews,
-               stats_queries, streaming_queries, warehouse)
+from . import (loads, oracle_loads, oracle_quality_feeds, oracle_reviews, oracle_stats, oracle_warehouse, quality_feeds,
+               reviews, stats_queries, streaming_queries, warehouse)
 
 
 def registered_queries() -> dict:
@@ -12,6 +12,7 @@ def registered_queries() -> dict:
     out.update(stats_queries.QUERIES)
     out.update(warehouse.QUERIES)
     out.update(quality_feeds.QUERIES)
+    out.update(loads.QUERIES)
     out.update(streaming_queries.QUERIES)
     return out
 
@@ -22,6 +23,7 @@ def oracle_statements() -> dict:
     out.update(oracle_stats.SQL)
     out.update(oracle_warehouse.SQL)
     out.update(oracle_quality_feeds.SQL)
+    out.update(oracle_loads.SQL)
     return {k: v for k, v in out.items() if k in registered_queries()}
 
 

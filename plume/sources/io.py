@@ -163,5 +163,9 @@ def save_statistical_results(results: DataFrame, path: str, analysis_ts: dt.date
 
 
 def store_failures(failing: DataFrame, path: str) -> None:
-    """Keep a test's failing rows as a table for inspection."""
-    failing.write.mode("overwrite").parquet(path)
+    """Keep failing rows as a table for inspection; those of a whole suite
+    (``quality.stored_failures``) in one folder per test."""
+    w = failing.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if {"model", "column_name", "test_name"} <= set(failing.columns):
+        w = w.partitionBy("model", "column_name", "test_name")
+    w.parquet(path)

@@ -52,7 +52,7 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def folder_exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return fs.exists(p)
 
@@ -134,15 +134,15 @@ def _lock_for(path: str) -> threading.RLock:
 
 def _write_once(spark: SparkSession, name: str, path: str, write: Callable[[str], None], in_place: bool) -> str:
     if in_place:
-        if not _exists(spark, f"{path}/_SUCCESS"):
+        if not folder_exists(spark, f"{path}/_SUCCESS"):
             write(path)
         return path
-    if not _exists(spark, f"{path}/_SUCCESS"):
+    if not folder_exists(spark, f"{path}/_SUCCESS"):
         tmp = f"{table_root(spark)}/{name}/_tmp-{uuid.uuid4().hex}"
         write(tmp)
         src, fs = _fs(spark, tmp)
         dst, _ = _fs(spark, path)
-        if _exists(spark, f"{path}/_SUCCESS"):  # another process finished first
+        if folder_exists(spark, f"{path}/_SUCCESS"):  # another process finished first
             fs.delete(src, True)
         else:
             if fs.exists(dst):  # a rename that was cut off left part of a table
@@ -203,7 +203,7 @@ def versions(spark: SparkSession, folder: str) -> list[int]:
         return []
     names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
     found = [int(n.split("=")[1]) for n in names if n.startswith("version=")]
-    return sorted(v for v in found if _exists(spark, f"{folder}/version={v}/_SUCCESS"))
+    return sorted(v for v in found if folder_exists(spark, f"{folder}/version={v}/_SUCCESS"))
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def test_run_warehouse_writes_marts_and_checks(spark, tmp_dir):
     assert kpis.count() == 364 and "created_at" in kpis.columns
     assert spark.read.parquet(f"{tmp_dir}/tests/results").count() == 37
     for model, column, test in res["failing_tests"]:
-        assert spark.read.parquet(f"{tmp_dir}/tests/failures/{model}__{column}__{test}").count() >= 0
+        assert spark.read.parquet(f"{tmp_dir}/tests/failures/model={model}/column_name={column}/test_name={test}").count() > 0
     assert spark.read.parquet(f"{tmp_dir}/run_summary").count() == 8
     dims = spark.read.parquet(f"{tmp_dir}/marts/dim_user_engagement")
     assert dims.count() == W.user_profiles(spark, SF_SMALL).count()
