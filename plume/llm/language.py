@@ -7,6 +7,13 @@ or an escape (method C: distinct followers / (followers + distinct)) to the
 next shorter one, down to 8 bits a byte.  The statistics are frozen: scoring
 never changes them.  The language with the shortest code wins.
 
+The score is that language's share of the likelihood, times the part of its own
+gain that the text reaches: 8 bits a byte less the text's code length, over the
+same of the language's own texts (each gram there coded as if its one
+occurrence, where it has only one, had not been seen).  Texts in languages that
+were not learnt, random letters and encoded data have codes of near 8 bits a
+byte or more, and so scores near 0.
+
 The trees are learnt from a bounded sample: of each language the
 ``rows_per_language`` rows of smallest hash (repeated rows once) among the rows
 that may be learnt from and whose text has at most ``longest_learnt`` bytes (longer ones are
@@ -80,11 +87,13 @@ class ContextTrees:
     lengths: list[np.ndarray]
     contexts: list[np.ndarray]  # by order: context alone
     escapes: list[np.ndarray]
+    typical: np.ndarray         # bits a byte of the language's own texts
 
     @classmethod
     def fit(cls, languages: list[str], order: int, rows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> ContextTrees:
         """``rows``: by order, (packed gram, language number, count)."""
-        out = cls(languages, order, [], [], [], [])
+        out = cls(languages, order, [], [], [], [], np.zeros(len(languages)))
+        unseen = np.full((1, len(languages)), 8.0)  # of the next shorter gram, as if not seen here
         for k in range(order + 1):
             gram, lang, n = rows[k]
             keys, at = np.unique(gram, return_inverse=True)
@@ -98,7 +107,11 @@ class ContextTrees:
             with np.errstate(divide="ignore", invalid="ignore"):
                 escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
                 own = -np.log2(count / (total + kinds)[of])
-            shorter = out.code_lengths(keys & np.uint64((1 << (8 * k)) - 1), k - 1)
+            suffix = keys & np.uint64((1 << (8 * k)) - 1)
+            shorter = out.code_lengths(suffix, k - 1)
+            before = unseen[_find(out.grams[k - 1], suffix)[0]] if k else unseen
+            unseen = np.where(count > 1, own, escape[of] + before)
+            out.typical = (np.where(count > 0, unseen, 0) * count).sum(axis=0) / np.maximum(count.sum(axis=0), 1)
             out.lengths.append(np.where(count > 0, own, escape[of] + shorter).astype(np.float32))
             out.grams.append(keys)
             out.contexts.append(ctx)
@@ -145,12 +158,15 @@ class ContextTrees:
         return self.predict_all([text])[0]
 
     def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, its share of the likelihood) of each text."""
+        """(language, score) of each text."""
         if not self.languages:
             return [("und", 0.0)] * len(texts)
-        bits = self.score([(t or "").encode("utf-8", "surrogatepass") for t in texts])
-        best = bits.argmin(axis=1)
-        share = 1.0 / np.exp2(-np.minimum(bits - bits.min(axis=1, keepdims=True), 1000)).sum(axis=1)
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        bits = self.score(raw)
+        best, least = bits.argmin(axis=1), bits.min(axis=1)
+        share = 1.0 / np.exp2(-np.minimum(bits - least[:, None], 1000)).sum(axis=1)
+        gain = 8.0 - least / np.maximum([len(r) for r in raw], 1)
+        share *= np.clip(gain / np.maximum(8.0 - self.typical[best], 1e-9), 0.0, 1.0)
         return [(self.languages[b], float(s)) if t and any(map(str.isalpha, t)) else ("und", 0.0)
                 for t, b, s in zip(texts, best.tolist(), share.tolist(), strict=True)]
 
@@ -169,7 +185,7 @@ def learn(docs: DataFrame, learnable: Column, order: int = ORDER, rows_per_langu
         raise ValueError(f"more than {MAX_LANGUAGES} languages: the model would have no bound")
     languages = [b["lang"] for b in bounds]
     if not languages:
-        return ContextTrees([], order, [], [], [], [])
+        return ContextTrees([], order, [], [], [], [], np.zeros(0))
     taken = F.lit(False)
     for b in bounds:
         taken = taken | ((F.col("lang") == b["lang"]) & (F.col("h") <= b["h"]))

@@ -9,7 +9,7 @@ from . import language, packing, quality_rules, secrets, simhash
 from .common import unused
 from .queries import BYTE_VOCABULARY
 
-#: A prediction below this share of the likelihood counts as no known language.
+#: A prediction with a score below this counts as no known language (see ``language``).
 LEAST_SCORE = 0.5
 
 
@@ -26,8 +26,13 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; a missing lang becomes the predicted one."""
+    """Documents in a known language; a missing lang becomes the predicted one.
+
+    Where no document has a lang there is nothing to judge by: all are passed on.
+    """
     model = language.learn(docs, F.lit(True))
+    if not model.languages:
+        return docs
     pred, score = unused("lang_pred", docs.columns), unused("score", docs.columns)
     found = language.identify(docs, model, tuple(docs.columns), pred, score)
     known = found.where((F.col(pred) != "und") & (F.col(score) >= LEAST_SCORE))

@@ -1,5 +1,7 @@
 """The pipeline's stages against the operators' own results."""
 
+import base64
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -54,6 +56,20 @@ def test_language_stage_fills_and_rejects(spark, base_rows):
     assert got[10**6] == "en" and 10**6 + 1 not in got and 10**6 + 2 not in got and len(got) == len(rows) + 1
 
 
+def test_language_stage_rejects_what_is_no_learnt_language(spark, base_rows):
+    rng = random.Random(3)
+    clean = [r for r in base_rows if r[1] and r[2] and len(r[1]) > 200][:120]
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(300)) for _ in range(20)]
+    words = "мороз и солнце день чудесный ещё ты дремлешь друг прелестный пора красавица проснись открой сомкнуты негой взоры".split()
+    russian = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(20)]
+    blobs = [base64.b64encode(rng.randbytes(300)).decode() for _ in range(20)]
+    bad = [(10**6 + i, t, None, "s") for i, t in enumerate(noise + russian + blobs)]
+    got = {r.doc_id for r in corpus_pipeline.STAGES[1][1](spark, make(spark, [*clean, *bad]), SF).collect()}
+    assert got == {r[0] for r in clean}
+    unlabelled = make(spark, [(i, t, None, s) for i, t, _, s in clean])  # nothing to learn from: nothing to reject by
+    assert corpus_pipeline.STAGES[1][1](spark, unlabelled, SF).count() == len(clean)
+
+
 def test_near_duplicate_stage(steps):
     _, docs, result = steps[2]
     found = simhash.near_duplicates(docs, 3).select("component_id").distinct()
@@ -94,4 +110,4 @@ def test_no_documents(spark, no_docs):
 
 
 def test_every_operator_is_registered(spark):
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
