@@ -38,7 +38,7 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality(documents(spark, sf_dir)).drop("d2", "row_key")
+    return quality_rules.quality(documents(spark, sf_dir)).drop("d2")
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,15 +14,8 @@ LEAST_SCORE = 0.5
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep.
-
-    The verdict depends on text, lang and source alone, so it is carried back
-    by id and a hash of these; rows without an id match by hash.
-    """
-    gone = quality_rules.quality(docs).where("NOT kept").select(
-        F.col("doc_id").alias("gone_id"), F.col("row_key").alias("gone_key")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & (quality_rules.row_key(docs) == gone["gone_key"])
-    return docs.join(gone, same, "left_anti")
+    """Documents that the quality rules keep."""
+    return quality_rules.kept_documents(docs)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

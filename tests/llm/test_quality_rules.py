@@ -106,9 +106,46 @@ def test_single_statistics_reject(spark):
     assert sorted(i for i, r in got.items() if not r.kept) == [1000, 1001]
 
 
-def test_small_groups_are_kept(spark):
+def test_small_groups_are_judged_too(spark):
     rows = [(k, " ".join(f"w{j * k}" for j in range(1, 80)), "zz", "tiny") for k in range(1, 9)]
-    assert all(r.kept and r.d2 is None for r in q.quality(make(spark, rows)).collect())
+    got = q.quality(make(spark, rows)).collect()
+    assert all(r.kept and r.d2 is not None for r in got) and len(got) == 8
+
+
+def test_same_verdict_in_small_and_large_groups(spark):
+    rng = random.Random(12)
+    fresh = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    clean = [(k, "\n".join(fresh(10) for _ in range(20)), "en", "s") for k in range(300)]
+    odd = (1000, "\n".join(["short"] * 60 + [fresh(20) for _ in range(10)]), "en", "s")
+    for n in (40, 300):
+        got = {r.doc_id: r for r in q.quality(make(spark, [*clean[:n], odd])).collect()}
+        assert [i for i, r in got.items() if not r.kept] == [1000] and not got[1000].base_failed
+    # few rows of a language: judged by all documents; few of a source: by its language
+    mixed_in = [(2000 + k, t, lang, source) for k, (lang, source) in enumerate([("xx", "s"), ("en", "few"), (None, None)])
+                for t in (odd[1],)]
+    got = {r.doc_id: r for r in q.quality(make(spark, [*clean, *mixed_in])).collect()}
+    assert sorted(i for i, r in got.items() if not r.kept) == [2000, 2001, 2002]
+
+
+def test_equal_hashes_are_told_apart(spark, monkeypatch):
+    texts = ["a b c d e f", "a b c a b c", "ab c d a bc d", "q q q q", " ".join(f"w{k % 40}" for k in range(100))]
+    monkeypatch.setattr(q.F, "xxhash64", lambda *columns: q.F.lit(7).cast("long"))
+    got = {r.doc_id: r.n_repeat_words for r in q.quality(make(spark, [(k, t, "en", "s") for k, t in enumerate(texts)])).collect()}
+    assert got == {k: brute(t)[4] for k, t in enumerate(texts)}
+
+
+def test_salted_joins_give_the_same(spark, monkeypatch):
+    docs = make(spark, _corpus()).repartition(3)
+    want = {r.doc_id: (r.kept, round(r.d2, 9)) for r in q.quality(docs).collect()}
+    monkeypatch.setattr(q, "MOST_BROADCAST", 0)
+    assert {r.doc_id: (r.kept, round(r.d2, 9)) for r in q.quality(docs).collect()} == want
+
+
+def test_kept_rows_come_back_whole(spark, mixed):
+    docs = mixed[1]
+    kept = Counter(r.doc_id for r in q.quality(docs).where("kept").collect())
+    got = q.kept_documents(docs)
+    assert got.schema == docs.schema and Counter(r.doc_id for r in got.collect()) == kept
 
 
 def test_no_documents(spark, no_docs):
