@@ -35,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -171,6 +171,14 @@ class ContextTrees:
                 for t, b, s in zip(texts, best.tolist(), share.tolist(), strict=True)]
 
 
+def _up_to(bounds: list[Row], value: Column) -> Column:
+    """Rows whose ``value`` is at most their language's ``h``; at most ``MAX_LANGUAGES`` bounds."""
+    taken = F.lit(False)
+    for b in bounds:
+        taken = taken | ((F.col("lang") == b["lang"]) & (value <= b["h"]))
+    return taken
+
+
 def learn(docs: DataFrame, learnable: Column, order: int = ORDER, rows_per_language: int = ROWS_PER_LANGUAGE,
           longest_learnt: int = LONGEST_LEARNT) -> ContextTrees:
     """Context trees of the languages in ``lang``, from a bounded sample of the ``learnable`` rows."""
@@ -178,18 +186,20 @@ def learn(docs: DataFrame, learnable: Column, order: int = ORDER, rows_per_langu
         raise ValueError("order: 0 to 7 bytes of context")
     own = pick(docs, "doc_id", "text", "lang").where(learnable & F.col("lang").isNotNull() & (F.octet_length("text") <= longest_learnt))
     own = own.withColumn("h", F.xxhash64("doc_id", F.octet_length("text")))
-    ranked = own.select("lang", "h").distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    bounds = ranked.where(F.col("r") <= rows_per_language).groupBy("lang").agg(F.max("h").alias("h")) \
+    # the hash of each language's last row: found among the rows up to the 1/65,536 of all hashes that it lies in
+    hashes = own.select("lang", "h").distinct()
+    cells = hashes.groupBy("lang", F.shiftright("h", 48).alias("cell")).agg(F.count("*").alias("n"))
+    upto = cells.withColumn("upto", F.sum("n").over(Window.partitionBy("lang").orderBy("cell")))  # 65,536 cells at most
+    last = upto.groupBy("lang").agg(F.coalesce(F.min(F.when(F.col("upto") >= rows_per_language, F.col("cell"))), F.max("cell")).alias("h")) \
         .orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(bounds) > MAX_LANGUAGES:
+    if len(last) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: the model would have no bound")
+    ranked = hashes.where(_up_to(last, F.shiftright("h", 48))) \
+        .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    bounds = ranked.where(F.col("r") <= rows_per_language).groupBy("lang").agg(F.max("h").alias("h")).orderBy("lang").collect()
     languages = [b["lang"] for b in bounds]
     if not languages:
         return ContextTrees([], order, [], [], [], [], np.zeros(0))
-    taken = F.lit(False)
-    for b in bounds:
-        taken = taken | ((F.col("lang") == b["lang"]) & (F.col("h") <= b["h"]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {x: i for i, x in enumerate(languages)}
         for part, texts in text_groups(batches):
@@ -203,7 +213,7 @@ def learn(docs: DataFrame, learnable: Column, order: int = ORDER, rows_per_langu
                         [pa.array(np.full(size, k, np.int32)), pa.array(np.full(size, lang, np.int32)),
                          pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], ["k", "lang", "gram", "n"])
 
-    sample = own.where(taken).groupBy("lang", "h").agg(F.min("text").alias("text"))  # a repeated row counts once
+    sample = own.where(_up_to(bounds, F.col("h"))).groupBy("lang", "h").agg(F.min("text").alias("text"))  # a repeated row counts once
     counted = sample.select("lang", "text").mapInArrow(run, "k int, lang int, gram long, n long") \
         .groupBy("k", "lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     k = counted.column("k").to_numpy()

@@ -5,7 +5,8 @@ are longer than a sequence.  Full pieces are sequences already.  The others
 are dealt into groups of a bounded number of items; each group is packed best
 fit (longest item first, into the fullest bin with room).  Nearly full bins
 are emitted; the underfull ones become items of the next round, in fewer
-groups, until one group is left or a round merges next to nothing.
+groups, until one group is left.  When a round merges little, only its emptiest
+bins go on, so the tree ends in one group that holds all that could still merge.
 
 Cases: a null or empty text is the end id alone; repeated rows are packed each
 for itself; ties go by piece number; an empty table gives an empty result;
@@ -142,6 +143,21 @@ def _round(capacity: int, nearly: int):
     return pack
 
 
+def _emptiest(open_bins: DataFrame, capacity: int, most: int) -> tuple[int, int]:
+    """(fill, bins up to it): at least half of ``capacity``, and the largest with at most ``most`` bins beyond that.
+
+    One row for each possible fill comes to the driver.
+    """
+    sizes = {r.fill: r.n for r in open_bins.groupBy("fill").agg(F.count_distinct("sequence_id").alias("n")).collect()}
+    bound = capacity // 2
+    count = sum(n for fill, n in sizes.items() if fill <= bound)
+    for fill in sorted(f for f in sizes if f > capacity // 2):
+        if count + sizes[fill] > most:
+            break
+        bound, count = fill, count + sizes[fill]
+    return bound, count
+
+
 def packed(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, group_items: int = 50_000,
            nearly_full: float = 0.995, least_gain: float = 0.02) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece.
@@ -149,9 +165,11 @@ def packed(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, group_i
     ``group_items``: items of one group, which is what one task holds.  Each
     round deals the underfull bins of the one before into groups of that size,
     so the groups merge as a tree whose fan-in follows from how few bins a
-    group leaves.  Rounds end when a round had one group, or when it merged
-    fewer than ``least_gain`` of its bins (such bins hardly fit together);
-    what is underfull then is emitted as it is.
+    group leaves.  After a round that merged fewer than ``least_gain`` of its
+    bins the others are emitted and only the emptiest go on: all that are at
+    most half full (two bins that fit together have one such; best fit leaves
+    at most one a group) and as many more, in the order of their room, as one
+    group holds.  So the number of bins falls to one group's, which is the last.
     """
     nearly = int(np.ceil(capacity * nearly_full))
     cut = written(pieces(docs, vocabulary, capacity, end_id), "pieces").withColumns({
@@ -160,14 +178,17 @@ def packed(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, group_i
     out, todo = cut.where("done"), cut.where("NOT done")
     count, rounds = todo.count(), 0
     while count:
-        groups = -(-count // group_items)
+        before, groups = count, -(-count // group_items)
         dealt = todo.withColumn("grp", F.pmod(F.xxhash64("sequence_id", F.lit(rounds)), F.lit(groups)))
         result = written(dealt.groupBy("grp").applyInPandas(_round(capacity, nearly), _PLACED), "packing-round")
         made = result.agg(F.count_distinct("sequence_id").alias("bins"),
                           F.count_distinct(F.when(~F.col("done"), F.col("sequence_id"))).alias("open")).first()
-        last = groups == 1 or made["open"] == 0 or made["bins"] > (1 - least_gain) * count
-        out = out.unionByName(result if last else result.where("done"))
-        if last:
+        if groups == 1 or made["open"] == 0:
+            out = out.unionByName(result)
             break
-        todo, count, rounds = result.where("NOT done"), made["open"], rounds + 1
+        on, count = ~F.col("done"), made["open"]
+        if made["bins"] > (1 - least_gain) * before:
+            bound, count = _emptiest(result.where(on), capacity, group_items)
+            on = on & (F.col("fill") <= bound)
+        out, todo, rounds = out.unionByName(result.where(~on)), result.where(on), rounds + 1
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

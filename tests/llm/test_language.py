@@ -1,9 +1,11 @@
 """Context trees against a plain one, and held-out accuracy."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from llm_rows import SF, base_rows, make, mixed, no_docs  # noqa: F401  fixtures
@@ -89,3 +91,21 @@ def test_the_sample_has_its_bound(spark, base_rows):
     few = language.learn(make(spark, rows), F.lit(True), order=2, rows_per_language=3)
     every = language.learn(make(spark, rows), F.lit(True), order=2)
     assert len(few.grams[2]) < len(every.grams[2])
+
+
+def test_sample_is_the_smallest_hashes(spark):
+    """The rows learnt from are those with a language's smallest hashes, however the search is cut; repeats count once."""
+    rng = random.Random(21)
+    texts = {lang: ["".join(rng.choice(letters) for _ in range(rng.randint(5, 30))) for _ in range(400)]
+             for lang, letters in (("aa", "abc "), ("bb", "xyz "))}
+    rows = [(k + 1000 * (lang == "bb"), t, lang, "s") for lang, own in texts.items() for k, t in enumerate(own)]
+    docs = make(spark, rows + rows[:50]).repartition(4)
+    hashed = docs.selectExpr("lang", "text", "xxhash64(doc_id, octet_length(text)) h").distinct().collect()
+    for most in (1, 30, 400, 1000):
+        want = {lang: {r.text for r in sorted((r for r in hashed if r.lang == lang), key=lambda r: r.h)[:most]} for lang in texts}
+        small = [r for r in rows if r[1] in want[r[2]]]
+        model = language.learn(docs, F.lit(True), rows_per_language=most)
+        plain = language.learn(make(spark, small), F.lit(True), rows_per_language=1000)
+        probe = [t for own in texts.values() for t in own[:20]]
+        assert model.languages == ["aa", "bb"]
+        assert np.array_equal(model.score([p.encode() for p in probe]), plain.score([p.encode() for p in probe]))

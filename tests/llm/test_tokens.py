@@ -137,6 +137,23 @@ def test_packing_of_items_that_do_not_fit_together(spark, byte):
     assert len({r.sequence_id for r in result}) == 90
 
 
+def test_packing_merges_down_to_one_group(spark, byte):
+    """Bins of 600 hardly merge, but each group's small ones still fit into them."""
+    rng = random.Random(8)
+    sizes = [599] * 400 + [rng.randint(20, 60) for _ in range(30)]
+    rng.shuffle(sizes)
+    rows = [(i, " the" * n, "en", "s") for i, n in enumerate(sizes)]
+    for group in (10, 37, 50_000):
+        result = packing.packed(make(spark, rows).repartition(4), BYTE, 1024, 2, group_items=group).collect()
+        bins = _check_packing(rows, result, byte, 1024, 2)
+        assert len(bins) == 400
+    rows = [(i, " the" * rng.choice([150, 300, 450, 700]), "en", "s") for i in range(200)]
+    fills = Counter()
+    for r in packing.packed(make(spark, rows), BYTE, 1024, 2, group_items=7).collect():
+        fills[r.sequence_id] += r.length
+    assert sum(sorted(fills.values())[:2]) > 1024  # no two sequences fit together
+
+
 def test_best_fit_prefers_the_fullest_bin():
     bins, offsets = packing.best_fit(np.array([7, 6, 3, 3, 1]), 10)
     assert bins.tolist() == [0, 1, 0, 1, 1] and offsets.tolist() == [0, 0, 7, 6, 9]
