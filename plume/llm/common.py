@@ -36,15 +36,21 @@ def unused(name: str, columns: list[str]) -> str:
     return name
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once under the shared checkpoint folder and read it back.
+#: Parquet settings for tables that carry whole texts: small row groups, sizes looked at every ten rows (a text may
+#: have megabytes), and a codec that streams, so a writer or reader holds little at once.
+TEXT_TABLE = {"compression": "zstd", "parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "10",
+              "parquet.page.size.row.check.min": "10"}
+
+
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder, with Parquet ``options``, and read it back.
 
     Cuts the lineage: the table survives lost executors, and every reader sees
     the same rows even where the producing tasks are not bit-for-bit repeatable.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/plume-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

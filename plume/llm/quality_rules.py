@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import TEXT_TABLE, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -232,7 +232,8 @@ def _groups(passed: DataFrame, least_rows: int) -> DataFrame:
 def judged(docs: DataFrame, cutoff: float = CHI_REJECT, core: float = 0.75, least_rows: int = 100,
            whole: bool = False) -> DataFrame:
     """The counts of every row with base_failed, kept and d2 (null where the base rule failed); ``whole`` as in ``word_counts``."""
-    rows = written(statistics(word_counts(docs, whole)).withColumn("base_failed", base_failed()), "quality-counts")
+    rows = written(statistics(word_counts(docs, whole)).withColumn("base_failed", base_failed()), "quality-counts",
+                   **(TEXT_TABLE if whole else {}))
     names = list(FLOORS)
     passed = rows.where("NOT base_failed")
     groups = _groups(passed, least_rows)
