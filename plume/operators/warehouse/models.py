@@ -346,6 +346,14 @@ def top_features(features: DataFrame, k: int = 10, k_engagement: int = 5) -> Dat
                       ordered("engagement_rank").alias("top_features_by_engagement"))
 
 
+def feature_ranks(features: DataFrame) -> DataFrame:
+    """Both ranks of every feature, by volume and by interactions per user; nulls first, ties by name."""
+    df = features.select("feature_name", "total_interactions", "interactions_per_user")
+    for column, out in (("total_interactions", "popularity_rank"), ("interactions_per_user", "engagement_rank")):
+        df = row_number_distributed(df, [F.col(column).desc_nulls_first(), F.col("feature_name")], out, "feature_name", [column])
+    return df
+
+
 def dim_user(profiles: DataFrame, metrics: DataFrame, features: DataFrame, params,
              created_at: dt.datetime | None = None) -> DataFrame:
     """User rows with platform statistics and top features attached.

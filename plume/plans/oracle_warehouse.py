@@ -585,3 +585,9 @@ SELECT * REPLACE (CASE WHEN CAST(o_orderdate AS DATE) = (SELECT CAST(max(o_order
                        THEN 2 * l_quantity ELSE l_quantity END AS l_quantity)
 FROM lineitem JOIN (SELECT o_orderkey AS l_orderkey, o_orderdate FROM orders) USING (l_orderkey)),""" \
     + re.sub(r"\blineitem\b", "changed_lines", DAILY_SALES) + "\nSELECT * FROM daily_sales"
+
+SQL["feature_ranks"] = _stmt("feature_summary", """
+SELECT feature_name, total_interactions, interactions_per_user,
+  CAST(row_number() OVER (ORDER BY total_interactions DESC NULLS FIRST, feature_name) AS INT) AS popularity_rank,
+  CAST(row_number() OVER (ORDER BY interactions_per_user DESC NULLS FIRST, feature_name) AS INT) AS engagement_rank
+FROM feature_summary""")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import analysis as A
-from ..operators import ingest, transform
+from ..operators import cube, ingest, transform
 from ..sources.fixtures import review_file
 from ..sources import io
 from ..sources.store import materialized, spread, written_once
@@ -79,6 +79,17 @@ def correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform.length_rating_correlation(analyzed(spark, sf_dir))
 
 
+def moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The moments of ``reviews_analyzed``, written once; the reports over them read no review."""
+    return materialized(spark, "review_moments", _inputs(sf_dir), lambda: cube.review_moments(analyzed(spark, sf_dir)))
+
+
+def review_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The moments with their exact sums as doubles."""
+    own = moments(spark, sf_dir)
+    return own.select(*[F.col(c).cast("double").alias(c) if c.endswith(("_sum", "_squares")) else c for c in own.columns])
+
+
 def _on_raw(fn):
     return lambda spark, d: fn(raw_reviews(spark, d))
 
@@ -125,5 +136,7 @@ QUERIES = {
     "sample_adequacy": _on_analyzed(A.sample_adequacy),
     "zscore_outliers": _on_analyzed(A.zscore_outliers),
     "validation_summary": _on_analyzed(A.validation_summary),
+    "review_moments": review_moments,
+    "moment_reports": lambda spark, d: cube.moment_reports(moments(spark, d)),
     "length_category_stats": _on_corr(A.length_category_stats),
 }

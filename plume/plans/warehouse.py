@@ -238,6 +238,7 @@ QUERIES = {
     "user_summary": user_summary,
     "platform_percentiles": lambda s, d: M.platform_percentiles(user_summary(s, d)),
     "top_features": lambda s, d: M.top_features(features(s, d)),
+    "feature_ranks": lambda s, d: M.feature_ranks(features(s, d)),
     "dim_user": dim_user,
     "profile_snapshot": profile_snapshot,
     "customer_value_tiers": lambda s, d: M.customer_value_tiers(_t(s, d).orders, P),
