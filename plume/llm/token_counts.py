@@ -76,9 +76,31 @@ class PrefixTable:
         return sum(self.table.prefix_counts(joined[a:b].encode(), every=False)[0] for a, b in zip(starts, ends, strict=True))
 
     def longest_within(self, budget: int) -> int:
-        """The largest length such that ``text[:length]`` ends with a whole word and has at most ``budget`` tokens."""
+        """The largest length such that ``text[:length]`` has at most ``budget`` tokens.
+
+        Counts never fall from word to word, so it lies in the first word that
+        goes beyond the budget; there the counts of the word's prefixes, each
+        stored by the program, give it.  A special string is taken whole.
+        """
         k = int(np.searchsorted(self.running, budget, side="right")) - 1
-        return len(self.text) if k >= len(self.starts) else (int(self.ends[k - 1]) if k else 0)
+        if k < 0:
+            return 0
+        if k >= len(self.starts):
+            return len(self.text)
+        start, end = int(self.starts[k]), int(self.ends[k])
+        if k in self.special:
+            return start
+        word, left = self.text[start:end], budget - int(self.running[k])
+        counts = self._prefixes(word)
+        inside = max((n for n, c in enumerate(counts, 1) if c <= left), default=0)
+        return start + inside
+
+    def _prefixes(self, word: str) -> list[int]:
+        """Tokens of word[:1], ..., word[:n]; a contraction's prefixes are cut anew, as its letters alone are a word."""
+        if word[0] == "'" and len(word) > 1:
+            return [self._within(word[:n]) for n in range(1, len(word) + 1)]
+        by_byte = self.table.prefix_counts(word.encode())
+        return [by_byte[at - 1] for at in np.cumsum([len(c.encode()) for c in word]).tolist()]
 
 
 def prefix_table(text: str | None, path: str) -> PrefixTable:
@@ -103,6 +125,29 @@ def prefix_table(text: str | None, path: str) -> PrefixTable:
     return PrefixTable("".join(whole), np.array(starts, np.int64), np.array(ends, np.int64), running, table, special)
 
 
+def truncated(docs: DataFrame, vocabulary: str, budgets: list[int]) -> DataFrame:
+    """doc_id, budget, n_chars, n_tokens, text: the longest beginning of each text with at most ``budget`` tokens, a row a budget.
+
+    ``n_tokens`` counts that beginning, and ``text`` is it in the vocabulary's
+    normal form.  All budgets are answered from one prefix table of the text;
+    nothing is encoded.  Blanks that follow cost no token and belong to it.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_groups(batches):
+            rows = []
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
+                table = prefix_table(text, vocabulary)
+                for budget in budgets:
+                    n = table.longest_within(budget)
+                    rows.append((doc_id, budget, n, table.count(n), table.text[:n]))
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                                                 ["doc_id", "budget", "n_chars", "n_tokens", "text"])
+
+    return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, budget long, n_chars long, n_tokens long, text string")
+
+
 def token_counts(docs: DataFrame, vocabulary: str, limit: int) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit) of every whole text.
 

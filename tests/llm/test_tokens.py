@@ -61,13 +61,30 @@ def test_prefix_table_counts_every_prefix(word):
             assert table.count(k) == len(word.encode(text[:k], add_special_tokens=False).ids), text[:k]
 
 
-def test_longest_within_budget(word):
-    text = "some words that will be cut for a budget of tokens"
+def _longest(text, budget, word):
+    """By brute force: the longest beginning that the library gives at most ``budget`` tokens."""
+    return max(n for n in range(len(text) + 1) if len(word.encode(text[:n], add_special_tokens=False).ids) <= budget)
+
+
+@pytest.mark.parametrize("text", ["some words that will be cut for a budget of tokens", "unbelievabletherein" * 8, "they'll  don't we've 123 !!",
+                                  "日本語のテキスト é naïve", "", "  ", "y" * 60])
+def test_longest_within_budget(word, text):
     table = token_counts.prefix_table(text, WORD)
     for budget in range(15):
-        n = table.longest_within(budget)
-        assert len(word.encode(text[:n], add_special_tokens=False).ids) <= budget
-        assert n == len(text) or table.count(text.find(" ", n + 1) if text.find(" ", n + 1) > 0 else len(text)) > budget
+        n, want = table.longest_within(budget), _longest(text, budget, word)
+        assert text[:n].rstrip() == text[:want].rstrip(), (text, budget)
+        assert table.count(n) == len(word.encode(text[:n], add_special_tokens=False).ids) <= budget
+
+
+def test_truncated_texts(spark, odd_docs, word):
+    texts = Counter((r.doc_id, r.text) for r in odd_docs.collect())
+    rows = token_counts.truncated(odd_docs, WORD, [0, 5, 1000]).collect()
+    assert len(rows) == 3 * sum(texts.values())
+    for r in rows:
+        n = len(word.encode(r.text, add_special_tokens=False).ids)
+        assert r.n_tokens == n <= r.budget and r.n_chars == len(r.text)
+    assert {r.n_tokens for r in rows if r.doc_id == 900013} == {0, 5, 1000}  # one long run of letters is cut inside
+    assert token_counts.truncated(odd_docs.limit(0), WORD, [3]).collect() == []
 
 
 def test_codec_equals_the_library(spark, mixed, word):
