@@ -21,23 +21,38 @@ def valid_reviews(raw: DataFrame) -> DataFrame:
         & F.col("sentiment").isin(*REVIEWS.valid_sentiments))
 
 
-def dedup_reviews(df: DataFrame) -> DataFrame:
+HOT_ROWS = 100_000  # rows of one text that a task takes without combining them first
+
+
+def dedup_reviews(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per (text, rating, sentiment), newest ingestion first.
 
     Tie-break: ``app_name`` ascending (NULL first), then ``rid``.  Written
-    as a grouped ``min_by`` over an ordering struct instead of ``row_number``:
-    the aggregate combines map-side (``partial_min_by``; sort-based, since
-    the buffer holds strings), so a key repeated millions of times ships one
-    row per map task, and the group key is the 32-byte SHA-256 of the text
-    instead of the text itself.
+    as a grouped ``min_by`` over an ordering struct instead of ``row_number``;
+    the group key is the 32-byte SHA-256 of the text instead of the text itself.
+
+    The buffer holds strings, so the aggregate is sort-based, and combining
+    map-side would sort every text before the shuffle and spill it.  Only texts
+    of more than ``hot_rows`` rows, found by a count of their hashes, are
+    combined there (one repeated millions of times ships one row per map task);
+    the others are dealt by their hash and sorted once, a partition at a time.
     """
+    keyed = df.withColumns({"_h": F.unhex(F.sha2(F.col("review_text"), 256)), "_k": F.xxhash64("review_text")})
+    # at most one row per hot_rows rows of the input
+    hot = F.broadcast(df.groupBy(F.xxhash64("review_text").alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+                        .where(F.col("_n") > hot_rows).select("_k"))
+    cold = keyed.join(hot, "_k", "left_anti").repartition("_h")
+    return _newest(cold, df.columns).unionByName(_newest(keyed.join(hot, "_k", "left_semi"), df.columns))
+
+
+def _newest(keyed: DataFrame, columns: list[str]) -> DataFrame:
     key = F.struct(
         F.col("ingestion_timestamp").isNull().alias("k0"),
         (-F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ingestion_timestamp)")).alias("k1"),
         F.col("app_name").alias("k2"),
         F.col("rid").alias("k3"))
-    payload = F.struct(*[F.col(c) for c in df.columns])
-    return (df.groupBy(F.unhex(F.sha2(F.col("review_text"), 256)).alias("_h"), "rating", "sentiment")
+    payload = F.struct(*[F.col(c) for c in columns])
+    return (keyed.groupBy("_h", "rating", "sentiment")
               .agg(F.min_by(payload, key).alias("_row"))
               .select("_row.*"))
 
@@ -65,7 +80,8 @@ def reviews_analyzed(raw: DataFrame, transformation_ts: dt.datetime | None = Non
     the clock column is only added when a time is passed.
     """
     threshold = length_outlier_threshold(raw)
-    df = dedup_reviews(valid_reviews(raw)).crossJoin(F.broadcast(threshold))
+    unused = ("review_length_category", "rating_category")  # not carried through the dedup's shuffle
+    df = dedup_reviews(valid_reviews(raw).drop(*unused)).crossJoin(F.broadcast(threshold))
     calc_wc = word_count_space("review_text")
     r, s, n = F.col("rating"), F.col("sentiment"), F.col("review_length")
     out = df.select(

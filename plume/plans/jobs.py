@@ -30,14 +30,14 @@ from ..operators.warehouse import upstream as U
 from ..params import FIXTURE
 from ..sources import io
 from ..sources.fixtures import review_file
-from ..sources.store import NAMESPACE_CONF, remove_folder, spread, table_root
+from ..sources.store import NAMESPACE_CONF, remove_folder, table_root
 from ..sources.tables import Tables
 
 
 def run_reviews(spark: SparkSession, sf_dir: str, out: str, run_ts: dt.datetime | None = None) -> dict:
     run_ts = run_ts or dt.datetime(2024, 2, 1)
     out = out.rstrip("/")
-    raw = ingest.ingest_reviews(spread(review_file(spark, sf_dir)))
+    raw = ingest.ingest_reviews(review_file(spark, sf_dir, even=True))
     io.write_raw_reviews(raw, f"{out}/raw_reviews")
     raw_t = io.read_raw_reviews(spark, f"{out}/raw_reviews").drop("ingestion_date")
     A.post_load_checks(raw_t).write.mode("overwrite").parquet(f"{out}/post_load_checks")

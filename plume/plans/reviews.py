@@ -31,7 +31,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     table is, so min/max statistics let Parquet skip row groups.
     """
     return materialized(spark, "raw_reviews", _inputs(sf_dir),
-                        lambda: ingest.ingest_reviews(spread(review_file(spark, sf_dir))),
+                        lambda: ingest.ingest_reviews(review_file(spark, sf_dir, even=True)),
                         sort_within=["sentiment", "rating"]).select(*ingest.RAW_REVIEW_COLUMNS)
 
 
@@ -51,7 +51,7 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         io.write_csv(review_file(spark, sf_dir).select(*[f.name for f in CSV_SCHEMA.fields]), path)
     path = written_once(spark, "review_csv", _inputs(sf_dir), write)
-    return ingest.ingest_reviews(spread(io.read_reviews_csv(spark, path, CSV_SCHEMA)))
+    return ingest.ingest_reviews(spread(io.read_reviews_csv(spark, path, CSV_SCHEMA), "rid"))
 
 
 def partitioned_raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import spread
 from .tables import table
 
 # Offsets of the synthetic recipes (our choices).
@@ -19,7 +20,7 @@ LINE_ID_FACTOR = 100_000
 REVIEW_EPOCH = "2024-01-01"
 
 
-def review_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+def review_file(spark: SparkSession, sf_dir: str, even: bool = False) -> DataFrame:
     """Raw review 'file': one row per line of ``documents.text``.
 
     Columns use the spellings of a downloaded review file (``Translated_Review``,
@@ -29,6 +30,9 @@ def review_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The labels join happens before the lines are exploded, so it moves one
     row per document; the text is split inside the row (no shuffle).
+    ``even`` deals the documents over partitions of equal size for a CPU-heavy
+    stage: one row per document moves, not one per line with its columns, and
+    the join takes the labels as hash tables, so no text is sorted.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     # Only a toxic or quality label changes the outcome (other rows fall to the
@@ -36,6 +40,8 @@ def review_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     # smaller side that AQE can broadcast instead of moving document text.
     labels = (table(spark, sf_dir, "labels").where((F.col("toxic") == 1) | (F.col("quality") == 1))
               .select("doc_id", "quality", "toxic"))
+    if even:
+        docs, labels = spread(docs, "doc_id"), labels.hint("shuffle_hash")
     d = docs.join(labels, "doc_id", "left")
     doc = F.col("doc_id")
     sentiment = (F.when(F.col("toxic") == 1, "Negative").when(F.col("quality") == 1, "Positive")

@@ -158,7 +158,7 @@ def materialized(spark: SparkSession, name: str, inputs: list[str], build: Calla
         df = build()
         if sort_within:
             df = df.sortWithinPartitions(*sort_within)
-        w = df.write.mode("overwrite")
+        w = df.write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(tmp)
@@ -206,9 +206,13 @@ def versions(spark: SparkSession, folder: str) -> list[int]:
     return sorted(v for v in found if folder_exists(spark, f"{folder}/version={v}/_SUCCESS"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out the partitions of a CPU-heavy stage's input by size (a REBALANCE hint, whatever the input)."""
-    return df.hint("rebalance")
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Even out the partitions of a CPU-heavy stage's input by size (a REBALANCE hint, whatever the input).
+
+    Rows are dealt by the hash of ``by``.  Without columns Spark deals them
+    round robin, for which each task first sorts all its rows.
+    """
+    return df.hint("rebalance", *by)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

@@ -34,6 +34,35 @@ def test_dedup_is_idempotent(spark):
     assert sorted(once.collect()) == sorted(twice.collect())
 
 
+def test_dedup_of_hot_texts_keeps_the_same_rows(spark):
+    rows = [_row(i, ("hot", "warm text", None)[min(i % 7, 2)] if i % 7 < 3 else f"t{i % 11}", ("Positive", "Negative")[i % 2], 1.0 + i % 5,
+                 (None, "a", "b")[i % 3], 1 + i % 4) if i % 7 != 2 else (i, None, "Positive", 2.0, "a", None, None, None, None, None, None, "src")
+            for i in range(400)]
+    df = spark.createDataFrame(rows + rows[:50], SCHEMA)
+    want = {}
+    for r in df.collect():
+        key = (r.review_text, r.rating, r.sentiment)
+        ts = r.ingestion_timestamp
+        rank = (ts is None, -(ts.day if ts else 0), r.app_name is not None, r.app_name or "", r.rid)
+        want[key] = min(want.get(key, (rank, r)), (rank, r), key=lambda x: x[0])
+    for hot_rows in (0, 40, 100_000):  # every text, some, none
+        got = transform.dedup_reviews(df, hot_rows).collect()
+        assert len(got) == len(want) and set(got) == {r for _, r in want.values()}
+
+
+def test_dedup_sorts_no_text_before_the_shuffle(spark):
+    df = spark.createDataFrame([_row(1, "same text", "Positive", 5.0, "b", 1)], SCHEMA)
+    lines = transform.dedup_reviews(df)._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, x in enumerate(lines) if "REPARTITION_BY_COL" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    below = []
+    for x in lines[at + 1:]:
+        if depth(x) <= depth(lines[at]):
+            break
+        below.append(x)
+    assert below and not any("Sort" in x for x in below) and not any("Exchange hashpartitioning" in x and "_h" in x for x in lines[:at])
+
+
 def test_valid_filter_uses_trimmed_length(spark):
     rows = [_row(1, "   ", "Positive", 4.0, "a", 1), _row(2, " ab ", "Positive", 4.0, "a", 1),
             _row(3, " abc ", "Positive", 4.0, "a", 1)]
