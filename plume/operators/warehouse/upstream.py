@@ -68,15 +68,19 @@ def order_lines(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) ->
     source's grains are plain aggregations over a few of its columns, and
     neither source joins orders again.  Orders of unknown customers keep their
     lines, with ``known_customer`` false.
+
+    The smaller side of each join is hashed per partition: sorting the larger
+    one would spill all line items.  Revenue is computed after the join, since
+    the discount's few values take less room in the shuffle.
     """
     o = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_day"))
     c = customer.select("c_custkey", "c_mktsegment", "c_nationkey")
-    sides = o.join(c, o["o_custkey"] == c["c_custkey"], "left")
-    li = lineitem.select("l_orderkey", "l_partkey", F.to_date("l_shipdate").alias("ship_day"), _revenue().alias("rev"),
+    sides = o.join(c.hint("shuffle_hash"), o["o_custkey"] == c["c_custkey"], "left")
+    li = lineitem.select("l_orderkey", "l_partkey", F.to_date("l_shipdate").alias("ship_day"), "l_discount",
                          "l_extendedprice", "l_quantity")
-    return li.join(sides, li["l_orderkey"] == sides["o_orderkey"]).select(
+    return li.join(sides.hint("shuffle_hash"), li["l_orderkey"] == sides["o_orderkey"]).select(
         "order_day", "ship_day", "l_partkey", "c_nationkey", "c_mktsegment", F.col("c_custkey").isNotNull().alias("known_customer"),
-        "rev", "l_extendedprice", "l_quantity")
+        _revenue().alias("rev"), "l_extendedprice", "l_quantity")
 
 
 def _day_range(column: str, start: dt.date | None, end: dt.date | None) -> Column:
@@ -97,9 +101,11 @@ def daily_sales(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nat
 
     Orders, customers and deliveries count orders placed that day; revenue
     and items come from their line items (``lines``: the written
-    ``order_lines``, made here if not given).  Top category / state are chosen
-    from (day, part) and (day, nation) pre-aggregates, so the dimension joins
-    see a small grain instead of line items.
+    ``order_lines``, made here if not given).  The top state is chosen from a
+    (day, nation) pre-aggregate.  The top category's lines go to their part
+    directly: a (day, part) pre-aggregate has nearly as many rows as the lines,
+    so it would spill and move them a second time.  The parts are hashed, the
+    lines not sorted, and what leaves the join is a (day, type) grain.
     """
     o = (orders.where(_ts_range("o_orderdate", start, end))
                .select("o_orderkey", "o_custkey", "o_orderstatus",
@@ -111,13 +117,13 @@ def daily_sales(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nat
         F.count(F.lit(1)).alias("total_orders"),
         F.countDistinct("o_custkey").alias("unique_customers"),
         F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("delivered_orders"))
-    by_part = lines.groupBy("date_key", "l_partkey").agg(F.sum("rev").alias("rev"))
     # days x nations, read for the day's totals and for its top state
     by_nation = shared(lines.groupBy("date_key", "c_nationkey", "known_customer")
                        .agg(F.sum("rev").alias("rev"), F.sum("l_quantity").alias("items")))
     day_li = by_nation.groupBy("date_key").agg(F.sum("rev").alias("revenue"), F.sum("items").alias("items"))
-    cat = (by_part.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
-                  .groupBy("date_key", "p_type").agg(F.sum("rev").alias("rev")))
+    cat = (lines.select("date_key", "l_partkey", "rev")
+                .join(part.select(F.col("p_partkey").alias("l_partkey"), "p_type").hint("shuffle_hash"), "l_partkey")
+                .groupBy("date_key", "p_type").agg(F.sum("rev").alias("rev")))
     state = (by_nation.where("known_customer").join(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
                       .groupBy("date_key", "n_name").agg(F.sum("rev").alias("rev")))
     top_cat = _top_per_day(cat, "p_type", "rev", "top_product_category")

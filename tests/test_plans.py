@@ -37,6 +37,35 @@ def test_date_range_reaches_parquet_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in p and "LessThan(o_orderdate,1" in p
 
 
+def test_even_review_file_sorts_no_rows(spark):
+    even = review_file(spark, SF_SMALL, even=True)
+    p = _plan(even)
+    assert "RoundRobinPartitioning" not in p and "Sort" not in p and "REBALANCE_PARTITIONS_BY_COL" in p
+    columns = lambda df: sorted(map(str, df.collect()))
+    assert columns(even) == columns(review_file(spark, SF_SMALL))
+
+
+def test_daily_sources_sort_no_line_items(spark):
+    t = Tables(spark, SF_SMALL)
+    p = _plan(U.order_lines(t.lineitem, t.orders, t.customer))
+    assert p.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in p
+
+
+def test_top_category_counts_each_line_for_each_row_of_its_part(spark):
+    ts, ship = dt.datetime(1998, 1, 1), dt.datetime(1998, 1, 5)
+    orders = spark.createDataFrame([(1, 1, "F", ts), (2, None, "O", ts)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz")
+    lines = [(1, 10, 100.0), (1, 11, 60.0), (2, 11, 60.0), (2, None, 500.0), (2, 12, None), (3, 10, 900.0), (None, 10, 900.0)]
+    lineitem = spark.createDataFrame([(o, p, ship, price, 0.0, 1.0) for o, p, price in lines],
+                                     "l_orderkey long, l_partkey long, l_shipdate timestamp_ntz, l_extendedprice double, l_discount double, l_quantity double")
+    customer = spark.createDataFrame([(1, "BUILDING", 1)], "c_custkey long, c_mktsegment string, c_nationkey long")
+    nation = spark.createDataFrame([(1, "N")], "n_nationkey long, n_name string")
+    part = lambda *rows: spark.createDataFrame(rows, "p_partkey long, p_type string")
+    top = lambda p: U.daily_sales(orders, lineitem, customer, nation, p).collect()
+    row, = top(part((10, "A"), (11, "B"), (12, "C"), (None, "D")))
+    assert row.top_product_category == "B" and row.total_revenue == 720.0 and row.total_items_sold == 5.0 and row.top_state == "N"
+    assert top(part((10, "A"), (10, "A"), (11, "B")))[0].top_product_category == "A"
+
+
 def test_daily_sources_share_one_join(spark):
     t = Tables(spark, SF_SMALL)
     lines = W.order_lines(spark, SF_SMALL)
