@@ -15,7 +15,7 @@ SOURCE_SCHEMA = T.StructType([
     T.StructField("Sentiment", T.StringType()), T.StructField("Rating", T.StringType()),
     T.StructField("App", T.StringType()), T.StructField("ingestion_timestamp", T.TimestampNTZType())])
 LEAST_FILES = 8           # a small input still makes two micro-batches, so state is carried
-BYTES_PER_FILE = 128 << 20
+BYTES_PER_FILE = 16 << 20  # of input; a task writes or reads one file, so its share stays the same from 128 MB on
 MICRO_BATCHES = 16        # at most, per run; each takes an equal number of files
 # The fixture's files mix all 30 days, so a watermark shorter than that would
 # (correctly) drop rows as late; the registered runs use a delay covering the

@@ -40,6 +40,15 @@ def test_partitioned_write_and_expiry(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_stream_files_stay_small_as_the_input_grows(spark, monkeypatch):
+    from plume.plans import streaming_queries as Q
+    for size in (1 << 30, 6 << 30, 1 << 40):
+        monkeypatch.setattr(Q, "table_bytes", lambda spark, path, size=size: size // 2)
+        assert size / Q._files(spark, "x") <= 17 << 20
+    monkeypatch.setattr(Q, "table_bytes", lambda spark, path: 100)
+    assert Q._files(spark, "x") == Q.LEAST_FILES
+
+
 def _write_files(spark, tmp_dir, batches):
     """One Parquet file per batch, with increasing modification times (the
     file source takes files in arrival order)."""
